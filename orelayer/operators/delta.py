@@ -76,8 +76,9 @@ def classify(incoming: DataFrame, existing: DataFrame, key: Sequence[str]) -> Da
     )
     stored = existing.select(*key, F.struct(F.lit(0).alias("_"), *values).alias("_cur"))
     # Stored rows that matter; with a small batch the keys are broadcast and
-    # the stored table is not shuffled.
-    touched = stored.join(incoming.select(*key), key, "left_semi")
+    # the stored table is not shuffled. The keys are distinct, so a key that
+    # fills the batch is one row here.
+    touched = stored.join(incoming.select(*key).distinct(), key, "left_semi")
     matched = per_key.join(touched, key, "left")
 
     one_form = matched.select(

@@ -12,8 +12,6 @@ from pyspark.sql import types as T
 from ..session import Workspace, broadcast_if_small
 from .keys import consecutive_key, spread_key
 
-JOIN_TYPES = ("inner", "left", "right", "full", "left_semi", "left_anti")
-
 
 def select_columns(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     return df.select(*columns)
@@ -97,10 +95,23 @@ def add_surrogate_key(
 
 
 def enrich_with_lookup(df: DataFrame, lookup: DataFrame, join_column: str, join_type: str = "left") -> DataFrame:
-    """Join on a shared column. A small lookup is broadcast after a size check."""
-    if join_type in ("inner", "left", "left_semi", "left_anti"):
-        lookup = broadcast_if_small(lookup)
-    return df.join(lookup, join_column, join_type)
+    """Join on a shared column. A small lookup is broadcast after a size check.
+
+    ``right`` and ``full`` are put together from the matched rows and the
+    lookup rows whose key is never used. The keys in use are reduced before
+    they are shuffled, so neither form sends the rows of a hot key to one task,
+    which a plain right or full join of two large tables would do.
+    """
+    kind = join_type.lower().replace("_", "").replace("outer", "") or "full"
+    small = broadcast_if_small(lookup)
+    shared = set(df.columns) & set(lookup.columns) - {join_column}
+    if kind not in ("right", "full") or shared:
+        plain = kind in ("inner", "left", "leftsemi", "leftanti", "semi", "anti")
+        return df.join(small if plain else lookup, join_column, join_type)
+    matched = df.join(small, join_column, "inner" if kind == "right" else "left")
+    used = df.select(join_column).filter(F.col(join_column).isNotNull()).distinct()
+    unused = lookup.join(used, join_column, "left_anti")
+    return matched.unionByName(unused, allowMissingColumns=True)
 
 
 def aggregate_metrics(

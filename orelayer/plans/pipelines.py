@@ -24,7 +24,7 @@ from ..operators.keys import annotate_fk, orphan_values
 from ..operators.metadata import add_silver_metadata, add_trace
 from ..operators.quality import Rule, ValidationResult, gate
 from ..operators.transforms import latest_by_key
-from ..session import Workspace, estimated_bytes, exists
+from ..session import Workspace, delete, exists
 from ..sources import files, sinks
 from . import marts
 from .registry import Registry, registry as default_registry
@@ -105,7 +105,6 @@ def load(
     lake: Lake,
     batch_id: int | str,
     parents: Mapping[str, DataFrame] | None = None,
-    details: bool = False,
 ) -> LoadResult:
     """Check, compare and store one batch of rows.
 
@@ -161,10 +160,10 @@ def load_batch(
     """A batch of records: loaded, and the new rows also landed in bronze."""
     result = load(spark, source, contract, lake, batch_id, parents)
     new = spark.read.parquet(f"{lake.table(contract.table)}/{sinks.BATCH}={result.batch_id}")
-    path = f"{files.bronze_path(lake.bronze, contract.table)}/{files.BRONZE_PARTITION}={day or date.today()}"
-    # A folder per batch below the day, so a repeated batch replaces itself.
     texts = [F.col(n).cast("string").alias(n) for n in contract.columns]
-    new.select(*texts).write.mode("overwrite").parquet(f"{path}/{sinks.BATCH}={result.batch_id}")
+    # Append-only: landing a repeated batch again is harmless, since silver
+    # takes the last arrival of a key and skips what it already holds.
+    sinks.append_bronze(new.select(*texts), lake.bronze, contract.table, day or date.today())
     return result
 
 
@@ -286,8 +285,6 @@ def restore_table(
         safe = work.stage(df, "rows")
         for old in files.partition_values(spark, target, sinks.BATCH):
             if old != "restore":
-                from ..session import delete
-
                 delete(spark, f"{target}/{sinks.BATCH}={old}")
         safe.write.mode("overwrite").parquet(staged)
     found = {}

@@ -1 +1,152 @@
-"""Placeholder."""
+"""Catalog queries: parts as datasets, lineitems as lineage edges and tags."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from ..operators import catalog as cat
+from .base import query, table
+
+DATASETS_SQL = """
+select cast(p_partkey as integer) as dataset_id, p_name as dataset_name,
+       case when p_size <= 15 then 'bronze' when p_size <= 35 then 'silver' else 'gold' end as layer,
+       p_type as description, p_brand as owner,
+       timestamp '2024-01-01' + to_hours(p_size) as updated_at, p_brand || ',' || p_type as tags
+from part"""
+SCHEMAS_SQL = """
+select cast(p_partkey as integer) as dataset_id, '1.' || p_size as schema_version, p_size > 25 as is_current,
+       p_brand as schema_definition from part"""
+LINEAGE_SQL = """
+select cast(l_partkey as integer) as dataset_id, cast(case when l_tax > 0.01 then l_suppkey end as integer) as source_dataset_id,
+       l_returnflag as transformation_name, l_linestatus as transformation_type from lineitem"""
+TAGS_SQL = """
+select cast(l_partkey as integer) as dataset_id,
+       case when l_quantity > 45 then 'pii' when l_quantity > 30 then 'sensitive' else 'compliance' end as tag_type from lineitem"""
+
+
+def datasets(spark: SparkSession, sf: str) -> DataFrame:
+    size = F.col("p_size")
+    start = F.lit("2024-01-01 00:00:00").cast("timestamp_ntz")
+    return table(spark, sf, "part").select(
+        F.col("p_partkey").cast("int").alias("dataset_id"),
+        F.col("p_name").alias("dataset_name"),
+        F.when(size <= 15, "bronze").when(size <= 35, "silver").otherwise("gold").alias("layer"),
+        F.col("p_type").alias("description"),
+        F.col("p_brand").alias("owner"),
+        (start + F.make_dt_interval(hours=size)).alias("updated_at"),
+        F.array("p_brand", "p_type").alias("tags"),
+    )
+
+
+def schemas(spark: SparkSession, sf: str) -> DataFrame:
+    return table(spark, sf, "part").select(
+        F.col("p_partkey").cast("int").alias("dataset_id"),
+        F.concat(F.lit("1."), F.col("p_size").cast("string")).alias("schema_version"),
+        F.col("p_brand").alias("schema_definition"),
+        (F.col("p_size") > 25).alias("is_current"),
+    )
+
+
+def lineage(spark: SparkSession, sf: str) -> DataFrame:
+    return table(spark, sf, "lineitem").select(
+        F.col("l_partkey").cast("int").alias("dataset_id"),
+        F.when(F.col("l_tax") > 0.01, F.col("l_suppkey").cast("int")).alias("source_dataset_id"),
+        F.col("l_returnflag").alias("transformation_name"),
+        F.col("l_linestatus").alias("transformation_type"),
+    )
+
+
+def tags(spark: SparkSession, sf: str) -> DataFrame:
+    n = F.col("l_quantity")
+    kind = F.when(n > 45, "pii").when(n > 30, "sensitive").otherwise("compliance")
+    return table(spark, sf, "lineitem").select(F.col("l_partkey").cast("int").alias("dataset_id"), kind.alias("tag_type"))
+
+
+def _flat(df: DataFrame) -> DataFrame:
+    return df.withColumn("tags", F.array_join("tags", ","))
+
+
+@query("catalog_list", f"""
+with f as (select * from ({DATASETS_SQL}) where layer = 'silver' and (owner = 'Brand#7' or description = 'ECONOMY'))
+select *, (select count(*) from f) as total from f order by updated_at desc, dataset_id limit 20 offset 40""")
+def catalog_list(spark: SparkSession, sf: str) -> DataFrame:
+    page = cat.list_datasets(datasets(spark, sf), layer="silver", tags=["Brand#7", "ECONOMY"], page=3, page_size=20)
+    return _flat(page)
+
+
+@query("catalog_owner", f"select * from ({DATASETS_SQL}) where owner = 'Brand#7'")
+def catalog_owner(spark: SparkSession, sf: str) -> DataFrame:
+    return _flat(cat.filter_datasets(datasets(spark, sf), owner="Brand#7"))
+
+
+_MATCHES_SQL = f"""
+select *, case when dataset_name ilike '%ec%' then 1.0::double when description ilike '%ec%' then 0.8::double
+          else 0.5::double end as relevance_score
+from ({DATASETS_SQL}) where dataset_name ilike '%ec%' or description ilike '%ec%' or tags ilike '%ec%'"""
+
+
+@query("catalog_search_all", _MATCHES_SQL)
+def catalog_search_all(spark: SparkSession, sf: str) -> DataFrame:
+    return _flat(cat.search_matches(datasets(spark, sf), "EC"))
+
+
+@query("catalog_search", f"{_MATCHES_SQL} order by relevance_score desc, updated_at desc, dataset_id limit 20")
+def catalog_search(spark: SparkSession, sf: str) -> DataFrame:
+    return _flat(cat.search(datasets(spark, sf), "EC"))
+
+
+@query("lineage_neighbours", f"""
+with d as ({DATASETS_SQL}), l as ({LINEAGE_SQL})
+select l.dataset_id as of_dataset_id, d.dataset_id, 'upstream' as direction, l.transformation_name, l.transformation_type,
+       d.dataset_name, d.layer from l join d on l.source_dataset_id = d.dataset_id
+union all
+select l.source_dataset_id, d.dataset_id, 'downstream', l.transformation_name, l.transformation_type, d.dataset_name, d.layer
+from l join d on l.dataset_id = d.dataset_id where l.source_dataset_id is not null""")
+def lineage_neighbours(spark: SparkSession, sf: str) -> DataFrame:
+    names = datasets(spark, sf).select("dataset_id", "dataset_name", "layer")
+    return cat.neighbours(names, lineage(spark, sf))
+
+
+@query("lineage_counts", f"""
+with d as ({DATASETS_SQL}), l as ({LINEAGE_SQL})
+select d.*, (select count(distinct source_dataset_id) from l where l.dataset_id = d.dataset_id) as upstream_count,
+       (select count(distinct l.dataset_id) from l where l.source_dataset_id = d.dataset_id) as downstream_count from d""")
+def lineage_counts(spark: SparkSession, sf: str) -> DataFrame:
+    return _flat(cat.with_lineage_counts(datasets(spark, sf), lineage(spark, sf)))
+
+
+@query("current_schema", f"""
+select d.*, s.schema_version, s.schema_definition from ({DATASETS_SQL}) d
+left join ({SCHEMAS_SQL}) s on d.dataset_id = s.dataset_id and s.is_current""")
+def current_schema(spark: SparkSession, sf: str) -> DataFrame:
+    return _flat(cat.with_current_schema(datasets(spark, sf), schemas(spark, sf)))
+
+
+@query("pii", f"""
+select distinct d.* from ({DATASETS_SQL}) d join ({TAGS_SQL}) t on d.dataset_id = t.dataset_id where t.tag_type = 'pii'""")
+def pii(spark: SparkSession, sf: str) -> DataFrame:
+    return _flat(cat.tagged_datasets(datasets(spark, sf), tags(spark, sf)))
+
+
+@query("quality_summary", """
+select 'profiling' as metric_type, s_name as entity_name, timestamp '2024-01-01' as metric_timestamp,
+       s_acctbal as score, cast(s_nationkey as double) as null_percentage, cast(1 as double) as duplicate_percentage from supplier
+union all
+select 'validation', o_orderpriority, o_orderdate,
+       round(case when o_orderstatus = 'P' then null else (o_custkey - o_custkey // 8 * 8) / 8 * 100 end, 2), null, null from orders""")
+def quality_summary(spark: SparkSession, sf: str) -> DataFrame:
+    profiles = table(spark, sf, "supplier").select(
+        F.col("s_name").alias("source_name"),
+        F.lit("2024-01-01 00:00:00").cast("timestamp_ntz").alias("profile_timestamp"),
+        F.col("s_acctbal").alias("quality_score"),
+        F.col("s_nationkey").alias("null_percentage"),
+        F.lit(1).alias("duplicate_percentage"),
+    )
+    runs = table(spark, sf, "orders").select(
+        F.col("o_orderpriority").alias("pipeline_name"),
+        F.col("o_orderdate").alias("validation_timestamp"),
+        F.when(F.col("o_orderstatus") == "P", 0).otherwise(8).alias("rules_executed"),
+        F.pmod("o_custkey", F.lit(8)).alias("rules_passed"),
+    )
+    return cat.quality_summary(profiles, runs)

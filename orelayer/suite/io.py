@@ -1 +1,159 @@
-"""Placeholder."""
+"""Sources and sinks: every query writes a whole table and reads it back."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from ..operators.contract import Contract, Field
+from ..session import Workspace
+from ..sources import files, sinks
+from .base import query, table
+
+CUSTOMER = Contract(
+    "customer",
+    (
+        Field("c_custkey", "bigint"), Field("c_name", "string"), Field("c_nationkey", "int"),
+        Field("c_acctbal", "double"), Field("c_mktsegment", "string"),
+    ),
+    key=("c_custkey",),
+)
+EVENTS = Contract(
+    "events",
+    (
+        Field("event_id", "bigint"), Field("ts", "timestamp_ntz"), Field("user_id", "bigint"),
+        Field("event_type", "string"), Field("value", "double"), Field("props", "string"),
+    ),
+    key=("event_id",),
+)
+
+_CUSTOMER_TEXT = """select cast(c_custkey as varchar) as c_custkey, c_name, cast(c_nationkey as varchar) as c_nationkey,
+  {} as c_mktsegment from customer"""
+
+
+def _customer_text(spark: SparkSession, sf: str) -> DataFrame:
+    df = table(spark, sf, "customer").select("c_custkey", "c_name", "c_nationkey", "c_mktsegment")
+    return df.select(*[F.col(c).cast("string").alias(c) for c in df.columns])
+
+
+@query("csv_header", _CUSTOMER_TEXT.format("c_mktsegment"))
+def csv_header(spark: SparkSession, sf: str) -> DataFrame:
+    path = Workspace(spark, "csv").path("customer.csv")
+    _customer_text(spark, sf).write.option("header", True).csv(path)
+    return files.read_csv(spark, path)
+
+
+@query("csv_headerless", _CUSTOMER_TEXT.format("c_mktsegment"))
+def csv_headerless(spark: SparkSession, sf: str) -> DataFrame:
+    df, path = _customer_text(spark, sf), Workspace(spark, "csv").path("customer.csv")
+    df.write.csv(path)
+    return files.read_csv(spark, path, df.columns, files.CsvOptions(header=False))
+
+
+@query("csv_options", _CUSTOMER_TEXT.format(
+    "case when c_mktsegment in ('MACHINERY', 'BUILDING') then null else c_mktsegment end"))
+def csv_options(spark: SparkSession, sf: str) -> DataFrame:
+    path = Workspace(spark, "csv").path("customer.csv")
+    _customer_text(spark, sf).write.option("header", True).option("sep", ";").option("encoding", "iso-8859-1").csv(path)
+    config = {"csv": {"delimiter": ";", "encoding": "iso-8859-1", "na_values": ["MACHINERY", "BUILDING"]}}
+    return files.read_file(spark, path, config)
+
+
+@query("documents_csv", "select cast(doc_id as varchar) as doc_id, text, lang from documents")
+def documents_csv(spark: SparkSession, sf: str) -> DataFrame:
+    """Whole texts with quotes, separators and line breaks."""
+    path = Workspace(spark, "csv").path("documents.csv")
+    df = table(spark, sf, "documents").select("doc_id", "text", "lang")
+    (
+        df.write.option("header", True).option("quoteAll", True).option("escape", '"')
+        .option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False).option("lineSep", "\n").csv(path)
+    )
+    reader = spark.read.option("header", True).option("multiLine", True).option("escape", '"')
+    reader = reader.option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False)
+    return reader.schema(files.strings(df.columns)).csv(path)
+
+
+@query("json_lines", "select doc_id, text, lang, source, n_chars from documents")
+def json_lines(spark: SparkSession, sf: str) -> DataFrame:
+    df, path = table(spark, sf, "documents"), Workspace(spark, "json").path("documents.jsonl")
+    sinks.write_json(df, path)
+    return files.read_json(spark, path, schema=df.schema)
+
+
+@query("parquet_extract", "select * from conversations")
+def parquet_extract(spark: SparkSession, sf: str) -> DataFrame:
+    from datetime import datetime
+
+    work = Workspace(spark, "extract")
+    path = sinks.write_extract(
+        table(spark, sf, "conversations"), work.root, "conversations", datetime(2024, 1, 2, 3, 4, 5), ["role"]
+    )
+    df = files.read_file(spark, path)
+    return df.select("conv_id", "turn", "role", "text")
+
+
+@query("bronze_roundtrip", """
+select *, cast(case o_orderstatus when 'P' then '2024-01-01' else '2024-01-02' end as date) as ingested_date from orders""")
+def bronze_roundtrip(spark: SparkSession, sf: str) -> DataFrame:
+    orders, base = table(spark, sf, "orders"), Workspace(spark, "bronze").root
+    pending = F.col("o_orderstatus") == "P"
+    sinks.land_bronze(orders.filter(pending), base, "orders", "2024-01-01")
+    sinks.land_bronze(orders, base, "orders", "2024-01-01")  # exists already: skipped
+    for status in ("F", "O"):
+        sinks.append_bronze(orders.filter(F.col("o_orderstatus") == status), base, "orders", "2024-01-02")
+    return files.read_bronze(spark, base, "orders")
+
+
+@query("bronze_latest", "select * from orders where year(o_orderdate) = (select max(year(o_orderdate)) from orders)")
+def bronze_latest(spark: SparkSession, sf: str) -> DataFrame:
+    path = Workspace(spark, "latest").path("orders")
+    orders = table(spark, sf, "orders")
+    orders.withColumn("year", F.year("o_orderdate")).write.partitionBy("year").parquet(path)
+    return files.read_latest_partition(spark, path, "year").drop("year")
+
+
+@query("bronze_incremental", """
+select event_id, ts, event_type from events where cast(ts as date) >= date '2024-01-20' and ts > timestamp '2024-01-20 12:00:00'""")
+def bronze_incremental(spark: SparkSession, sf: str) -> DataFrame:
+    """New days by partition, newer rows by value: both filters reach the scan."""
+    base = Workspace(spark, "bronze").root
+    events = table(spark, sf, "events").withColumn("ingested_date", F.to_date("ts"))
+    events.write.partitionBy("ingested_date").parquet(files.bronze_path(base, "events"))
+    df = files.read_bronze(spark, base, "events").filter("ingested_date >= date '2024-01-20'")
+    last = F.lit("2024-01-20 12:00:00").cast("timestamp_ntz")
+    return files.newer_than(df, "ts", last).select("event_id", "ts", "event_type")
+
+
+@query("backup_roundtrip", "select * from customer")
+def backup_roundtrip(spark: SparkSession, sf: str) -> DataFrame:
+    work, customer = Workspace(spark, "backup"), table(spark, sf, "customer")
+    sinks.backup(customer.filter("c_acctbal > 0"), work.root, CUSTOMER, "2024-01-01")
+    sinks.backup(customer, work.root, CUSTOMER, "2024-01-02")
+    return sinks.read_backup(spark, work.root, CUSTOMER)
+
+
+@query("restore_events", "select * from events")
+def restore_events(spark: SparkSession, sf: str) -> DataFrame:
+    """Times travel through the backup as ISO text."""
+    work = Workspace(spark, "backup")
+    sinks.backup(table(spark, sf, "events"), work.path("backups"), EVENTS, "2024-02-01")
+    sinks.restore(spark, work.path("backups"), EVENTS, work.path("events"))
+    return spark.read.parquet(work.path("events"))
+
+
+@query("backup_text", """
+select event_id, case when strftime(ts, '%f') = '000000' then strftime(ts, '%Y-%m-%dT%H:%M:%S')
+       else strftime(ts, '%Y-%m-%dT%H:%M:%S.%f') end as ts from events""")
+def backup_text(spark: SparkSession, sf: str) -> DataFrame:
+    work = Workspace(spark, "backup")
+    path = sinks.backup(table(spark, sf, "events"), work.root, EVENTS, "2024-02-01")
+    return spark.read.parquet(path).select("event_id", "ts")
+
+
+@query("mart_refresh", "select * from customer where c_acctbal < 0")
+def mart_refresh(spark: SparkSession, sf: str) -> DataFrame:
+    """Overwriting twice leaves the last result only."""
+    path = Workspace(spark, "mart").path("customer")
+    sinks.overwrite_mart(table(spark, sf, "customer"), path)
+    sinks.overwrite_mart(table(spark, sf, "customer").filter("c_acctbal < 0"), path)
+    return spark.read.parquet(path).drop("_refreshed_at")

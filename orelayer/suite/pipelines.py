@@ -1 +1,239 @@
-"""Placeholder."""
+"""Whole pipelines: events as staff rows, suppliers as departments, parts as jobs."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from ..operators.contract import DEPARTMENTS, HIRED_EMPLOYEES, JOBS
+from ..operators import transforms as tr
+from ..operators.quality import BRONZE_RULES
+from ..plans import marts, pipelines as p
+from ..session import Workspace
+from ..sources import files, sinks
+from .base import query, table
+from .contracts import STAFF_REASON_SQL, raw_staff
+from .quality import NOW, SALES_SQL, sales
+
+_FK_SQL = f"""
+select *, case when reason <> '' then reason else
+    case when dep_t || job_t <> '' then 'FK Violation: ' || concat_ws('; ', nullif(dep_t, ''), nullif(job_t, '')) else '' end end as why
+from (select *,
+    case when dep_v in (select s_suppkey from supplier) then '' else 'department_id ' || dep_v || ' not in raw.departments' end as dep_t,
+    case when job_v in (select p_partkey from part where p_size > 5) then '' else 'job_id ' || job_v || ' not in raw.jobs' end as job_t
+  from ({STAFF_REASON_SQL}))"""
+SILVER_SQL = f"""
+select id_v as id, name_v as name, datetime_v as datetime, dep_v as department_id, job_v as job_id from ({_FK_SQL}) where why = ''"""
+
+
+def _dimensions(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame]:
+    departments = table(spark, sf, "supplier").select(
+        F.col("s_suppkey").cast("string").alias("id"), F.concat(F.lit(" "), "s_name").alias("department")
+    )
+    jobs = table(spark, sf, "part").filter("p_size > 5").select(
+        F.col("p_partkey").cast("string").alias("id"), F.col("p_name").alias("job")
+    )
+    return departments, jobs
+
+
+def _loaded(spark: SparkSession, sf: str) -> tuple[p.Lake, p.LoadResult]:
+    lake = p.Lake.under(Workspace(spark, "lake").root)
+    departments, jobs = _dimensions(spark, sf)
+    p.load(spark, departments, DEPARTMENTS, lake, 1)
+    p.load(spark, jobs, JOBS, lake, 1)
+    return lake, p.load(spark, raw_staff(spark, sf), HIRED_EMPLOYEES, lake, 1)
+
+
+@query("load_silver", SILVER_SQL)
+def load_silver(spark: SparkSession, sf: str) -> DataFrame:
+    lake, _ = _loaded(spark, sf)
+    return p.read_silver(spark, lake, HIRED_EMPLOYEES)
+
+
+@query("load_rejections", f"select 'hired_employees' as table_name, why as reason from ({_FK_SQL}) where why <> ''")
+def load_rejections(spark: SparkSession, sf: str) -> DataFrame:
+    lake, _ = _loaded(spark, sf)
+    return p.read_rejections(spark, lake).select("table_name", "reason")
+
+
+@query("load_counts", f"""
+with a as (select count(*) as rows, count(*) filter (where why = '') as good, count(*) filter (where why <> '') as bad from ({_FK_SQL}))
+select 'first' as run, rows, good as inserted, cast(0 as bigint) as skipped, bad as rejected from a
+union all select 'again', rows, 0, good, bad from a
+union all select 'replayed', rows, good, 0, bad from a""")
+def load_counts(spark: SparkSession, sf: str) -> DataFrame:
+    """A second batch of the same rows adds nothing; the first batch run again
+    gives what it gave before."""
+    lake, first = _loaded(spark, sf)
+    again = p.load(spark, raw_staff(spark, sf), HIRED_EMPLOYEES, lake, 2)
+    replayed = p.load(spark, raw_staff(spark, sf), HIRED_EMPLOYEES, lake, 1)
+    rows = [
+        (name, r.rows, r.inserted, r.skipped, r.rejected)
+        for name, r in (("first", first), ("again", again), ("replayed", replayed))
+    ]
+    return spark.createDataFrame(rows, "run string, rows bigint, inserted bigint, skipped bigint, rejected bigint")
+
+
+@query("batch_report", f"select case when why = '' then 'new' else 'rejected' end as outcome, nullif(why, '') as reason from ({_FK_SQL})")
+def batch_report(spark: SparkSession, sf: str) -> DataFrame:
+    lake = p.Lake.under(Workspace(spark, "lake").root)
+    departments, jobs = _dimensions(spark, sf)
+    parents = {"departments": departments.withColumn("id", F.col("id").cast("int")),
+               "jobs": jobs.withColumn("id", F.col("id").cast("int"))}
+    report = p.batch_report(spark, raw_staff(spark, sf), HIRED_EMPLOYEES, lake, parents)
+    return report.select("outcome", "reason")
+
+
+# --- bronze to gold ------------------------------------------------------------------
+
+def _write_csv(df: DataFrame, path: str) -> None:
+    df.write.option("quoteAll", True).option("emptyValue", "").option("ignoreLeadingWhiteSpace", False).option(
+        "ignoreTrailingWhiteSpace", False
+    ).csv(path)
+
+
+def _full_run(spark: SparkSession, sf: str) -> p.Lake:
+    work = Workspace(spark, "run")
+    lake = p.Lake.under(work.path("lake"))
+    departments, jobs = _dimensions(spark, sf)
+    lines = table(spark, sf, "orders").select(
+        F.col("o_orderkey").cast("string").alias("id"),
+        F.concat(F.lit("clerk "), F.col("o_orderkey").cast("string")).alias("name"),
+        F.date_format("o_orderdate", "yyyy-MM-dd'T'HH:mm:ss'Z'").alias("datetime"),
+        F.pmod("o_custkey", F.lit(40)).cast("string").alias("department_id"),
+        F.pmod("o_orderkey", F.lit(90)).cast("string").alias("job_id"),
+    )
+    folder = work.path("csv")
+    _write_csv(departments, f"{folder}/departments.csv")
+    _write_csv(jobs, f"{folder}/jobs.csv")
+    _write_csv(lines, f"{folder}/hired_employees.csv")
+    p.land_sources(spark, folder, lake, "2024-01-01")
+    p.land_sources(spark, folder, lake, "2024-01-01")  # lands nothing
+    for contract in (DEPARTMENTS, JOBS, HIRED_EMPLOYEES):
+        p.bronze_to_silver(spark, contract, lake, "2024-01-01")
+    p.refresh_marts(spark, lake, 1997)
+    return lake
+
+
+_RUN_SQL = """
+select s_name as department, p_name as job, o_orderdate as moment, s_suppkey
+from orders join supplier on o_custkey - o_custkey // 40 * 40 = s_suppkey
+join part on o_orderkey - o_orderkey // 90 * 90 = p_partkey and p_size > 5"""
+
+
+@query("run_marts", f"""
+select department, job, cast(year(moment) as integer) as hire_year,
+       count(*) filter (where quarter(moment) = 1) as q1, count(*) filter (where quarter(moment) = 2) as q2,
+       count(*) filter (where quarter(moment) = 3) as q3, count(*) filter (where quarter(moment) = 4) as q4
+from ({_RUN_SQL}) group by department, job, year(moment)""")
+def run_marts(spark: SparkSession, sf: str) -> DataFrame:
+    lake = _full_run(spark, sf)
+    return spark.read.parquet(f"{lake.gold}/mart_hires_by_quarter").drop("_refreshed_at")
+
+
+@query("run_above_mean", f"""
+with d as (select s_suppkey, count(moment) as hired from supplier left join
+             (select * from ({_RUN_SQL}) where year(moment) = 1997) using (s_suppkey) group by s_suppkey)
+select cast(s_suppkey as integer) as id, s_name as department, hired
+from d join supplier using (s_suppkey) where hired > (select avg(hired) from d)""")
+def run_above_mean(spark: SparkSession, sf: str) -> DataFrame:
+    lake = _full_run(spark, sf)
+    return spark.read.parquet(f"{lake.gold}/mart_departments_above_mean").drop("_refreshed_at")
+
+
+@query("restore_check", f"""
+select department_id, count(*) as rows from ({SILVER_SQL})
+where department_id not in (select s_suppkey from supplier where s_acctbal > 0) group by department_id""")
+def restore_check(spark: SparkSession, sf: str) -> DataFrame:
+    """Restoring fewer departments leaves the employees and shows the orphans."""
+    from ..operators.keys import orphan_values
+
+    lake, _ = _loaded(spark, sf)
+    backups = Workspace(spark, "backups").root
+    fewer = table(spark, sf, "supplier").filter("s_acctbal > 0").select(
+        F.col("s_suppkey").cast("int").alias("id"), F.col("s_name").alias("department")
+    )
+    sinks.backup(fewer, backups, DEPARTMENTS, "2024-01-01")
+    p.restore_table(spark, backups, DEPARTMENTS, lake)
+    return orphan_values(
+        p.read_silver(spark, lake, HIRED_EMPLOYEES), "department_id", p.read_silver(spark, lake, DEPARTMENTS)
+    )
+
+
+# --- extracts and gates ------------------------------------------------------------------
+
+_EXTRACTED = ["transaction_id", "customer_id", "quantity", "transaction_date", "_source_system", "_source_entity",
+              "_extractor_name", "_schema_version"]
+
+
+def _sales_csv(spark: SparkSession, sf: str) -> str:
+    path = Workspace(spark, "source").path("sales.csv")
+    df = sales(spark, sf).withColumn("transaction_date", F.date_format("transaction_date", "yyyy-MM-dd'T'HH:mm:ss"))
+    df.write.option("header", True).csv(path)
+    return path
+
+
+def _extract_sql(where: str) -> str:
+    return f"""select transaction_id, customer_id, quantity, transaction_date, 'file' as _source_system,
+      'sales.csv' as _source_entity, 'FileExtractor' as _extractor_name, '1.0' as _schema_version from ({SALES_SQL}) {where}"""
+
+
+@query("extract", _extract_sql(""))
+def extract(spark: SparkSession, sf: str) -> DataFrame:
+    from ..operators.contract import SALES_DECLARED
+
+    path = _sales_csv(spark, sf)
+    run = p.extract(spark, path, Workspace(spark, "bronze").root, SALES_DECLARED)
+    return spark.read.parquet(run.target).select(*_EXTRACTED)
+
+
+@query("extract_incremental", _extract_sql("where transaction_date > timestamp '2000-06-30'"))
+def extract_incremental(spark: SparkSession, sf: str) -> DataFrame:
+    from ..operators.contract import SALES_DECLARED
+
+    last = F.lit("2000-06-30 00:00:00").cast("timestamp_ntz")
+    run = p.extract(
+        spark, _sales_csv(spark, sf), Workspace(spark, "bronze").root, SALES_DECLARED, watermark=("transaction_date", last)
+    )
+    return spark.read.parquet(run.target).select(*_EXTRACTED)
+
+
+@query("gated_pipeline", f"""
+select product_id, count(transaction_id) as transaction_id_count, cast(sum(quantity) as bigint) as quantity_sum
+from ({SALES_SQL}) group by product_id""")
+def gated_pipeline(spark: SparkSession, sf: str) -> DataFrame:
+    work = Workspace(spark, "gated")
+    path = _sales_csv(spark, sf)
+    declared = {"version": "1.0", "columns": [
+        {"name": n, "type": t, "required": True} for n, t in (
+            ("transaction_id", "string"), ("customer_id", "string"), ("product_id", "string"), ("quantity", "integer"),
+            ("unit_price", "float"), ("total_amount", "float"), ("transaction_date", "datetime"))]}
+    after = [
+        {"name": "one_row_per_product", "type": "uniqueness", "config": {"columns": ["product_id"]}},
+        {"name": "counts", "type": "business_rule", "config": {"condition": "transaction_id_count > 0"}},
+    ]
+    p.gated_pipeline(
+        spark, path, work.path("bronze"), work.path("silver"),
+        lambda df: tr.aggregate_metrics(df, ["product_id"], {"transaction_id": "count", "quantity": "sum"}),
+        BRONZE_RULES, after, declared)
+    return spark.read.parquet(work.path("silver")).select("product_id", "transaction_id_count", "quantity_sum")
+
+
+@query("run_transform", """
+select o_orderkey, o_totalprice, 'orders' as _bronze_source_path, 'large_orders' as _transformer_name,
+       '1.0' as _transformation_version from orders where o_totalprice > 250000""")
+def run_transform(spark: SparkSession, sf: str) -> DataFrame:
+    target = Workspace(spark, "silver").path("orders")
+    p.run_transform(
+        table(spark, sf, "orders"),
+        lambda df: df.filter("o_totalprice > 250000").select("o_orderkey", "o_totalprice"),
+        target, "large_orders", "orders")
+    return spark.read.parquet(target).drop("_silver_load_timestamp")
+
+
+_COUNTED = ("customer", "supplier", "part", "orders", "lineitem", "events", "documents")
+
+
+@query("status_counts", " union all ".join(f"select '{t}' as table_name, count(*) as rows from {t}" for t in _COUNTED))
+def status_counts(spark: SparkSession, sf: str) -> DataFrame:
+    return p.table_counts({t: table(spark, sf, t) for t in _COUNTED})

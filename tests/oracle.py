@@ -86,7 +86,7 @@ def main(argv: list[str]) -> int:
 
     sf = argv[0] if argv else "/root/testdata/sf0.01"
     spark = build_session(
-        "oracle", "local[8]", spark__sql__shuffle__partitions="8", spark__ui__enabled="false",
+        "oracle", "local[8]", spark__sql__shuffle__partitions="8", spark__ui__enabled="false", spark__ui__showConsoleProgress="false",
         spark__driver__memory="12g",
     )
     spark.sparkContext.setLogLevel("ERROR")
