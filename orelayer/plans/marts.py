@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import period_label, year_range
+from ..session import fits_broadcast
 
 QUARTERS = (1, 2, 3, 4)
 QUARTER_COLUMNS = ["q1", "q2", "q3", "q4"]
@@ -52,8 +53,34 @@ def stage_hires(df: DataFrame, name: str = "name", hired_at: str = "datetime", k
 
 # --- marts ------------------------------------------------------------------
 
-def _quarter_counts(quarter: Column) -> list[Column]:
-    return [F.count_if(quarter == q).alias(f"q{q}") for q in QUARTERS]
+def _hire_facts(hires: DataFrame, columns: HireColumns, year: int | None) -> DataFrame:
+    moment = F.col(columns.hired_at)
+    facts = hires.filter(year_range(moment, year)) if year is not None else hires
+    dep, job = F.col(columns.department_id), F.col(columns.job_id)
+    return facts.filter(dep.isNotNull() & job.isNotNull()).select(
+        dep.alias("_dep"),
+        job.alias("_job"),
+        F.year(moment).alias("hire_year"),
+        F.quarter(moment).alias("_quarter"),
+    )
+
+
+def _with_names(
+    facts: DataFrame, departments: DataFrame, jobs: DataFrame, columns: HireColumns, keys: list[str], counts: list[Column]
+) -> tuple[DataFrame, bool]:
+    """Facts with department and job names, and whether they are counted already.
+
+    Dimensions below the broadcast limit are joined to the facts where they
+    lie, and one shuffle of partial counts is left. Beyond the limit the facts
+    are counted per pair of ids first: the joins then move one row per group,
+    and a department that holds a third of all hires is no hot key.
+    """
+    dep = departments.select(F.col(columns.dim_id).alias("_dep"), F.col(columns.department).alias("department"))
+    job = jobs.select(F.col(columns.job_dim_id).alias("_job"), F.col(columns.job).alias("job"))
+    if fits_broadcast(dep) and fits_broadcast(job):
+        return facts.join(F.broadcast(dep), "_dep").join(F.broadcast(job), "_job"), False
+    counted = facts.groupBy("_dep", "_job", *keys).agg(*counts)
+    return counted.join(dep, "_dep").join(job, "_job"), True
 
 
 def hires_by_quarter(
@@ -63,28 +90,12 @@ def hires_by_quarter(
     columns: HireColumns = HIRES,
     year: int | None = None,
 ) -> DataFrame:
-    """Hires per department, job and year, one column per quarter.
-
-    The facts are counted per pair of ids before they meet the dimensions:
-    the joins then carry one row per group, so a department that holds a
-    third of all hires is no hot key, and a join too large to broadcast moves
-    the counts and not the facts. The counts are added up again per name.
-    """
-    moment = F.col(columns.hired_at)
-    facts = hires.filter(year_range(moment, year)) if year is not None else hires
-    facts = facts.select(
-        F.col(columns.department_id).alias("_dep"),
-        F.col(columns.job_id).alias("_job"),
-        F.year(moment).alias("hire_year"),
-        F.quarter(moment).alias("_quarter"),
-    ).filter("_dep is not null and _job is not null")
-    counted = facts.groupBy("_dep", "_job", "hire_year").agg(*_quarter_counts(F.col("_quarter")))
-    dep = departments.select(F.col(columns.dim_id).alias("_dep"), F.col(columns.department).alias("department"))
-    job = jobs.select(F.col(columns.job_dim_id).alias("_job"), F.col(columns.job).alias("job"))
-    named = counted.join(dep, "_dep").join(job, "_job")
-    return named.groupBy("department", "job", "hire_year").agg(
-        *[F.sum(q).cast("bigint").alias(q) for q in QUARTER_COLUMNS]
-    )
+    """Hires per department, job and year, one column per quarter."""
+    counts = [F.count_if(F.col("_quarter") == q).alias(f"q{q}") for q in QUARTERS]
+    facts = _hire_facts(hires, columns, year)
+    named, counted = _with_names(facts, departments, jobs, columns, ["hire_year"], counts)
+    sums = [F.sum(q).cast("bigint").alias(q) for q in QUARTER_COLUMNS]
+    return named.groupBy("department", "job", "hire_year").agg(*(sums if counted else counts))
 
 
 def hires_pivot(
@@ -95,26 +106,12 @@ def hires_pivot(
     columns: HireColumns = HIRES,
 ) -> DataFrame:
     """One year of the first mart by pivot, without the year column."""
-    moment = F.col(columns.hired_at)
-    facts = (
-        hires.filter(year_range(moment, year))
-        .select(
-            F.col(columns.department_id).alias("_dep"),
-            F.col(columns.job_id).alias("_job"),
-            F.quarter(moment).alias("_quarter"),
-        )
-        .filter("_dep is not null and _job is not null")
-    )
-    counted = facts.groupBy("_dep", "_job", "_quarter").agg(F.count("*").alias("_n"))
-    dep = departments.select(F.col(columns.dim_id).alias("_dep"), F.col(columns.department).alias("department"))
-    job = jobs.select(F.col(columns.job_dim_id).alias("_job"), F.col(columns.job).alias("job"))
-    wide = (
-        counted.join(dep, "_dep")
-        .join(job, "_job")
-        .groupBy("department", "job")
-        .pivot("_quarter", list(QUARTERS))
-        .agg(F.sum("_n"))
+    facts = _hire_facts(hires, columns, year)
+    named, counted = _with_names(
+        facts, departments, jobs, columns, ["_quarter"], [F.count("*").alias("_n")]
     )
+    wide = named.groupBy("department", "job").pivot("_quarter", list(QUARTERS))
+    wide = wide.agg(F.sum("_n") if counted else F.count("_quarter"))
     renamed = wide.withColumnsRenamed({str(q): f"q{q}" for q in QUARTERS})
     return renamed.fillna(0, subset=QUARTER_COLUMNS)
 
