@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field
 from typing import Any
@@ -49,19 +50,26 @@ def table_options(
     return {**found, **split.options()} if split else found
 
 
+_NAME = re.compile(r"(?<!:):(\w+)")
+
+
+def _literal(value: Any) -> str:
+    if value is None:
+        return "NULL"
+    if isinstance(value, bool):
+        return "TRUE" if value else "FALSE"
+    if isinstance(value, (int, float)):
+        return repr(value)
+    return "'" + str(value).replace("'", "''") + "'"
+
+
 def bind(query: str, params: Mapping[str, Any] | None = None) -> str:
-    """Replace ``:name`` by a quoted literal. Values only, never names."""
-    for name, value in sorted((params or {}).items(), key=lambda kv: -len(kv[0])):
-        if value is None:
-            text = "NULL"
-        elif isinstance(value, bool):
-            text = "TRUE" if value else "FALSE"
-        elif isinstance(value, (int, float)):
-            text = repr(value)
-        else:
-            text = "'" + str(value).replace("'", "''") + "'"
-        query = query.replace(f":{name}", text)
-    return query
+    """Replace ``:name`` by a quoted literal, in one pass; ``::type`` is left alone.
+
+    Values only, never table or column names.
+    """
+    known = params or {}
+    return _NAME.sub(lambda m: _literal(known[m.group(1)]) if m.group(1) in known else m.group(0), query)
 
 
 def read_table(

@@ -96,7 +96,7 @@ def main(argv: list[str]) -> int:
         try:
             ours = found[name](spark, sf).toArrow()
             if name in sqls:
-                theirs = con.execute(sqls[name]).to_arrow_table()
+                theirs = con.sql(sqls[name]).to_arrow_table()
                 problems = compare(ours, theirs)
             else:
                 problems = []
