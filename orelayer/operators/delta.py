@@ -12,8 +12,10 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..functions import canonical
+from ..session import Workspace, broadcast_if_small, fits_broadcast
 
 STATUS = "_status"
 COPIES = "_copies"
@@ -26,96 +28,143 @@ CONFLICT_TEXT = "CONFLICT: {}={} exists with different data — "
 CHANGE_ARROW = " → "
 BATCH_TEXT = "CONFLICT: {}={} occurs with different data in one batch"
 
-_CHANGE_TYPE = "array<struct<field:string,current:string,incoming:string>>"
+_CHANGE = "struct<field:string,current:string,incoming:string>"
 
 
-def _same_types(df: DataFrame, columns: Sequence[str], prefix: str) -> list[Column]:
+def _canonical(df: DataFrame, columns: Sequence[str], prefix: str = "") -> list[Column]:
     types = {f.name: f.dataType for f in df.schema.fields}
-    return [canonical(F.col(f"{prefix}{c}"), types[c]) for c in columns]
+    return [canonical(F.col(f"{prefix}{c}"), types[c]).alias(c) for c in columns]
 
 
 def changed_fields(incoming: DataFrame, columns: Sequence[str], current: str = "_cur.") -> Column:
     """Array of (field, current, incoming) for the fields that differ."""
-    ours = _same_types(incoming, columns, "")
-    theirs = _same_types(incoming, columns, current)
     entries = [
         F.when(
-            ~a.eqNullSafe(b),
+            ~ours.eqNullSafe(theirs),
             F.struct(
                 F.lit(c).alias("field"),
                 F.col(f"{current}{c}").cast("string").alias("current"),
                 F.col(c).cast("string").alias("incoming"),
             ),
         )
-        for c, a, b in zip(columns, ours, theirs)
+        for c, ours, theirs in zip(columns, _canonical(incoming, columns), _canonical(incoming, columns, current))
     ]
-    if not entries:
-        return F.array().cast(_CHANGE_TYPE)
-    return F.array_compact(F.array(*entries))
+    return F.array_compact(F.array(F.lit(None).cast(_CHANGE), *entries))
 
 
-def classify(incoming: DataFrame, existing: DataFrame, key: Sequence[str]) -> DataFrame:
-    """Incoming rows with ``_status``, ``_copies`` and ``_changes``.
+def _stored(existing: DataFrame, keys: DataFrame, key: list[str], values: list[str]) -> DataFrame:
+    """Stored rows as one struct per key.
 
-    ``existing`` holds each key once; incoming keys are not null. The sum of
-    ``_copies`` is the number of incoming rows: identical copies of a skipped
-    row are counted, not repeated, while every conflicting row is listed.
+    With few incoming keys the stored rows are reduced by broadcasting them,
+    so a large table is not shuffled for a small batch.
+    """
+    stored = existing.select(*key, F.struct(F.lit(0).alias("_"), *values).alias("_cur"))
+    if fits_broadcast(keys):
+        return stored.join(F.broadcast(keys), key, "left_semi")
+    return stored
+
+
+def _by_row(rows: DataFrame, incoming: DataFrame, values: list[str], absent: str) -> DataFrame:
+    """Status of single rows beside their stored row; ``absent`` when there is none."""
+    compared = rows.withColumn(CHANGES, changed_fields(incoming, values))
+    known = F.col("_cur").isNotNull()
+    status = F.when(~known, F.lit(absent)).when(F.size(CHANGES) == 0, F.lit(SKIPPED)).otherwise(F.lit(CONFLICT))
+    return compared.select(
+        *incoming.columns,
+        status.alias(STATUS),
+        F.lit(1).cast("bigint").alias(COPIES),
+        F.when(known, F.col(CHANGES)).otherwise(_no_changes()).alias(CHANGES),
+    )
+
+
+def _no_changes() -> Column:
+    return F.array().cast(f"array<{_CHANGE}>")
+
+
+def classify_unique(incoming: DataFrame, existing: DataFrame, key: Sequence[str]) -> DataFrame:
+    """``classify`` for a batch in which no key repeats: one join, nothing else."""
+    key = list(key)
+    values = [c for c in incoming.columns if c not in key]
+    keys = incoming.select(*key)
+    return _by_row(incoming.join(_stored(existing, keys, key, values), key, "left"), incoming, values, NEW)
 
-    The incoming rows are first reduced to one row per key (on the map side
-    as well), so the join with the stored table is one to one whatever the
-    skew. Only keys in dispute go back to their single rows.
+
+def classify_repeated(incoming: DataFrame, existing: DataFrame, key: Sequence[str]) -> DataFrame:
+    """``classify`` for keys that may repeat inside the batch.
+
+    The rows are first reduced to one row per key (on the map side as well),
+    so the join with the stored table is one to one whatever the skew. Only
+    keys in dispute go back to their single rows.
     """
     key = list(key)
     values = [c for c in incoming.columns if c not in key]
-    same = F.struct(F.lit(0).alias("_"), *[c.alias(n) for n, c in zip(values, _same_types(incoming, values, ""))])
+    types = {f.name: f.dataType for f in incoming.schema.fields}
+    same = F.struct(F.lit(0).alias("_"), *_canonical(incoming, values))
+    # What the canonical form drops: which texts were null, and the exact times.
+    texts = [c for c in values if isinstance(types[c], T.StringType)]
+    times = [c for c in values if isinstance(types[c], (T.TimestampType, T.TimestampNTZType))]
+    exact = F.struct(
+        F.lit(0).alias("_"), *[F.col(c).isNull().alias(c) for c in texts], *[F.col(c) for c in times]
+    )
+
+    def restored(c: str) -> Column:
+        if c in times:
+            return F.col(f"_low.exact.{c}").alias(c)
+        form = F.col(f"_low.same.{c}")
+        return (F.when(~F.col(f"_low.exact.{c}"), form) if c in texts else form).alias(c)
 
     per_key = incoming.groupBy(*key).agg(
         F.count("*").alias("_n"),
-        F.min(F.struct(same.alias("same"), *values)).alias("_low"),
+        F.min(F.struct(same.alias("same"), exact.alias("exact"))).alias("_low"),
         F.max(same).alias("_high"),
     )
-    stored = existing.select(*key, F.struct(F.lit(0).alias("_"), *values).alias("_cur"))
-    # Stored rows that matter; with a small batch the keys are broadcast and
-    # the stored table is not shuffled. The keys are distinct, so a key that
-    # fills the batch is one row here.
-    touched = stored.join(incoming.select(*key).distinct(), key, "left_semi")
-    matched = per_key.join(touched, key, "left")
-
-    one_form = matched.select(
-        *key,
-        *[F.col(f"_low.{c}").alias(c) for c in values],
-        "_n",
-        "_cur",
+    stored = _stored(existing, incoming.select(*key).distinct(), key, values)
+    one_form = per_key.join(stored, key, "left").select(
+        *key, *[restored(c) for c in values], "_n", "_cur",
         F.col("_low.same").eqNullSafe(F.col("_high")).alias("_uniform"),
     )
     changes = changed_fields(incoming, values)
     known = F.col("_cur").isNotNull()
-    quiet = one_form.filter(F.col("_uniform") & (~known | (F.size(changes) == 0)))
-    disputed = one_form.filter(~F.col("_uniform") | (known & (F.size(changes) > 0))).select(*key, "_cur")
+    disputed = ~F.col("_uniform") | (known & (F.size(changes) > 0))
 
-    outcome = F.struct(F.lit(NEW).alias("s"), F.lit(1).cast("bigint").alias("n"))
-    repeat = F.struct(F.lit(SKIPPED).alias("s"), (F.col("_n") - 1).alias("n"))
-    everything = F.struct(F.lit(SKIPPED).alias("s"), F.col("_n").alias("n"))
-    outcomes = F.when(known, F.array(everything)).otherwise(F.array(outcome, repeat))
+    first = F.struct(F.lit(NEW).alias("s"), F.lit(1).cast("bigint").alias("n"))
+    others = F.struct(F.lit(SKIPPED).alias("s"), (F.col("_n") - 1).alias("n"))
+    all_known = F.struct(F.lit(SKIPPED).alias("s"), F.col("_n").alias("n"))
     settled = (
-        quiet.withColumn("_o", F.explode(outcomes))
+        one_form.filter(~disputed)
+        .withColumn("_o", F.explode(F.when(known, F.array(all_known)).otherwise(F.array(first, others))))
         .filter("_o.n > 0")
         .select(
-            *incoming.columns,
-            F.col("_o.s").alias(STATUS),
-            F.col("_o.n").alias(COPIES),
-            F.array().cast(_CHANGE_TYPE).alias(CHANGES),
+            *incoming.columns, F.col("_o.s").alias(STATUS), F.col("_o.n").alias(COPIES), _no_changes().alias(CHANGES)
         )
     )
-    rows = incoming.join(disputed, key, "inner").withColumn(CHANGES, changes)
-    equal = known & (F.size(CHANGES) == 0)
-    listed = rows.select(
-        *incoming.columns,
-        F.when(equal, F.lit(SKIPPED)).otherwise(F.lit(CONFLICT)).alias(STATUS),
-        F.lit(1).cast("bigint").alias(COPIES),
-        F.when(known, F.col(CHANGES)).otherwise(F.array().cast(_CHANGE_TYPE)).alias(CHANGES),
-    )
-    return settled.unionByName(listed)
+    rows = incoming.join(one_form.filter(disputed).select(*key, "_cur"), key, "inner")
+    return settled.unionByName(_by_row(rows, incoming, values, CONFLICT))
+
+
+def classify(
+    incoming: DataFrame, existing: DataFrame, key: Sequence[str], work: Workspace | None = None
+) -> DataFrame:
+    """Incoming rows with ``_status``, ``_copies`` and ``_changes``.
+
+    ``existing`` holds each key once; incoming keys are not null. The sum of
+    ``_copies`` is the number of incoming rows: identical copies of a skipped
+    row are counted, not repeated, while every conflicting row is listed.
+
+    With staging space the repeated keys are found first, from the key columns
+    alone. They are rare in most batches, and all other rows then need only
+    the one join with the stored table.
+    """
+    if work is None:
+        return classify_repeated(incoming, existing, key)
+    key = list(key)
+    repeated = incoming.groupBy(*key).agg(F.count("*").alias("_n")).filter("_n > 1").select(*key)
+    staged = work.stage(repeated, "repeated_keys")
+    if staged.isEmpty():
+        return classify_unique(incoming, existing, key)
+    some = broadcast_if_small(staged)
+    alone = classify_unique(incoming.join(some, key, "left_anti"), existing, key)
+    return alone.unionByName(classify_repeated(incoming.join(some, key, "left_semi"), existing, key))
 
 
 def new_rows(outcome: DataFrame) -> DataFrame:

@@ -7,15 +7,17 @@ medians and samples; and the counts of whole rows for duplicates.
 
 from __future__ import annotations
 
+from collections.abc import Mapping
 from functools import reduce
+from typing import Any
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..session import Workspace
-from .keys import ordered_parts, part_offsets
-from .quality import duplicate_rows
+from ..sources.files import file_info, read_file
+from .keys import ordered_parts
 
 # Weights of the overall score.
 COMPLETENESS_WEIGHT = 0.7
@@ -245,14 +247,20 @@ def profile_columns(
 
 
 def profile_overview(df: DataFrame) -> DataFrame:
-    """Rows, columns and repeated rows. Rows are compared whole."""
-    rows = df.groupBy(*df.columns).agg(F.count("*").alias("_n"))
-    totals = rows.agg(
-        F.coalesce(F.sum("_n"), F.lit(0)).alias("total_rows"),
-        F.coalesce(F.sum(F.col("_n") - 1), F.lit(0)).alias("duplicate_rows"),
-    )
+    """Rows, columns and repeated rows.
+
+    Rows are told apart by a hash first, which moves a few bytes per row; only
+    rows that share their hash with another are compared whole. A row that was
+    copied any number of times is one row per task in either step.
+    """
+    hashed = df.withColumn("_hash", F.xxhash64(*df.columns))
+    per_hash = hashed.groupBy("_hash").agg(F.count("*").alias("_n"))
+    total = per_hash.agg(F.coalesce(F.sum("_n"), F.lit(0)).alias("total_rows"))
+    shared = per_hash.filter("_n > 1").select("_hash")
+    whole = hashed.join(shared, "_hash", "left_semi").groupBy("_hash", *df.columns).agg(F.count("*").alias("_n"))
+    repeated = whole.agg(F.coalesce(F.sum(F.col("_n") - 1), F.lit(0)).alias("duplicate_rows"))
     share = F.bround(F.col("duplicate_rows") / F.col("total_rows") * 100, 2)
-    return totals.select(
+    return total.select("total_rows", repeated.scalar().alias("duplicate_rows")).select(
         "total_rows",
         F.lit(len(df.columns)).cast("bigint").alias("total_columns"),
         "duplicate_rows",
@@ -289,7 +297,20 @@ def profile(df: DataFrame, source_name: str, exact: bool = True, work: Workspace
     return joined.select(F.lit(source_name).alias("source_name"), F.current_timestamp().alias("timestamp"), *joined.columns)
 
 
+def profile_file(spark: SparkSession, path: str, config: Mapping[str, Any] | None = None, exact: bool = True) -> DataFrame:
+    """Profile of a file, with the size and time of what lies at the path."""
+    info = file_info(spark, path).agg(
+        F.count("*").alias("files"),
+        F.round(F.sum("size_bytes") / 1024 / 1024, 2).alias("file_size_mb"),
+        F.max("modified_at").alias("modified_at"),
+    )
+    name = path.rstrip("/").rsplit("/", 1)[-1]
+    described = F.struct(F.lit(name).alias("file_name"), F.lit(path).alias("file_path"), "files", "file_size_mb", "modified_at")
+    found = profile(read_file(spark, path, config), name, exact).withColumn("_k", F.lit(1))
+    return found.join(info.select(F.lit(1).alias("_k"), described.alias("file_info")), "_k").drop("_k")
+
+
 __all__ = [
-    "duplicate_rows", "exact_medians", "profile", "profile_columns", "profile_overview",
+    "exact_medians", "profile_file", "profile", "profile_columns", "profile_overview",
     "quality_score", "value_counts",
 ]

@@ -19,6 +19,8 @@ from pyspark.errors import PySparkException
 from pyspark.sql import Column, DataFrame, Row
 from pyspark.sql import functions as F
 
+from .keys import orphan_values
+
 SEVERITIES = ("error", "warning", "info")
 RULE_TYPES = ("schema", "null_check", "business_rule", "freshness", "volume", "uniqueness")
 
@@ -432,5 +434,60 @@ def unique_test(df: DataFrame, column: str) -> DataFrame:
     return found.filter("rows > 1")
 
 
+# The tests declared for the raw tables, the staging views and
+# the marts. A relationship names the parent table and column.
+COLUMN_TESTS = {
+    "departments": {"id": ["unique", "not_null"], "department": ["not_null"]},
+    "jobs": {"id": ["unique", "not_null"], "job": ["not_null"]},
+    "hired_employees": {
+        "id": ["unique", "not_null"],
+        "name": ["not_null"],
+        "datetime": ["not_null"],
+        "department_id": ["not_null", ("departments", "id")],
+        "job_id": ["not_null", ("jobs", "id")],
+    },
+    "stg_departments": {"id": ["unique", "not_null"], "department": ["not_null"]},
+    "stg_jobs": {"id": ["unique", "not_null"], "job": ["not_null"]},
+    "stg_hired_employees": {"id": ["unique", "not_null"], "hire_year": ["not_null"], "hire_quarter": ["not_null"]},
+    "mart_hires_by_quarter": {
+        c: ["not_null"] for c in ("department", "job", "hire_year", "q1", "q2", "q3", "q4")
+    },
+    "mart_departments_above_mean": {"id": ["unique", "not_null"], "department": ["not_null"], "hired": ["not_null"]},
+}
+
+
+def run_column_tests(
+    tables: Mapping[str, DataFrame], tests: Mapping[str, Mapping[str, Sequence]] = COLUMN_TESTS
+) -> DataFrame:
+    """One row per test with its number of failures: null rows, repeated
+    values, or rows without a parent. The null tests of a table share a scan."""
+    parts = []
+    for name, df in tables.items():
+        nulls = [c for c, kinds in tests.get(name, {}).items() if "not_null" in kinds]
+        if nulls:
+            counted = df.agg(*[F.count_if(F.col(c).isNull()).alias(f"n{i}") for i, c in enumerate(nulls)])
+            listed = [
+                F.struct(F.lit(c).alias("column"), F.lit("not_null").alias("test"), F.col(f"n{i}").alias("failures"))
+                for i, c in enumerate(nulls)
+            ]
+            parts.append(counted.select(F.lit(name).alias("table_name"), F.inline(F.array(*listed))))
+        for column, kinds in tests.get(name, {}).items():
+            for kind in kinds:
+                if kind == "unique":
+                    failures, label = unique_test(df, column).agg(F.count("*").alias("failures")), "unique"
+                elif not isinstance(kind, str):
+                    missing = orphan_values(df, column, tables[kind[0]], kind[1])
+                    failures = missing.agg(F.coalesce(F.sum("rows"), F.lit(0)).alias("failures"))
+                    label = "relationships"
+                else:
+                    continue
+                parts.append(
+                    failures.select(
+                        F.lit(name).alias("table_name"), F.lit(column).alias("column"), F.lit(label).alias("test"), "failures"
+                    )
+                )
+    return reduce(DataFrame.unionByName, parts)
+
+
 def utc(*parts: int) -> datetime:
     return datetime(*parts, tzinfo=timezone.utc)

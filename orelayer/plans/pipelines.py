@@ -124,23 +124,25 @@ def load(
 
         stored = read_silver(spark, lake, contract, without=batch_id)
         outcome = work.stage(
-            delta.classify(good, stored, contract.key), "outcome", partition_by=[delta.STATUS]
+            delta.classify(good, stored, contract.key, work), "outcome", partition_by=[delta.STATUS]
         )
         fresh = delta.new_rows(outcome).withColumn("_loaded_at", F.current_timestamp())
         sinks.write_batch(fresh, lake.table(contract.table), batch_id)
         log = bad.unionByName(delta.conflict_log(outcome, contract.table, contract.key))
         sinks.write_batch(sinks.with_rejected_at(log), _log_path(lake, contract.table), batch_id)
 
-        counts = {r[0]: r[1] for r in delta.status_counts(outcome).collect()}  # three rows at most
-        refused = bad.count()
+        # Four rows at most, read back from the staged tables in one job.
+        refused = bad.agg(F.count("*").alias("rows")).withColumn(delta.STATUS, F.lit("rejected"))
+        totals = delta.status_counts(outcome).unionByName(refused)
+        counts = {r[delta.STATUS]: r["rows"] for r in totals.collect()}
         return LoadResult(
             contract.table,
             batch_id,
-            rows=sum(counts.values()) + refused,
+            rows=sum(counts.values()),
             inserted=counts.get(delta.NEW, 0),
             skipped=counts.get(delta.SKIPPED, 0),
             conflicts=counts.get(delta.CONFLICT, 0),
-            rejected=refused,
+            rejected=counts["rejected"],
         )
 
 
@@ -175,7 +177,7 @@ def batch_report(
     checked = contract.annotate(source.select(*contract.columns))
     if contract.foreign_keys:
         parents = parents or {fk.parent: read_silver(spark, lake, STAFFING[fk.parent]) for fk in contract.foreign_keys}
-        checked = annotate_fk(checked, contract.foreign_keys, parents)
+        checked = annotate_fk(checked, contract.foreign_keys, parents, Workspace(spark, "report"))
     refused = c.rejected(checked, contract.table).select(
         F.lit("rejected").alias("outcome"), F.lit(1).cast("bigint").alias("copies"), "raw_row", "reason"
     )
@@ -282,11 +284,11 @@ def restore_table(
     target = lake.table(contract.table)
     staged = f"{target}/{sinks.BATCH}=restore"
     with Workspace(spark, "restore") as work:
-        safe = work.stage(df, "rows")
-        for old in files.partition_values(spark, target, sinks.BATCH):
-            if old != "restore":
-                delete(spark, f"{target}/{sinks.BATCH}={old}")
-        safe.write.mode("overwrite").parquet(staged)
+        # The restored rows are in place before anything is removed.
+        work.stage(df, "rows").write.mode("overwrite").parquet(staged)
+    for old in files.partition_values(spark, target, sinks.BATCH):
+        if old != "restore":
+            delete(spark, f"{target}/{sinks.BATCH}={old}")
     found = {}
     for child in STAFFING.values():
         for fk in child.foreign_keys:

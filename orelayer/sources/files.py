@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..session import exists, is_dir, list_names
+from .config import substitute
 
 # Readable formats by file extension.
 FORMATS = {
@@ -41,6 +42,7 @@ class CsvOptions:
     skiprows: int = 0
     na_values: tuple[str, ...] = ()
     multiline: bool = False
+    escape: str = '"'  # a quote inside quotes is doubled
 
 
 def _null_out(df: DataFrame, na_values: Sequence[str]) -> DataFrame:
@@ -64,6 +66,7 @@ def read_csv(
         .option("encoding", options.encoding)
         .option("header", options.header)
         .option("multiLine", options.multiline)
+        .option("escape", options.escape)
         .option("mode", "PERMISSIVE")
     )
     if columns is not None:
@@ -99,7 +102,8 @@ def _read_csv_skipping(
         raise SourceError("column names are needed without a header")
     body = numbered.filter(F.col("_line").isNull() | (F.col("_line") >= skip)).filter(F.length("value") > 0)
     schema = ", ".join(f"`{c}` string" for c in columns)
-    parsed = body.select(F.from_csv("value", schema, {"sep": options.delimiter}).alias("r")).select("r.*")
+    parser = {"sep": options.delimiter, "escape": options.escape}
+    parsed = body.select(F.from_csv("value", schema, parser).alias("r")).select("r.*")
     return _null_out(parsed, options.na_values)
 
 
@@ -134,6 +138,16 @@ def read_file(spark: SparkSession, path: str, config: Mapping[str, Any] | None =
     return read_json(spark, path, lines=kind == "jsonl")
 
 
+def read_source(spark: SparkSession, config: Mapping[str, Any]) -> DataFrame:
+    """A source described by ``path``, an optional ``expected_format`` and the
+    options per format; ``${NAME}`` values come from the environment."""
+    described = substitute(dict(config))
+    if "path" not in described:
+        raise SourceError("a source needs a path")
+    check_file(spark, described["path"], described.get("expected_format"))
+    return read_file(spark, described["path"], described)
+
+
 def read_path_or_table(spark: SparkSession, path: str | None = None, table: str | None = None) -> DataFrame:
     if path:
         return spark.read.parquet(path)

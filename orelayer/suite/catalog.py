@@ -9,19 +9,19 @@ from ..operators import catalog as cat
 from .base import query, table
 
 DATASETS_SQL = """
-select cast(p_partkey as integer) as dataset_id, p_name as dataset_name,
+select p_partkey as dataset_id, p_name as dataset_name,
        case when p_size <= 15 then 'bronze' when p_size <= 35 then 'silver' else 'gold' end as layer,
        p_type as description, p_brand as owner,
        timestamp '2024-01-01' + to_hours(p_size) as updated_at, p_brand || ',' || p_type as tags
 from part"""
 SCHEMAS_SQL = """
-select cast(p_partkey as integer) as dataset_id, '1.' || p_size as schema_version, p_size > 25 as is_current,
+select p_partkey as dataset_id, '1.' || p_size as schema_version, p_size > 25 as is_current,
        p_brand as schema_definition from part"""
 LINEAGE_SQL = """
-select cast(l_partkey as integer) as dataset_id, cast(case when l_tax > 0.01 then l_suppkey end as integer) as source_dataset_id,
+select l_partkey as dataset_id, case when l_tax > 0.01 then l_suppkey end as source_dataset_id,
        l_returnflag as transformation_name, l_linestatus as transformation_type from lineitem"""
 TAGS_SQL = """
-select cast(l_partkey as integer) as dataset_id,
+select l_partkey as dataset_id,
        case when l_quantity > 45 then 'pii' when l_quantity > 30 then 'sensitive' else 'compliance' end as tag_type from lineitem"""
 
 
@@ -29,7 +29,7 @@ def datasets(spark: SparkSession, sf: str) -> DataFrame:
     size = F.col("p_size")
     start = F.lit("2024-01-01 00:00:00").cast("timestamp_ntz")
     return table(spark, sf, "part").select(
-        F.col("p_partkey").cast("int").alias("dataset_id"),
+        F.col("p_partkey").alias("dataset_id"),
         F.col("p_name").alias("dataset_name"),
         F.when(size <= 15, "bronze").when(size <= 35, "silver").otherwise("gold").alias("layer"),
         F.col("p_type").alias("description"),
@@ -41,7 +41,7 @@ def datasets(spark: SparkSession, sf: str) -> DataFrame:
 
 def schemas(spark: SparkSession, sf: str) -> DataFrame:
     return table(spark, sf, "part").select(
-        F.col("p_partkey").cast("int").alias("dataset_id"),
+        F.col("p_partkey").alias("dataset_id"),
         F.concat(F.lit("1."), F.col("p_size").cast("string")).alias("schema_version"),
         F.col("p_brand").alias("schema_definition"),
         (F.col("p_size") > 25).alias("is_current"),
@@ -50,8 +50,8 @@ def schemas(spark: SparkSession, sf: str) -> DataFrame:
 
 def lineage(spark: SparkSession, sf: str) -> DataFrame:
     return table(spark, sf, "lineitem").select(
-        F.col("l_partkey").cast("int").alias("dataset_id"),
-        F.when(F.col("l_tax") > 0.01, F.col("l_suppkey").cast("int")).alias("source_dataset_id"),
+        F.col("l_partkey").alias("dataset_id"),
+        F.when(F.col("l_tax") > 0.01, F.col("l_suppkey")).alias("source_dataset_id"),
         F.col("l_returnflag").alias("transformation_name"),
         F.col("l_linestatus").alias("transformation_type"),
     )
@@ -60,7 +60,7 @@ def lineage(spark: SparkSession, sf: str) -> DataFrame:
 def tags(spark: SparkSession, sf: str) -> DataFrame:
     n = F.col("l_quantity")
     kind = F.when(n > 45, "pii").when(n > 30, "sensitive").otherwise("compliance")
-    return table(spark, sf, "lineitem").select(F.col("l_partkey").cast("int").alias("dataset_id"), kind.alias("tag_type"))
+    return table(spark, sf, "lineitem").select(F.col("l_partkey").alias("dataset_id"), kind.alias("tag_type"))
 
 
 def _flat(df: DataFrame) -> DataFrame:

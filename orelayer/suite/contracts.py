@@ -9,6 +9,7 @@ from ..operators import contract as c
 from ..operators import delta
 from ..operators.contract import Contract, ForeignKey, HIRED_EMPLOYEES
 from ..operators.keys import annotate_fk, orphan_values, orphans
+from ..session import Workspace
 from .base import query, table
 
 # --- staffing rows derived from events: text columns, some of them broken ----------
@@ -202,7 +203,7 @@ def _order_outcome(spark: SparkSession, sf: str) -> DataFrame:
             "o_orderdate": F.col("o_orderdate") + F.expr("interval 0.5 second"),
         }
     )
-    return delta.classify(incoming, orders.filter(_STORED), ["o_orderkey"])
+    return delta.classify(incoming, orders.filter(_STORED), ["o_orderkey"], Workspace(spark, "delta"))
 
 
 _INCOMING_SQL = """
@@ -251,7 +252,7 @@ select status, cast(sum(rows) as bigint) as rows from outcome group by status"""
 def delta_in_batch(spark: SparkSession, sf: str) -> DataFrame:
     """Keys that repeat inside one batch, against an empty table."""
     lines = table(spark, sf, "lineitem").select("l_orderkey", "l_linenumber", "l_returnflag", "l_linestatus")
-    outcome = delta.classify(lines, lines.filter("false"), ["l_orderkey", "l_linenumber"])
+    outcome = delta.classify(lines, lines.filter("false"), ["l_orderkey", "l_linenumber"], Workspace(spark, "delta"))
     return delta.status_counts(outcome).withColumnRenamed(delta.STATUS, "status")
 
 

@@ -68,9 +68,7 @@ def documents_csv(spark: SparkSession, sf: str) -> DataFrame:
         df.write.option("header", True).option("quoteAll", True).option("escape", '"')
         .option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False).option("lineSep", "\n").csv(path)
     )
-    reader = spark.read.option("header", True).option("multiLine", True).option("escape", '"')
-    reader = reader.option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False)
-    return reader.schema(files.strings(df.columns)).csv(path)
+    return files.read_csv(spark, path, df.columns, files.CsvOptions(multiline=True))
 
 
 @query("json_lines", "select doc_id, text, lang, source, n_chars from documents")

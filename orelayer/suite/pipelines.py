@@ -78,8 +78,8 @@ def load_counts(spark: SparkSession, sf: str) -> DataFrame:
 def batch_report(spark: SparkSession, sf: str) -> DataFrame:
     lake = p.Lake.under(Workspace(spark, "lake").root)
     departments, jobs = _dimensions(spark, sf)
-    parents = {"departments": departments.withColumn("id", F.col("id").cast("int")),
-               "jobs": jobs.withColumn("id", F.col("id").cast("int"))}
+    parents = {"departments": departments.withColumn("id", F.col("id").try_cast("int")),
+               "jobs": jobs.withColumn("id", F.col("id").try_cast("int"))}
     report = p.batch_report(spark, raw_staff(spark, sf), HIRED_EMPLOYEES, lake, parents)
     return report.select("outcome", "reason")
 
@@ -95,13 +95,14 @@ def _write_csv(df: DataFrame, path: str) -> None:
 def _full_run(spark: SparkSession, sf: str) -> p.Lake:
     work = Workspace(spark, "run")
     lake = p.Lake.under(work.path("lake"))
-    departments, jobs = _dimensions(spark, sf)
+    departments = table(spark, sf, "customer").select(F.col("c_custkey").cast("string").alias("id"), "c_name")
+    _, jobs = _dimensions(spark, sf)
     lines = table(spark, sf, "orders").select(
         F.col("o_orderkey").cast("string").alias("id"),
         F.concat(F.lit("clerk "), F.col("o_orderkey").cast("string")).alias("name"),
         F.date_format("o_orderdate", "yyyy-MM-dd'T'HH:mm:ss'Z'").alias("datetime"),
-        F.pmod("o_custkey", F.lit(40)).cast("string").alias("department_id"),
-        F.pmod("o_orderkey", F.lit(90)).cast("string").alias("job_id"),
+        F.col("o_custkey").cast("string").alias("department_id"),
+        F.col("o_custkey").cast("string").alias("job_id"),
     )
     folder = work.path("csv")
     _write_csv(departments, f"{folder}/departments.csv")
@@ -116,9 +117,8 @@ def _full_run(spark: SparkSession, sf: str) -> p.Lake:
 
 
 _RUN_SQL = """
-select s_name as department, p_name as job, o_orderdate as moment, s_suppkey
-from orders join supplier on o_custkey - o_custkey // 40 * 40 = s_suppkey
-join part on o_orderkey - o_orderkey // 90 * 90 = p_partkey and p_size > 5"""
+select c_name as department, p_name as job, o_orderdate as moment, c_custkey
+from orders join customer on o_custkey = c_custkey join part on o_custkey = p_partkey and p_size > 5"""
 
 
 @query("run_marts", f"""
@@ -132,10 +132,10 @@ def run_marts(spark: SparkSession, sf: str) -> DataFrame:
 
 
 @query("run_above_mean", f"""
-with d as (select s_suppkey, count(moment) as hired from supplier left join
-             (select * from ({_RUN_SQL}) where year(moment) = 1997) using (s_suppkey) group by s_suppkey)
-select cast(s_suppkey as integer) as id, s_name as department, hired
-from d join supplier using (s_suppkey) where hired > (select avg(hired) from d)""")
+with d as (select c_custkey, count(moment) as hired from customer left join
+             (select * from ({_RUN_SQL}) where year(moment) = 1997) using (c_custkey) group by c_custkey)
+select cast(c_custkey as integer) as id, c_name as department, hired
+from d join customer using (c_custkey) where hired > (select avg(hired) from d)""")
 def run_above_mean(spark: SparkSession, sf: str) -> DataFrame:
     lake = _full_run(spark, sf)
     return spark.read.parquet(f"{lake.gold}/mart_departments_above_mean").drop("_refreshed_at")
@@ -151,7 +151,7 @@ def restore_check(spark: SparkSession, sf: str) -> DataFrame:
     lake, _ = _loaded(spark, sf)
     backups = Workspace(spark, "backups").root
     fewer = table(spark, sf, "supplier").filter("s_acctbal > 0").select(
-        F.col("s_suppkey").cast("int").alias("id"), F.col("s_name").alias("department")
+        F.col("s_suppkey").try_cast("int").alias("id"), F.col("s_name").alias("department")
     )
     sinks.backup(fewer, backups, DEPARTMENTS, "2024-01-01")
     p.restore_table(spark, backups, DEPARTMENTS, lake)

@@ -6,7 +6,18 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators import profiling
-from ..operators.quality import BRONZE_RULES, SILVER_RULES, duplicate_rows, not_null_test, rules_report, unique_test, utc
+from ..operators.quality import (
+    BRONZE_RULES,
+    SILVER_RULES,
+    duplicate_rows,
+    not_null_test,
+    rules_report,
+    run_column_tests,
+    unique_test,
+    utc,
+)
+from ..session import Workspace
+from ..sources.sinks import write_json
 from .base import query, table
 
 _SHOWN = ["rule_name", "rule_type", "severity", "column_name", "measured", "passed"]
@@ -170,6 +181,41 @@ def duplicates(spark: SparkSession, sf: str) -> DataFrame:
     return duplicate_rows(table(spark, sf, "lineitem"), ["l_orderkey", "l_linenumber"])
 
 
+_TESTED = {
+    "supplier": {"s_suppkey": ["unique", "not_null"], "s_name": ["not_null"]},
+    "part": {"p_partkey": ["unique", "not_null"], "p_name": ["unique"]},
+    "lineitem": {
+        "l_orderkey": ["unique", "not_null"],
+        "l_suppkey": ["not_null", ("supplier", "s_suppkey")],
+        "l_partkey": [("part", "p_partkey")],
+    },
+}
+
+
+def _unique_sql(name: str, column: str) -> str:
+    return (f"select '{name}' as table_name, '{column}' as column, 'unique' as test, count(*) as failures "
+            f"from (select {column} from {name} group by 1 having count(*) > 1)")
+
+
+def _not_null_sql(name: str, column: str) -> str:
+    return f"select '{name}', '{column}', 'not_null', count(*) from {name} where {column} is null"
+
+
+@query("column_tests", " union all ".join([
+    _unique_sql("supplier", "s_suppkey"), _unique_sql("part", "p_partkey"), _unique_sql("part", "p_name"),
+    _unique_sql("lineitem", "l_orderkey"), _not_null_sql("supplier", "s_suppkey"), _not_null_sql("supplier", "s_name"),
+    _not_null_sql("part", "p_partkey"), _not_null_sql("lineitem", "l_orderkey"), _not_null_sql("lineitem", "l_suppkey"),
+    "select 'lineitem', 'l_suppkey', 'relationships', count(*) from lineitem where l_suppkey not in (select s_suppkey from supplier where s_acctbal > 0)",
+    "select 'lineitem', 'l_partkey', 'relationships', count(*) from lineitem where l_partkey not in (select p_partkey from part)",
+]))
+def column_tests(spark: SparkSession, sf: str) -> DataFrame:
+    """All tests of three tables; the relationship only counts solvent suppliers."""
+    tables = {n: table(spark, sf, n) for n in ("supplier", "part", "lineitem")}
+    parents = {**tables, "solvent": tables["supplier"].filter("s_acctbal > 0")}
+    lines = {**_TESTED["lineitem"], "l_suppkey": ["not_null", ("solvent", "s_suppkey")]}
+    return run_column_tests(parents, {**_TESTED, "lineitem": lines})
+
+
 # --- profiles ------------------------------------------------------------------------------------
 
 def _profile_sql(source: str, columns: list[tuple[str, str, str]]) -> str:
@@ -252,3 +298,16 @@ m as (select round_even((1 - count(*) filter (where segment is null) / (count(*)
 select round_even(completeness * 0.7::double + uniqueness * 0.3::double, 2) as overall_score, completeness, uniqueness from m""")
 def quality_score(spark: SparkSession, sf: str) -> DataFrame:
     return profiling.quality_score(profiling.profile_columns(_customers(spark, sf)))
+
+
+@query("profile_json", """
+select 'customer.parquet' as source_name, count(*) as total_rows, cast(5 as bigint) as total_columns,
+       count(*) - count(distinct c_custkey) as duplicate_rows, cast(5 as bigint) as profiled from customer""")
+def profile_json(spark: SparkSession, sf: str) -> DataFrame:
+    """The whole profile of a file, written as JSON and read back."""
+    path = Workspace(spark, "profile").path("customer.json")
+    write_json(profiling.profile_file(spark, f"{sf.rstrip('/')}/customer.parquet"), path)
+    found = spark.read.json(path)
+    return found.select(
+        "source_name", "overview.total_rows", "overview.total_columns", "overview.duplicate_rows",
+        F.size("columns").cast("bigint").alias("profiled"))

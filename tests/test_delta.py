@@ -6,6 +6,7 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from orelayer.operators import delta
+from orelayer.session import Workspace
 
 SCHEMA = "id int, name string, at timestamp_ntz"
 T = datetime(2021, 11, 7, 2, 48)
@@ -67,6 +68,13 @@ def test_null_in_a_stored_value(spark):
     assert [x["field"] for x in df.first()[delta.CHANGES]] == ["at"]
 
 
+def test_kept_row_is_whole(spark):
+    """Null texts and exact times survive the comparison."""
+    at = T + timedelta(microseconds=7)
+    kept = delta.new_rows(outcome(spark, [(1, None, at), (1, None, at), (2, "b", None), (2, "b", None)]))
+    assert sorted((tuple(r) for r in kept.collect()), key=lambda r: r[0]) == [(1, None, at), (2, "b", None)]
+
+
 def test_composite_key(spark):
     incoming = spark.createDataFrame([(1, 1, "a"), (1, 2, "b")], "x int, y int, v string")
     existing = spark.createDataFrame([("a", 1, 1)], "v string, x int, y int")  # other column order
@@ -103,9 +111,10 @@ pairs = st.lists(st.tuples(st.integers(1, 5), st.sampled_from(["a", "b", "", Non
 def test_counts_against_brute_force(spark, incoming, existing):
     new = spark.createDataFrame(incoming, "id int, name string")
     old = spark.createDataFrame(list(existing.items()), "id int, name string")
-    got = {r[0]: r[1] for r in delta.status_counts(delta.classify(new, old, ["id"])).collect()}
-    assert got == brute_force(incoming, list(existing.items()))
-    assert sum(got.values()) == len(incoming)
+    for work in (None, Workspace(spark, "test")):
+        got = {r[0]: r[1] for r in delta.status_counts(delta.classify(new, old, ["id"], work)).collect()}
+        assert got == brute_force(incoming, list(existing.items()))
+        assert sum(got.values()) == len(incoming)
 
 
 def test_hot_key_result_does_not_depend_on_partitions(spark, rows):
