@@ -103,22 +103,26 @@ def _stats(df: DataFrame, extra: dict[str, dict[str, Column]] | None = None, ext
 def value_counts(df: DataFrame) -> DataFrame:
     """Rows per (column, value) over all columns, one scan and one shuffle.
 
-    A value sits in the slot of its type, so it is compared as what it is.
-    Null values are left out.
+    A value sits in the slot of its type, so it is compared as what it is;
+    slots no column needs are left out of the grouping. Null values are left
+    out. While being counted a column is known by its number, not its name.
     """
-    entries = []
-    for f in df.schema.fields:
-        c = F.col(f.name)
-        filled = _slots(f, c)
-        entries.append(
-            F.struct(
-                F.lit(f.name).alias("name"),
-                c.isNull().alias("_null"),
-                *[filled.get(k, F.lit(None)).cast(t).alias(k) for k, t in _SLOT_TYPES.items()],
-            )
+    fields = df.schema.fields
+    filled = [_slots(f, F.col(f.name)) for f in fields]
+    used = [k for k in _SLOT_TYPES if any(k in slots for slots in filled)]
+    entries = [
+        F.struct(
+            F.lit(i).alias("column"),
+            F.col(f.name).isNull().alias("_null"),
+            *[slots.get(k, F.lit(None)).cast(_SLOT_TYPES[k]).alias(k) for k in used],
         )
+        for i, (f, slots) in enumerate(zip(fields, filled))
+    ]
     flat = df.select(F.inline(F.array(*entries))).filter("not _null")
-    return flat.groupBy("name", *_SLOT_TYPES).agg(F.count("*").alias("n"))
+    counted = flat.groupBy("column", *used).agg(F.count("*").alias("n"))
+    names = F.array(*[F.lit(f.name) for f in fields])
+    absent = [F.lit(None).cast(t).alias(k) for k, t in _SLOT_TYPES.items() if k not in used]
+    return counted.select(F.get(names, F.col("column")).alias("name"), *used, *absent, "n")
 
 
 _SLOT_TYPES = {
