@@ -7,7 +7,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..session import Workspace, broadcast_if_small, fits_broadcast
+from ..session import Workspace, broadcast_if_small, fits_broadcast, has_shuffle
 from .contract import REASONS, ForeignKey
 
 # The wording of the foreign-key reasons.
@@ -92,10 +92,12 @@ def ordered_parts(df: DataFrame, order: Sequence[str], work: Workspace, name: st
     """Write ``df`` in global order, each row tagged with (range part, row in it).
 
     The row tag of the source breaks ties, so rows with equal order values
-    still spread over several range parts. Writing fixes the range bounds: all
-    later steps see the same parts even after a task is repeated.
+    still spread over several range parts. The tags must come out the same
+    when a task is repeated: rows that were shuffled before are written first.
+    Writing the result fixes the range bounds for all later steps.
     """
-    tagged = df.withColumn("_tie", F.monotonically_increasing_id())
+    source = work.stage(df, f"{name}_input") if has_shuffle(df) else df
+    tagged = source.withColumn("_tie", F.monotonically_increasing_id())
     sorted_parts = (
         tagged.repartitionByRange(*order, "_tie")
         .sortWithinPartitions(*order, "_tie")
@@ -138,5 +140,9 @@ def consecutive_key(
 
 
 def spread_key(df: DataFrame, key_column: str = "id", start: int = 1) -> DataFrame:
-    """Unique, increasing but not consecutive keys; no shuffle at all."""
+    """Unique, increasing but not consecutive keys; no shuffle at all.
+
+    The keys follow the partitions of this evaluation: write them once before
+    anything refers to them.
+    """
     return df.withColumn(key_column, F.monotonically_increasing_id() + F.lit(start))

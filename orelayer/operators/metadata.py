@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from datetime import datetime
 from typing import Any
 
 from pyspark.sql import DataFrame
@@ -34,10 +35,13 @@ def add_trace(
     )
 
 
-def add_silver_metadata(df: DataFrame, source_path: str, transformer: str, version: str = "1.0") -> DataFrame:
+def add_silver_metadata(
+    df: DataFrame, source_path: str, transformer: str, version: str = "1.0", loaded_at: datetime | None = None
+) -> DataFrame:
+    """Silver columns; ``loaded_at`` marks all rows of one run with one time."""
     return df.withColumns(
         {
-            "_silver_load_timestamp": F.current_timestamp(),
+            "_silver_load_timestamp": F.current_timestamp() if loaded_at is None else F.lit(loaded_at).cast("timestamp"),
             "_bronze_source_path": F.lit(source_path),
             "_transformer_name": F.lit(transformer),
             "_transformation_version": F.lit(version),

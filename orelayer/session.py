@@ -111,6 +111,12 @@ def delete(spark: SparkSession, path: str) -> None:
         fs.delete(jpath, True)
 
 
+def has_shuffle(df: DataFrame) -> bool:
+    """Whether the plan moves rows, so that their order may change when a task
+    is repeated. Rows straight from files keep their order."""
+    return "Exchange" in df._jdf.queryExecution().executedPlan().toString()
+
+
 def estimated_bytes(df: DataFrame) -> int:
     """The optimizer's upper estimate of the size of ``df``; runs no job."""
     return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
