@@ -8,7 +8,6 @@ medians and samples; and the counts of whole rows for duplicates.
 from __future__ import annotations
 
 from collections.abc import Mapping
-from functools import reduce
 from typing import Any
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
@@ -294,11 +293,13 @@ def profile(df: DataFrame, source_name: str, exact: bool = True, work: Workspace
     """The whole profile as one row: overview, columns and score."""
     columns = profile_columns(df, exact, work=work)
     listed = columns.agg(F.array_sort(F.collect_list(F.struct(*_ORDER))).alias("columns"))
-    score = quality_score(columns).select(F.struct("*").alias("quality_score"))
-    overview = profile_overview(df).select(F.struct("*").alias("overview"))
-    parts = [overview, listed, score]  # one row each
-    joined = reduce(lambda a, b: a.withColumn("_k", F.lit(1)).join(b.withColumn("_k", F.lit(1)), "_k").drop("_k"), parts)
-    return joined.select(F.lit(source_name).alias("source_name"), F.current_timestamp().alias("timestamp"), *joined.columns)
+    return listed.select(
+        F.lit(source_name).alias("source_name"),
+        F.current_timestamp().alias("timestamp"),
+        profile_overview(df).select(F.struct("*")).scalar().alias("overview"),
+        "columns",
+        quality_score(columns).select(F.struct("*")).scalar().alias("quality_score"),
+    )
 
 
 def profile_file(spark: SparkSession, path: str, config: Mapping[str, Any] | None = None, exact: bool = True) -> DataFrame:
@@ -309,9 +310,9 @@ def profile_file(spark: SparkSession, path: str, config: Mapping[str, Any] | Non
         F.max("modified_at").alias("modified_at"),
     )
     name = path.rstrip("/").rsplit("/", 1)[-1]
-    described = F.struct(F.lit(name).alias("file_name"), F.lit(path).alias("file_path"), "files", "file_size_mb", "modified_at")
-    found = profile(read_file(spark, path, config), name, exact).withColumn("_k", F.lit(1))
-    return found.join(info.select(F.lit(1).alias("_k"), described.alias("file_info")), "_k").drop("_k")
+    described = info.select(F.struct(F.lit(name).alias("file_name"), F.lit(path).alias("file_path"), "*"))
+    found = profile(read_file(spark, path, config), name, exact)
+    return found.withColumn("file_info", described.scalar())
 
 
 __all__ = [

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import atexit
 import tempfile
 import uuid
 from collections.abc import Sequence
@@ -16,7 +17,6 @@ DEFAULTS = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
-    "spark.sql.sources.partitionOverwriteMode": "static",
     "spark.sql.parquet.compression.codec": "snappy",
 }
 
@@ -32,6 +32,9 @@ def build_session(app_name: str = "orelayer", master: str | None = None, **conf:
     return builder.getOrCreate()
 
 
+_LOCAL_DIRS: dict[str, str] = {}  # application id -> folder, local sessions only
+
+
 def shared_dir(spark: SparkSession) -> str:
     """The folder every executor can reach, as the session names it.
 
@@ -41,11 +44,12 @@ def shared_dir(spark: SparkSession) -> str:
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if configured:
         return configured.rstrip("/")
-    if spark.sparkContext.master.startswith("local"):
-        path = tempfile.mkdtemp(prefix="orelayer-")
-        spark.conf.set("spark.checkpoint.dir", path)
-        return path
-    raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
+    context = spark.sparkContext
+    if not context.master.startswith("local"):
+        raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
+    if context.applicationId not in _LOCAL_DIRS:
+        _LOCAL_DIRS[context.applicationId] = tempfile.mkdtemp(prefix="orelayer-")
+    return _LOCAL_DIRS[context.applicationId]
 
 
 class Workspace:
@@ -53,12 +57,15 @@ class Workspace:
 
     Writing a table cuts the lineage, survives the loss of executors, lets
     later steps read only the columns and partitions they need, and gives the
-    optimizer the true size of the data.
+    optimizer the true size of the data. The folder goes when the ``with``
+    block ends, or with the process for results that are read later.
     """
 
     def __init__(self, spark: SparkSession, label: str = "work"):
         self.spark = spark
         self.root = f"{shared_dir(spark)}/{label}-{uuid.uuid4().hex}"
+        self._where = _fs(spark, self.root)
+        _OPEN.add(self)
 
     def path(self, name: str) -> str:
         return f"{self.root}/{name}"
@@ -73,7 +80,10 @@ class Workspace:
         return self.spark.read.schema(df.schema).parquet(target)
 
     def drop(self) -> None:
-        delete(self.spark, self.root)
+        fs, jpath = self._where
+        if fs.exists(jpath):
+            fs.delete(jpath, True)
+        _OPEN.discard(self)
 
     def __enter__(self) -> "Workspace":
         return self
@@ -82,6 +92,18 @@ class Workspace:
         self.drop()
 
 
+_OPEN: set[Workspace] = set()
+
+
+@atexit.register
+def _drop_open() -> None:
+    for workspace in list(_OPEN):
+        try:
+            workspace.drop()
+        except Exception:  # the JVM is gone: nothing more can be done here
+            return
+
+
 def _fs(spark: SparkSession, path: str):
     jpath = spark._jvm.org.apache.hadoop.fs.Path(path)
     return jpath.getFileSystem(spark._jsc.hadoopConfiguration()), jpath
@@ -129,8 +151,20 @@ def broadcast_limit(spark: SparkSession) -> int:
     return int(digits) * units.get(raw[len(digits):] or "b", 1)
 
 
+# Operators whose output may be larger than the optimizer believes.
+_GROWING = ("Generate ", "Expand ", "MapInPandas", "MapInArrow", "MapPartitions", "FlatMapGroups", "PythonDataSource")
+
+
 def fits_broadcast(df: DataFrame) -> bool:
-    """True when the estimated size lies under the session's broadcast limit."""
+    """True when the size of ``df`` is bounded by the session's broadcast limit.
+
+    The estimate starts from the sizes of the files and is an upper bound for
+    filters, projections, joins and aggregates; plans with an operator that
+    can multiply rows beyond it never count as small.
+    """
+    plan = df._jdf.queryExecution().optimizedPlan().toString()
+    if any(name in plan for name in _GROWING):
+        return False
     return estimated_bytes(df) <= broadcast_limit(df.sparkSession)
 
 

@@ -134,7 +134,7 @@ select 'profiling' as metric_type, s_name as entity_name, timestamp '2024-01-01'
        s_acctbal as score, cast(s_nationkey as double) as null_percentage, cast(1 as double) as duplicate_percentage from supplier
 union all
 select 'validation', o_orderpriority, o_orderdate,
-       round(case when o_orderstatus = 'P' then null else (o_custkey - o_custkey // 8 * 8) / 8 * 100 end, 2), null, null from orders""")
+       round(case when o_orderstatus = 'P' then null else length(o_orderpriority) / 15 * 100 end, 2), null, null from orders""")
 def quality_summary(spark: SparkSession, sf: str) -> DataFrame:
     profiles = table(spark, sf, "supplier").select(
         F.col("s_name").alias("source_name"),
@@ -146,7 +146,7 @@ def quality_summary(spark: SparkSession, sf: str) -> DataFrame:
     runs = table(spark, sf, "orders").select(
         F.col("o_orderpriority").alias("pipeline_name"),
         F.col("o_orderdate").alias("validation_timestamp"),
-        F.when(F.col("o_orderstatus") == "P", 0).otherwise(8).alias("rules_executed"),
-        F.pmod("o_custkey", F.lit(8)).alias("rules_passed"),
+        F.when(F.col("o_orderstatus") == "P", 0).otherwise(15).alias("rules_executed"),
+        F.length("o_orderpriority").alias("rules_passed"),
     )
     return cat.quality_summary(profiles, runs)

@@ -198,10 +198,10 @@ def extract_incremental(spark: SparkSession, sf: str) -> DataFrame:
     return spark.read.parquet(run.target).select(*_EXTRACTED)
 
 
-@query("gated_pipeline", f"""
+@query("gated_run", f"""
 select product_id, count(transaction_id) as transaction_id_count, cast(sum(quantity) as bigint) as quantity_sum
 from ({SALES_SQL}) group by product_id""")
-def gated_pipeline(spark: SparkSession, sf: str) -> DataFrame:
+def gated_run(spark: SparkSession, sf: str) -> DataFrame:
     work = Workspace(spark, "gated")
     path = _sales_csv(spark, sf)
     declared = {"version": "1.0", "columns": [

@@ -218,3 +218,45 @@ def test_config(tmp_path, monkeypatch):
     assert config.load_config(path) == {"host": "db"}
     pytest.importorskip("yaml")
     assert config.load_config(write(tmp_path, "c.yaml", "host: ${ORE_HOST}\n")) == {"host": "db"}
+
+
+def test_workspace_is_private_and_goes(spark):
+    from orelayer.session import Workspace, exists
+
+    with Workspace(spark, "x") as a, Workspace(spark, "x") as b:
+        staged = a.stage(spark.range(3), "t")
+        assert staged.count() == 3 and a.root != b.root
+        with pytest.raises(Exception, match="(?i)exists"):
+            a.stage(spark.range(3), "t")
+    assert not exists(spark, a.root)
+
+
+def test_source_from_config(spark, tmp_path, monkeypatch, rows):
+    monkeypatch.setenv("ORE_FILE", write(tmp_path, "a.csv", "id;v\n1;x\n"))
+    described = {"path": "${ORE_FILE}", "expected_format": "csv", "csv": {"delimiter": ";"}}
+    assert rows(files.read_source(spark, described)) == [("1", "x")]
+    with pytest.raises(files.SourceError):
+        files.read_source(spark, {**described, "expected_format": "parquet"})
+    with pytest.raises(files.SourceError):
+        files.read_source(spark, {})
+
+
+def test_csv_quotes_and_backslashes(spark, tmp_path, rows):
+    path = write(tmp_path, "a.csv", 'id,name\n1,"a ""b"", c\\"\n2,d\\e\n')
+    assert rows(files.read_csv(spark, path)) == [("1", 'a "b", c\\'), ("2", "d\\e")]
+
+
+def test_broadcast_only_below_a_known_size(spark, work):
+    from orelayer.session import broadcast_limit, fits_broadcast
+
+    spark.range(1000).write.parquet(work.path("small"))
+    small = spark.read.parquet(work.path("small"))
+    assert broadcast_limit(spark) == 10 << 20
+    assert fits_broadcast(small.filter("id > 1"))
+    assert not fits_broadcast(small.select(F.explode(F.sequence(F.lit(1), F.lit(10**6)))))
+    assert not fits_broadcast(spark.range(10**9))
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "1k")
+    try:
+        assert broadcast_limit(spark) == 1024 and not fits_broadcast(small)
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "10485760")

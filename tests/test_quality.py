@@ -224,3 +224,27 @@ def test_overview_and_score(wild):
 def test_whole_profile(wild):
     row = profiling.profile(wild, "wild").first()
     assert row["source_name"] == "wild" and row["overview"]["total_rows"] == 4 and len(row["columns"]) == 6
+
+
+def test_profile_file(spark, tmp_path):
+    (tmp_path / "a.csv").write_text("id,v\n1,x\n2,\n")
+    row = profiling.profile_file(spark, str(tmp_path / "a.csv")).first()
+    assert row["source_name"] == "a.csv" and row["file_info"]["files"] == 1
+    assert row["overview"]["total_rows"] == 2 and row["quality_score"]["completeness"] == 75.0
+
+
+def test_column_tests(spark, rows):
+    tables = {
+        "departments": spark.createDataFrame([(1, "a"), (1, None)], "id int, department string"),
+        "jobs": spark.createDataFrame([(1, "j")], "id int, job string"),
+        "hired_employees": spark.createDataFrame(
+            [(1, "n", datetime(2021, 1, 1), 1, 1), (2, None, None, 9, None)],
+            "id int, name string, datetime timestamp_ntz, department_id int, job_id int"),
+    }
+    got = {tuple(r)[:3]: r["failures"] for r in q.run_column_tests(tables).collect()}
+    assert got[("departments", "id", "unique")] == 1
+    assert got[("departments", "department", "not_null")] == 1
+    assert got[("hired_employees", "department_id", "relationships")] == 1
+    assert got[("hired_employees", "job_id", "relationships")] == 0  # a null key is not an orphan
+    assert got[("hired_employees", "job_id", "not_null")] == 1
+    assert len(got) == 3 + 3 + 8
