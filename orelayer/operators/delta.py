@@ -24,9 +24,10 @@ CHANGES = "_changes"
 NEW, SKIPPED, CONFLICT = "new", "skipped", "conflict"
 
 # The wording of a conflict in the rejection log.
-CONFLICT_TEXT = "CONFLICT: {}={} exists with different data — "
+CONFLICT_TEXT = "CONFLICT: %s=%s exists with different data — %s"
 CHANGE_ARROW = " → "
-BATCH_TEXT = "CONFLICT: {}={} occurs with different data in one batch"
+NO_VALUE = "None"
+BATCH_TEXT = "CONFLICT: %s=%s occurs with different data in one batch"
 
 _CHANGE = "struct<field:string,current:string,incoming:string>"
 
@@ -171,24 +172,24 @@ def new_rows(outcome: DataFrame) -> DataFrame:
     return outcome.filter(F.col(STATUS) == NEW).drop(STATUS, COPIES, CHANGES)
 
 
-def conflict_reason(key: Sequence[str]) -> Column:
-    names = ",".join(key)
-    shown = F.concat_ws(",", *[F.col(k).cast("string") for k in key])
-    before, after = CONFLICT_TEXT.format(names, "\0").split("\0")
+def conflict_reason(outcome: DataFrame, key: Sequence[str]) -> Column:
+    """Text of a conflict; texts and times are quoted, numbers are not."""
+    plain = (T.NumericType, T.BooleanType)
+    quoted = [f.name for f in outcome.schema.fields if not isinstance(f.dataType, plain)]
+
+    def shown(change: Column, side: str) -> Column:
+        value = change[side]
+        text = F.when(change["field"].isin(*quoted), F.concat(F.lit("'"), value, F.lit("'"))).otherwise(value)
+        return F.coalesce(text, F.lit(NO_VALUE))
+
     pairs = F.transform(
         CHANGES,
-        lambda x: F.concat(
-            x["field"],
-            F.lit(": "),
-            F.coalesce(x["current"], F.lit("null")),
-            F.lit(CHANGE_ARROW),
-            F.coalesce(x["incoming"], F.lit("null")),
-        ),
+        lambda x: F.concat(x["field"], F.lit(": "), shown(x, "current"), F.lit(CHANGE_ARROW), shown(x, "incoming")),
     )
-    stored = F.concat(F.lit(before), shown, F.lit(after), F.concat_ws(", ", pairs))
-    head, tail = BATCH_TEXT.format(names, "\0").split("\0")
-    batch = F.concat(F.lit(head), shown, F.lit(tail))
-    return F.when(F.size(CHANGES) > 0, stored).otherwise(batch)
+    names = ",".join(key)
+    ids = F.concat_ws(",", *[F.col(k).cast("string") for k in key])
+    stored = F.format_string(CONFLICT_TEXT, F.lit(names), ids, F.concat_ws(", ", pairs))
+    return F.when(F.size(CHANGES) > 0, stored).otherwise(F.format_string(BATCH_TEXT, F.lit(names), ids))
 
 
 def conflict_log(outcome: DataFrame, table: str, key: Sequence[str]) -> DataFrame:
@@ -197,7 +198,7 @@ def conflict_log(outcome: DataFrame, table: str, key: Sequence[str]) -> DataFram
     return outcome.filter(F.col(STATUS) == CONFLICT).select(
         F.lit(table).alias("table_name"),
         F.to_json(F.struct(*columns), {"ignoreNullFields": "false"}).alias("raw_row"),
-        conflict_reason(key).alias("reason"),
+        conflict_reason(outcome, key).alias("reason"),
     )
 
 

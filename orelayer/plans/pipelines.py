@@ -81,8 +81,14 @@ def silver_schema(contract: Contract) -> T.StructType:
     return contract.typed_schema()
 
 
-def read_silver(spark: SparkSession, lake: Lake, contract: Contract, without: str | None = None) -> DataFrame:
-    return sinks.read_batches(spark, lake.table(contract.table), silver_schema(contract), without)
+def read_silver(
+    spark: SparkSession, lake: Lake, contract: Contract, without: str | None = None, loaded_at: bool = False
+) -> DataFrame:
+    """A silver table over its batches; ``loaded_at`` adds the load time."""
+    schema = silver_schema(contract)
+    if loaded_at:
+        schema = T.StructType([*schema.fields, T.StructField("_loaded_at", T.TimestampType())])
+    return sinks.read_batches(spark, lake.table(contract.table), schema, without)
 
 
 def read_rejections(spark: SparkSession, lake: Lake) -> DataFrame:
@@ -187,7 +193,7 @@ def batch_report(
         F.col(delta.STATUS).alias("outcome"),
         F.col(delta.COPIES).alias("copies"),
         raw.alias("raw_row"),
-        F.when(is_conflict, delta.conflict_reason(contract.key)).alias("reason"),
+        F.when(is_conflict, delta.conflict_reason(outcome, contract.key)).alias("reason"),
     )
     return refused.unionByName(compared)
 
@@ -270,6 +276,20 @@ def table_counts(tables: Mapping[str, DataFrame]) -> DataFrame:
     return result
 
 
+def lake_status(spark: SparkSession, lake: Lake) -> DataFrame:
+    """Rows per silver table and in the rejection log."""
+    tables = {name: read_silver(spark, lake, contract) for name, contract in STAFFING.items()}
+    return table_counts({**tables, "rejected_log": read_rejections(spark, lake)})
+
+
+def backup_table(
+    spark: SparkSession, root: str, contract: Contract, lake: Lake, day: date | str, fmt: str = "parquet"
+) -> dict[str, Any]:
+    """Back up a silver table with its load times."""
+    path = sinks.backup(read_silver(spark, lake, contract, loaded_at=True), root, contract, day, fmt)
+    return {"table": contract.table, "backup_file": path, "rows_backed_up": spark.read.format(fmt).load(path).count()}
+
+
 def restore_table(
     spark: SparkSession, root: str, contract: Contract, lake: Lake, fmt: str = "parquet"
 ) -> dict[str, Any]:

@@ -234,7 +234,7 @@ def delta_conflict(spark: SparkSession, sf: str) -> DataFrame:
 
 @query("delta_conflict_log", f"""
 select 'orders' as table_name, 'CONFLICT: o_orderkey=' || o_orderkey || ' exists with different data — '
-       || 'o_orderpriority: 1-URGENT → 1-RUSH' as reason
+       || 'o_orderpriority: ''1-URGENT'' → ''1-RUSH''' as reason
 from ({_INCOMING_SQL}) where {_STORED} and o_orderpriority = '1-RUSH'""")
 def delta_conflict_log(spark: SparkSession, sf: str) -> DataFrame:
     return delta.conflict_log(_order_outcome(spark, sf), "orders", ["o_orderkey"]).select("table_name", "reason")

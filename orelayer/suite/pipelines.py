@@ -237,3 +237,22 @@ _COUNTED = ("customer", "supplier", "part", "orders", "lineitem", "events", "doc
 @query("status_counts", " union all ".join(f"select '{t}' as table_name, count(*) as rows from {t}" for t in _COUNTED))
 def status_counts(spark: SparkSession, sf: str) -> DataFrame:
     return p.table_counts({t: table(spark, sf, t) for t in _COUNTED})
+
+
+@query("lake_status", f"""
+select 'departments' as table_name, count(*) as rows from supplier
+union all select 'jobs', count(*) from part where p_size > 5
+union all select 'hired_employees', count(*) from ({SILVER_SQL})
+union all select 'rejected_log', count(*) from ({_FK_SQL}) where why <> ''""")
+def lake_status(spark: SparkSession, sf: str) -> DataFrame:
+    lake, _ = _loaded(spark, sf)
+    return p.lake_status(spark, lake)
+
+
+@query("lake_backup", SILVER_SQL)
+def lake_backup(spark: SparkSession, sf: str) -> DataFrame:
+    """A silver table backed up, and the backup read with the table's types."""
+    lake, _ = _loaded(spark, sf)
+    root = Workspace(spark, "backups").root
+    p.backup_table(spark, root, HIRED_EMPLOYEES, lake, "2024-01-01")
+    return sinks.read_backup(spark, root, HIRED_EMPLOYEES).drop("_loaded_at")

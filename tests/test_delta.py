@@ -43,10 +43,17 @@ def test_changed_row_is_a_conflict_with_its_diff(spark):
     assert row[delta.STATUS] == "conflict"
     assert [tuple(x) for x in row[delta.CHANGES]] == [("name", "Sales", "Marketing")]
     log = delta.conflict_log(df, "departments", ["id"]).first()
-    assert log["reason"] == "CONFLICT: id=1 exists with different data — name: Sales → Marketing"
+    assert log["reason"] == "CONFLICT: id=1 exists with different data — name: 'Sales' → 'Marketing'"
     assert '"name":"Marketing"' in log["raw_row"]
 
 
+def test_conflict_text_of_numbers_and_nulls(spark):
+    new = spark.createDataFrame([(1, 5, None)], "id int, n int, s string")
+    old = spark.createDataFrame([(1, 4, "a")], "id int, n int, s string")
+    log = delta.conflict_log(delta.classify(new, old, ["id"]), "t", ["id"]).first()
+    assert log["reason"].endswith("n: 4 → 5, s: 'a' → None")
+
+
 def test_copies_in_one_batch(spark):
     assert statuses(outcome(spark, [(8, "A", T)] * 3)) == [(8, "new", 1), (8, "skipped", 2)]
     assert statuses(outcome(spark, [(9, "A", T), (9, "B", T)])) == [(9, "conflict", 1), (9, "conflict", 1)]

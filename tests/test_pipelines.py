@@ -54,7 +54,7 @@ def test_existing_row_wins(spark, lake, rows):
     assert result.conflicts == 1
     assert rows(p.read_silver(spark, lake, DEPARTMENTS)) == [(1, "Sales")]
     assert rows(p.read_rejections(spark, lake), "reason") == [
-        ("CONFLICT: id=1 exists with different data — department: Sales → Marketing",)]
+        ("CONFLICT: id=1 exists with different data — department: 'Sales' → 'Marketing'",)]
 
 
 def test_only_bad_rows_are_still_logged(spark, lake):
@@ -158,6 +158,18 @@ def test_restore_touches_one_table(spark, lake, work, csv_dir):
     assert p.read_silver(spark, lake, HIRED_EMPLOYEES).count() == 5
 
 
+def test_backup_and_status_of_the_lake(spark, lake, work, csv_dir, rows):
+    p.run_all(spark, csv_dir, lake, "2024-01-01")
+    assert rows(p.lake_status(spark, lake)) == [("departments", 3), ("hired_employees", 5), ("jobs", 2), ("rejected_log", 4)]
+    root, before = work.path("backups"), rows(p.read_silver(spark, lake, HIRED_EMPLOYEES, loaded_at=True))
+    assert p.backup_table(spark, root, HIRED_EMPLOYEES, lake, "2024-01-01")["rows_backed_up"] == 5
+    p.load(spark, staff(spark, ("50", "New", GOOD, "1", "1")), HIRED_EMPLOYEES, lake, "later")
+    result = p.restore_table(spark, root, HIRED_EMPLOYEES, lake)
+    assert result["rows_restored"] == 5 and set(result["orphans"].values()) == {0}
+    assert rows(p.read_silver(spark, lake, HIRED_EMPLOYEES, loaded_at=True)) == before
+    assert all(r[-1] is not None for r in before)
+
+
 SALES = "transaction_id,customer_id,product_id,quantity,unit_price,total_amount,transaction_date,customer_email,notes\n"
 
 
