@@ -76,7 +76,7 @@ def word_limits(data: np.ndarray, offsets: np.ndarray, is_break: np.ndarray = IS
 def powers(base: int, n: int) -> np.ndarray:
     """1, base, base**2 ... modulo 2**64."""
     out = np.ones(max(n, 1), np.uint64)
-    done, step = 1, np.array(base, np.uint64)
+    done, step = 1, np.array([base], np.uint64)  # an array wraps around silently
     while done < n:
         out[done : 2 * done] = out[: min(done, n - done)] * step
         done, step = 2 * done, step * step

@@ -10,9 +10,12 @@ from pyspark.sql import functions as F
 
 from orelayer.llm.byte_bpe import encode_texts
 from orelayer.llm.common import table
+from orelayer.llm.lattice_lm import lattice_scores, read_pieces
 from orelayer.llm.line_dedup import dedup_lines
 from orelayer.llm.quality_votes import judge
 from orelayer.llm.simhash import near_groups
+from orelayer.llm.token_spans import section_tokens
+from orelayer.llm.toxicity import fit_toxicity, score_toxicity
 from orelayer.session import Workspace
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -69,3 +72,22 @@ def op8_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op9_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
     return encode_texts(table(spark, sf_dir, "documents"), path, public_tokenizers.PATTERN, ids_col=False)
+
+
+@query("op1_toxicity")
+def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    model = fit_toxicity(docs, table(spark, sf_dir, "labels"), Workspace(spark, "op1"))
+    return score_toxicity(docs, model)
+
+
+@query("op2_token_spans")
+def op2_token_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = public_tokenizers.path("byte_bpe_50k.tiktoken")
+    return section_tokens(table(spark, sf_dir, "documents"), path, public_tokenizers.PATTERN, rule="most")
+
+
+@query("op4_lattice_lm")
+def op4_lattice_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pieces, scores = read_pieces(public_tokenizers.path("piece_bpe_32k.model"))
+    return lattice_scores(table(spark, sf_dir, "documents"), pieces, scores, Workspace(spark, "op4"), class_col="lang")
