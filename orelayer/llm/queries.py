@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from orelayer.llm.byte_bpe import encode_texts
 from orelayer.llm.common import table
+from orelayer.llm.decontaminate import contaminated
 from orelayer.llm.lattice_lm import lattice_scores, read_pieces
 from orelayer.llm.line_dedup import dedup_lines
 from orelayer.llm.quality_votes import judge
@@ -91,3 +92,8 @@ def op2_token_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op4_lattice_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
     pieces, scores = read_pieces(public_tokenizers.path("piece_bpe_32k.model"))
     return lattice_scores(table(spark, sf_dir, "documents"), pieces, scores, Workspace(spark, "op4"), class_col="lang")
+
+
+@query("op7_decontaminate")
+def op7_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), Workspace(spark, "op7"))
