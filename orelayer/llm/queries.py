@@ -17,6 +17,7 @@ from orelayer.llm.quality_votes import judge
 from orelayer.llm.simhash import near_groups
 from orelayer.llm.token_spans import section_tokens
 from orelayer.llm.toxicity import fit_toxicity, score_toxicity
+from orelayer.llm.wrappers import extract_text
 from orelayer.session import Workspace
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -97,3 +98,8 @@ def op4_lattice_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op7_decontaminate")
 def op7_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), Workspace(spark, "op7"))
+
+
+@query("op3_wrappers")
+def op3_wrappers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return extract_text(table(spark, sf_dir, "pages"), Workspace(spark, "op3"))
