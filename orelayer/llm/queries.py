@@ -17,6 +17,7 @@ from orelayer.llm.quality_votes import judge
 from orelayer.llm.simhash import near_groups
 from orelayer.llm.token_spans import section_tokens
 from orelayer.llm.toxicity import fit_toxicity, score_toxicity
+from orelayer.llm.transcripts import recover_roles
 from orelayer.llm.wrappers import extract_text
 from orelayer.session import Workspace
 
@@ -103,3 +104,8 @@ def op7_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op3_wrappers")
 def op3_wrappers(spark: SparkSession, sf_dir: str) -> DataFrame:
     return extract_text(table(spark, sf_dir, "pages"), Workspace(spark, "op3"))
+
+
+@query("op5_transcripts")
+def op5_transcripts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return recover_roles(table(spark, sf_dir, "conversations"), Workspace(spark, "op5"))
