@@ -9,11 +9,19 @@ from pyspark.sql import functions as F
 import public_tokenizers
 from orelayer.llm.byte_bpe import encode_texts
 from orelayer.llm.common import table
+from orelayer.llm.decontaminate import contaminated
 from orelayer.llm.line_dedup import dedup_lines
 from orelayer.llm.simhash import near_groups
+from orelayer.llm.toxicity import fit_toxicity, without_toxic
 from orelayer.session import Workspace
 
 
+def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that score below one half; the model learns from these documents and ``labels``."""
+    model = fit_toxicity(docs, table(spark, sf_dir, "labels"), Workspace(spark, "stage-toxicity"))
+    return without_toxic(docs, model)
+
+
 def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without the lines that an earlier document holds; those left without text go."""
     out = dedup_lines(docs, Workspace(spark, "stage-lines"))
@@ -38,6 +46,14 @@ def copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return unique.select(*docs.columns)
 
 
+def leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that hold no benchmark item, nor most of one."""
+    work = Workspace(spark, "stage-leaks")
+    found = contaminated(docs, table(spark, sf_dir, "benchmark"), work)
+    found = work.stage(found.select("doc_id").distinct(), "found")
+    return docs.join(found, "doc_id", "left_anti").select(*docs.columns)
+
+
 def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token ids of every text, with the check that they decode to its bytes."""
     path = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
@@ -45,8 +61,10 @@ def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 STAGES = [
+    ("toxicity", toxicity),
     ("line dedup", lines),
     ("simhash near-dedup", copies),
+    ("benchmark decontamination", leaks),
     ("byte-level bpe", tokens),
 ]
 

@@ -279,3 +279,15 @@ def score_toxicity(docs: DataFrame, model: ToxicModel, *, id_col: str = "doc_id"
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), (fold(F.col(id_col)) == 0).alias("held_out"), F.col(text_col).cast("string").alias("text"))
     out = in_tasks(rows, work, "doc_id long, held_out boolean, score double" + ", restored string" * keep_text)
     return out.withColumn("predicted", (F.col("score") >= threshold).cast("int"))
+
+
+def without_toxic(docs: DataFrame, model: ToxicModel, *, text_col: str = "text", threshold: float = 0.5) -> DataFrame:
+    """The rows of ``docs``, all columns, whose text scores below ``threshold``."""
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            keep = [model.score(str(t.as_py() or "")) < threshold for t in batch.column(text_col)]
+            yield batch.filter(pa.array(keep, pa.bool_()))
+
+    importable(docs.sparkSession)
+    return docs.mapInArrow(work, docs.schema)
