@@ -205,7 +205,7 @@ def lcs(a: np.ndarray, b: np.ndarray) -> int:
 
 def find_leaks(docs: DataFrame, t: Targets, *, min_cosine: float, min_lcs: float, weak_lcs: float, min_answer: float) -> DataFrame:
     """(id, item, passage, cosine, lcs, answer) of all pairs that pass the checks."""
-    low = min_cosine * float(t.share.min())
+    low = min_cosine * math.sqrt(float(t.share.min()))
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hasher = WordHash()
@@ -221,7 +221,8 @@ def find_leaks(docs: DataFrame, t: Targets, *, min_cosine: float, min_lcs: float
                 inside = np.concatenate([[0.0], np.cumsum(np.where(term >= 0, w * w, 0.0))])
                 stop = np.minimum(first + 2 * STEP, before[1:][row])
                 norm, own = square[stop] - square[first], inside[stop] - inside[first]
-                # no cosine with a benchmark passage exceeds the share of its terms in the document's passage
+                # Cauchy-Schwarz: a product with a passage's latent vector is at most its length, the root of
+                # ``share``, times that of the document's own benchmark terms
                 for k in np.flatnonzero(own >= low * low * norm):
                     a, b = first[k], stop[k]
                     x = np.bincount(term[a:b][term[a:b] >= 0], (w[a:b] ** 2)[term[a:b] >= 0]) if own[k] > 0 else np.zeros(0)
