@@ -166,7 +166,7 @@ def _alike(words: list[bytes], cells: int = 1 << 18) -> Iterator[np.ndarray]:
         at = stop
 
 
-def tokenised(docs: DataFrame, held_fold: int, classes: list[str], *, block_bytes: int, id_col: str, text_col: str, class_col: str | None) -> DataFrame:
+def tokenised(docs: DataFrame, held_fold: int, classes: list[str], n_classes: int, *, block_bytes: int, id_col: str, text_col: str, class_col: str | None) -> DataFrame:
     """Blocks of documents, each with its own numbering of its distinct words.
 
     Two kinds of rows. kind 0: (block, number, word, n0, n1 ...), a row for each distinct word of a
@@ -175,7 +175,6 @@ def tokenised(docs: DataFrame, held_fold: int, classes: list[str], *, block_byte
     each document with its words' numbers. A block is up to ``block_bytes`` of whole texts that one
     task met in a row, one text at least.
     """
-    n_classes = len(classes) + 1
     schema = "kind int, block long, number int, word binary, " + "".join(f"n{k} long, " for k in range(n_classes)) + "doc_id long, held_out boolean, numbers array<int>"
     names = [f.strip().split()[0] for f in schema.split(", ")]
 
@@ -247,7 +246,7 @@ def tokenised(docs: DataFrame, held_fold: int, classes: list[str], *, block_byte
     return in_tasks(rows, work, schema)
 
 
-def lattice_scores(docs: DataFrame, pieces: list[bytes], scores: np.ndarray, work: Workspace, *, held_fold: int = 1, rounds: int = 3, share: float = 0.05, max_classes: int = 8, block_bytes: int = 16_000_000, id_col: str = "doc_id", text_col: str = "text", class_col: str | None = None) -> DataFrame:
+def lattice_scores(docs: DataFrame, pieces: list[bytes], scores: np.ndarray, work: Workspace, *, held_fold: int = 1, rounds: int = 1, share: float = 0.05, max_classes: int = 8, block_bytes: int = 12_000_000, id_col: str = "doc_id", text_col: str = "text", class_col: str | None = None) -> DataFrame:
     """(doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score) for every row of ``docs``.
 
     Tokens are the words between ASCII white space, A-Z in lower case, and one end. Training texts
@@ -280,9 +279,10 @@ def lattice_scores(docs: DataFrame, pieces: list[bytes], scores: np.ndarray, wor
     if class_col:
         some = docs.where(fold(F.col(id_col)) != held_fold).where(F.col(class_col).isNotNull()).groupBy(F.col(class_col).alias("c")).count()
         classes = [r.c for r in some.orderBy(F.desc("count"), "c").limit(max_classes).collect()]
-    n_classes = len(classes) + 1
+    others = docs.where(fold(F.col(id_col)) != held_fold).where(~F.coalesce(F.col(class_col).isin(classes), F.lit(False))) if classes else docs
+    n_classes = len(classes) + (not classes or not others.isEmpty())
     kinds = range(n_classes)
-    rows = work.stage(tokenised(docs, held_fold, classes, block_bytes=block_bytes, id_col=id_col, text_col=text_col, class_col=class_col), "blocks", ["kind"])
+    rows = work.stage(tokenised(docs, held_fold, classes, n_classes, block_bytes=block_bytes, id_col=id_col, text_col=text_col, class_col=class_col), "blocks", ["kind"])
     counts = [f"n{k}" for k in kinds]
     words = rows.where("kind = 0").select("block", "number", "word", *counts)
     again = docs.sparkSession.read.schema(rows.schema).parquet(work.path("blocks"))  # apart, as both sides meet later
@@ -333,11 +333,11 @@ def lattice_scores(docs: DataFrame, pieces: list[bytes], scores: np.ndarray, wor
                     p[k] = (np.maximum(c[k] - give[k], 0) + give[k] * seen * p[k]) / of
             p = (1 - share) * p + share * (part @ p)
             p *= uses / n if n and uses else 0.5
-            base = np.log10((c.sum(0) + 0.5) / (n + 0.5 * (v + 1)))
-            cols = [batch.column("word"), pa.array(c.sum(0) > 0), pa.array(base), *map(pa.array, np.log10(p))]
-            yield pa.RecordBatch.from_arrays(cols, ["word", "seen", "base", *models])
+            cols = [batch.column("word"), pa.array(c.sum(0).astype(np.int64)), *map(pa.array, np.log10(p).astype(np.float32))]
+            yield pa.RecordBatch.from_arrays(cols, ["word", "c", *models])
 
-    schema = "word binary, seen boolean, base double, " + ", ".join(f"{m} double" for m in models)
+    # probabilities travel as four bytes: a word's logarithm is right to seven digits
+    schema = "word binary, c long, " + ", ".join(f"{m} float" for m in models)
     prices = work.stage(in_tasks(vocab, priced, schema), "prices")
     back = words.select("block", "number", "word").join(prices, "word").drop("word")
     end_base = math.log10((ends + 0.5) / (n + 0.5 * (v + 1)))
@@ -348,7 +348,9 @@ def lattice_scores(docs: DataFrame, pieces: list[bytes], scores: np.ndarray, wor
     def summed(texts: pd.DataFrame, prices: pd.DataFrame) -> pd.DataFrame:
         at = prices["number"].to_numpy()
         table = np.zeros((n_classes + 2, len(prices)))
-        table[:, at] = prices[["seen", "base", *models]].to_numpy(float).T
+        c = prices["c"].to_numpy(float)
+        table[0, at], table[1, at] = c > 0, np.log10((c + 0.5) / (n + 0.5 * (v + 1)))
+        table[2:, at] = prices[models].to_numpy(float).T
         sums = np.array([table[:, np.asarray(x, np.int64)].sum(1) for x in texts["numbers"]]).reshape(-1, n_classes + 2)
         by = sums[:, 2:] * math.log(10) + log_part
         most = by.max(1, keepdims=True)
