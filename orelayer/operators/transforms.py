@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from functools import reduce
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -58,14 +58,22 @@ def deduplicate(df: DataFrame, key_columns: Sequence[str], keep: str = "last") -
     """One row per key, the smallest (``first``) or largest (``last``) by value.
 
     All columns take part in the order. ``row_number() = 1`` is applied on the
-    map side too, so each task sends at most one row per key.
+    map side too, so each task sends at most one row per key. Rows with a null
+    key are no duplicates of each other: all are kept.
     """
     if keep not in ("first", "last"):
         raise ValueError(f"keep must be 'first' or 'last', got {keep!r}")
     rest = [c for c in df.columns if c not in key_columns]
     order = [F.col(c).asc() if keep == "first" else F.col(c).desc() for c in rest or key_columns]
-    ranked = Window.partitionBy(*key_columns).orderBy(*order)
-    return df.withColumn("_rank", F.row_number().over(ranked)).filter("_rank = 1").drop("_rank")
+    return _first_of_key(df, key_columns, order)
+
+
+def _first_of_key(df: DataFrame, key_columns: Sequence[str], order: Sequence[Column]) -> DataFrame:
+    """The first row of each key in one scan; a row without a key has a tag of its own."""
+    keyless = reduce(lambda a, b: a | b, [F.col(c).isNull() for c in key_columns])
+    tagged = df.withColumn("_tag", F.when(keyless, F.monotonically_increasing_id()).otherwise(F.lit(-1)))
+    ranked = Window.partitionBy(*key_columns, "_tag").orderBy(*order)
+    return tagged.withColumn("_rank", F.row_number().over(ranked)).filter("_rank = 1").drop("_rank", "_tag")
 
 
 def latest_by_key(df: DataFrame, key_columns: Sequence[str], arrival: Sequence[str]) -> DataFrame:
@@ -73,12 +81,8 @@ def latest_by_key(df: DataFrame, key_columns: Sequence[str], arrival: Sequence[s
 
     Rows with a null key are no duplicates of each other: all are kept.
     """
-    keyless = reduce(lambda a, b: a | b, [F.col(c).isNull() for c in key_columns])
     rest = [c for c in df.columns if c not in key_columns and c not in arrival]
-    order = [F.col(c).desc() for c in (*arrival, *rest)]
-    ranked = Window.partitionBy(*key_columns).orderBy(*order)
-    keyed = df.filter(~keyless).withColumn("_rank", F.row_number().over(ranked)).filter("_rank = 1")
-    return keyed.drop("_rank").unionByName(df.filter(keyless))
+    return _first_of_key(df, key_columns, [F.col(c).desc() for c in (*arrival, *rest)])
 
 
 def add_surrogate_key(

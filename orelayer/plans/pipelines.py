@@ -258,11 +258,18 @@ def refresh_marts(spark: SparkSession, lake: Lake, year: int = 2021) -> dict[str
 
 
 def run_all(spark: SparkSession, csv_dir: str, lake: Lake, day: date | str, header: bool = False) -> dict[str, Any]:
-    """Land, load dimensions, load facts, rebuild the marts."""
+    """Land, load dimensions, load facts, rebuild the marts.
+
+    A day reads the bronze partitions that no earlier day has loaded, and its
+    own, so a bad row is rejected once and old partitions are not read again.
+    """
     landed = land_sources(spark, csv_dir, lake, day, header)
     loads = {}
     for table in ("departments", "jobs", "hired_employees"):
-        result = bronze_to_silver(spark, STAFFING[table], lake, batch_id=str(day))
+        done = [d for d in files.partition_values(spark, lake.table(table), sinks.BATCH) if d < str(day)]
+        days = files.partition_values(spark, files.bronze_path(lake.bronze, table), files.BRONZE_PARTITION)
+        since = min([d for d in days if not done or d > max(done)], default=str(day))
+        result = bronze_to_silver(spark, STAFFING[table], lake, batch_id=str(day), since=since)
         loads[table] = result.to_dict() if result else None
     return {"landed": landed, "loads": loads, "marts": refresh_marts(spark, lake)}
 

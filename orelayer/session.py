@@ -9,6 +9,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 # UTC keeps wall-clock timestamps stable; the adaptive settings coalesce small
 # shuffle partitions and split skewed ones at run time.
@@ -127,6 +128,14 @@ def list_names(spark: SparkSession, path: str) -> list[str]:
     return sorted(s.getPath().getName() for s in fs.listStatus(jpath))
 
 
+def move(spark: SparkSession, source: str, target: str) -> bool:
+    """Rename within one file system; False when the target is there already."""
+    fs, jpath = _fs(spark, source)
+    goal = spark._jvm.org.apache.hadoop.fs.Path(target)
+    fs.mkdirs(goal.getParent())
+    return False if fs.exists(goal) else bool(fs.rename(jpath, goal))
+
+
 def delete(spark: SparkSession, path: str) -> None:
     fs, jpath = _fs(spark, path)
     if fs.exists(jpath):
@@ -140,34 +149,46 @@ def has_shuffle(df: DataFrame) -> bool:
 
 
 def estimated_bytes(df: DataFrame) -> int:
-    """The optimizer's upper estimate of the size of ``df``; runs no job."""
+    """The optimizer's estimate of the size of ``df``, no bound; runs no job."""
     return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
 
 
 def broadcast_limit(spark: SparkSession) -> int:
-    raw = str(spark.conf.get("spark.sql.autoBroadcastJoinThreshold", "10485760")).lower()
-    units = {"b": 1, "k": 1 << 10, "kb": 1 << 10, "m": 1 << 20, "mb": 1 << 20, "g": 1 << 30, "gb": 1 << 30}
-    digits = raw.rstrip("bkmg")
-    return int(digits) * units.get(raw[len(digits):] or "b", 1)
-
-
-# Operators whose output may be larger than the optimizer believes.
-_GROWING = ("Generate ", "Expand ", "MapInPandas", "MapInArrow", "MapPartitions", "FlatMapGroups", "PythonDataSource")
+    """The session's limit in bytes, in any unit that Spark accepts; -1 turns broadcasts off."""
+    raw = str(spark.conf.get("spark.sql.autoBroadcastJoinThreshold", "10485760"))
+    return int(spark._jvm.org.apache.spark.network.util.JavaUtils.byteStringAsBytes(raw)) if raw.strip() != "-1" else -1
 
 
 def fits_broadcast(df: DataFrame) -> bool:
-    """True when the size of ``df`` is bounded by the session's broadcast limit.
+    """True when ``df`` is proven to take no more than the session's broadcast limit.
 
-    The estimate starts from the sizes of the files and is an upper bound for
-    filters, projections, joins and aggregates; plans with an operator that
-    can multiply rows beyond it never count as small.
+    The optimizer's estimate starts from compressed files and is no bound: it only rules out what
+    is too large already. What is left is measured, by reading one row more than the limit could
+    hold at most: its rows times their fixed width, and the real bytes of its texts and nested
+    values.
     """
-    plan = df._jdf.queryExecution().optimizedPlan().toString()
-    if any(name in plan for name in _GROWING):
+    limit = broadcast_limit(df.sparkSession)
+    if limit <= 0 or estimated_bytes(df) > limit:
         return False
-    return estimated_bytes(df) <= broadcast_limit(df.sparkSession)
+    fixed = 8 * (len(df.columns) + 1)
+    most = limit // fixed
+    sizes = [F.lit(0)]
+    for f in df.schema.fields:
+        c = F.col(quoted(f.name))
+        if isinstance(f.dataType, T.AtomicType):
+            if isinstance(f.dataType, (T.StringType, T.BinaryType)):
+                sizes.append(F.coalesce(F.octet_length(c), F.lit(0)))
+        else:
+            sizes.append(F.coalesce(F.octet_length(F.to_json(F.struct(c))), F.lit(0)))
+    row = df.select(sum(sizes[1:], sizes[0]).cast("bigint").alias("b")).limit(most + 1).agg(F.count("*"), F.sum("b")).first()
+    return row[0] <= most and row[0] * fixed + (row[1] or 0) <= limit
+
+
+def quoted(name: str) -> str:
+    """A column's name as Spark reads it, dots and ticks included."""
+    return "`" + name.replace("`", "``") + "`"
 
 
 def broadcast_if_small(df: DataFrame) -> DataFrame:
-    """Broadcast hint only behind the size check; otherwise left to the optimizer."""
+    """Broadcast hint only behind the measured size; otherwise left to the optimizer."""
     return F.broadcast(df) if fits_broadcast(df) else df

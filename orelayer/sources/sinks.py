@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Mapping, Sequence
 from datetime import date, datetime
 from typing import Any
@@ -11,7 +12,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..operators.contract import Contract
-from ..session import exists
+from ..session import delete, exists, list_names, move
 from .files import BRONZE_PARTITION, SourceError, bronze_path, partition_values, read_latest_partition
 
 BATCH = "batch_id"
@@ -31,14 +32,41 @@ def append_bronze(df: DataFrame, base: str, table: str, day: date | str) -> str:
 
 
 def land_bronze(df: DataFrame, base: str, table: str, day: date | str) -> bool:
-    """Write the day's partition unless it exists; False when it was skipped."""
+    """Write the day's partition unless it holds files; False when it was skipped.
+
+    The files are written aside and the finished folder is renamed into place, so a partition that
+    is there is whole, whoever wrote it and whatever marks it carries.
+    """
     spark = df.sparkSession
     path = f"{bronze_path(base, table)}/{BRONZE_PARTITION}={day}"
-    if exists(spark, f"{path}/_SUCCESS"):
+    if _has_files(spark, path):
         return False
-    # A partition without the success mark is a landing that broke off.
-    df.write.mode("overwrite").parquet(path)
-    return True
+    aside = f"{base.rstrip('/')}/_landing/{table}-{day}-{uuid.uuid4().hex}"
+    df.write.mode("errorifexists").parquet(aside)
+    if not _has_files(spark, path):
+        delete(spark, path)  # at most the traces of a writer that broke off
+        if move(spark, aside, path):
+            return True
+    delete(spark, aside)
+    return False
+
+
+def _has_files(spark: SparkSession, path: str) -> bool:
+    return any(n[0] not in "._" for n in list_names(spark, path))
+
+
+def append_files(df: DataFrame, base: str, table: str, day: date | str, name: str) -> None:
+    """Add files of a given name to the day's partition; the same name again replaces its files."""
+    spark = df.sparkSession
+    path = f"{bronze_path(base, table)}/{BRONZE_PARTITION}={day}"
+    aside = f"{base.rstrip('/')}/_landing/{table}-{day}-{uuid.uuid4().hex}"
+    df.write.mode("errorifexists").parquet(aside)
+    for old in list_names(spark, path):
+        if old.startswith(f"{name}-"):
+            delete(spark, f"{path}/{old}")
+    for i, part in enumerate(n for n in list_names(spark, aside) if n[0] not in "._"):
+        move(spark, f"{aside}/{part}", f"{path}/{name}-{i:05d}.parquet")
+    delete(spark, aside)
 
 
 def write_extract(df: DataFrame, base: str, prefix: str, moment: datetime, partition_by: Sequence[str] = ()) -> str:

@@ -6,6 +6,7 @@ progress lives in the checkpoint folder.
 
 from __future__ import annotations
 
+import json
 from collections.abc import Sequence
 from datetime import date
 from typing import Any
@@ -19,12 +20,7 @@ from ..operators.contract import Contract
 from ..operators.metadata import add_trace
 from ..plans.pipelines import Lake, load
 from ..session import is_dir
-from ..sources.files import BRONZE_PARTITION, bronze_path
-
-# Copies of one key are spread over this many groups in the first of the two
-# dedup steps; the second then sees at most as many rows per key and delay.
-DEDUP_GROUPS = 32
-
+from ..sources.sinks import append_files, read_batches, write_batch
 
 def read_stream(spark: SparkSession, path: str, schema: T.StructType, fmt: str = "parquet", **options: Any) -> DataFrame:
     """New files below a folder; a single file is picked out of its folder."""
@@ -41,18 +37,27 @@ def run_available(writer) -> StreamingQuery:
     return query
 
 
+def stream_identity(spark: SparkSession, checkpoint: str) -> str:
+    """The identity that Spark keeps in a checkpoint: the same over restarts, another for a new one."""
+    rows = spark.read.text(f"{checkpoint.rstrip('/')}/metadata").collect()
+    return json.loads("".join(r[0] for r in rows))["id"]
+
+
 def land_stream(
     source: DataFrame, base: str, table: str, checkpoint: str, day: date | str, system: str = "file"
 ) -> StreamingQuery:
-    """New source files into the bronze partition of the day, with trace columns."""
-    traced = add_trace(source, system, table, "stream").withColumn(BRONZE_PARTITION, F.lit(str(day)))
-    writer = (
-        traced.writeStream.format("parquet")
-        .option("path", bronze_path(base, table))
-        .option("checkpointLocation", checkpoint)
-        .partitionBy(BRONZE_PARTITION)
-    )
-    return run_available(writer)
+    """New source files into the bronze partition of the day, with trace columns.
+
+    Each micro-batch adds plain files named after the stream and its number, so batch and stream
+    landings share a partition, all readers see both, and a replay replaces its own files.
+    """
+    traced = add_trace(source, system, table, "stream")
+
+    def each(batch: DataFrame, number: int) -> None:
+        name = f"stream-{stream_identity(batch.sparkSession, checkpoint)}-{number}"
+        append_files(batch, base, table, day, name)
+
+    return run_available(traced.writeStream.foreachBatch(each).option("checkpointLocation", checkpoint))
 
 
 def load_stream(
@@ -64,12 +69,13 @@ def load_stream(
 ) -> StreamingQuery:
     """Each micro-batch through the same load as a batch run.
 
-    The batch number keys both sinks, so a replayed micro-batch replaces its
-    own rows in the table and in the log.
+    The stream's identity and the batch number key both sinks: a replayed micro-batch replaces its
+    own rows in the table and in the log, and no other stream's.
     """
 
     def each(batch: DataFrame, number: int) -> None:
-        load(batch.sparkSession, batch, contract, lake, f"stream-{number}", parents)
+        spark = batch.sparkSession
+        load(spark, batch, contract, lake, f"stream-{stream_identity(spark, checkpoint)}-{number}", parents)
 
     return run_available(source.writeStream.foreachBatch(each).option("checkpointLocation", checkpoint))
 
@@ -78,20 +84,29 @@ def _event_time(df: DataFrame, column: str) -> DataFrame:
     return df.withColumn(column, F.col(column).cast("timestamp"))
 
 
-def keep_first(source: DataFrame, keys: Sequence[str], time_column: str, delay: str) -> DataFrame:
-    """One row per key within the delay.
+def keep_first(
+    source: DataFrame, keys: Sequence[str], time_column: str, delay: str, path: str, checkpoint: str
+) -> StreamingQuery:
+    """Into a table: of each key the earliest row, unless the key was kept within the delay before.
 
-    Two steps: the copies of a key are first deduplicated in several groups,
-    so a key that holds a third of the stream is not one task's work.
+    A micro-batch is reduced to its earliest row for each key by an aggregate, which takes a hot key
+    down to a row for each task before the shuffle; equal times are decided by the other columns.
+    The rows that are left are held against the keys kept before. A micro-batch writes a folder of
+    its own, so a replay replaces its own rows. Null keys are equal to each other.
     """
-    spread = [c for c in source.columns if c not in keys] or list(keys)
-    marked = _event_time(source, time_column).withWatermark(time_column, delay)
-    grouped = marked.withColumn("_group", F.pmod(F.xxhash64(*spread), F.lit(DEDUP_GROUPS)))
-    return (
-        grouped.dropDuplicatesWithinWatermark([*keys, "_group"])
-        .dropDuplicatesWithinWatermark(list(keys))
-        .drop("_group")
-    )
+    rest = [c for c in source.columns if c not in keys and c != time_column]
+
+    def each(batch: DataFrame, number: int) -> None:
+        spark, part = batch.sparkSession, f"stream-{stream_identity(batch.sparkSession, checkpoint)}-{number}"
+        timed = _event_time(batch, time_column)
+        first = timed.groupBy(*keys).agg(F.min(F.struct(time_column, *rest)).alias("_first")).select(*keys, "_first.*")
+        kept = read_batches(spark, path, first.schema, without=part)
+        seen = kept.select(*[F.col(k).alias(f"_{k}") for k in keys], F.col(time_column).alias("_seen"))
+        same = [F.col(k).eqNullSafe(F.col(f"_{k}")) for k in keys]
+        late = (F.col(time_column) <= F.col("_seen") + F.expr(f"interval {delay}"))
+        write_batch(first.join(seen, [*same, late], "left_anti").select(*source.columns), path, part)
+
+    return run_available(source.writeStream.foreachBatch(each).option("checkpointLocation", checkpoint))
 
 
 def windowed_counts(source: DataFrame, group: str, time_column: str, width: str, delay: str) -> DataFrame:

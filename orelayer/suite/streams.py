@@ -9,6 +9,7 @@ from ..operators.contract import Contract, Field, ForeignKey
 from ..plans.pipelines import Lake, read_rejections, read_silver
 from ..session import Workspace
 from ..sources.files import read_bronze
+from ..sources.sinks import append_bronze, land_bronze
 from ..streaming import streams as st
 from .base import query, table
 
@@ -60,12 +61,41 @@ def stream_split_bad(spark: SparkSession, sf: str) -> DataFrame:
     return read_rejections(spark, _stream_loaded(spark, sf)).select("table_name", "reason")
 
 
-@query("stream_dedup", "select distinct user_id, event_type from events")
+@query("stream_dedup", """
+select * exclude (r) from (
+  select *, row_number() over (partition by user_id, event_type order by ts, event_id) as r from events) where r = 1""")
 def stream_dedup(spark: SparkSession, sf: str) -> DataFrame:
     work = Workspace(spark, "stream")
-    first = st.keep_first(_events(spark, sf), ["user_id", "event_type"], "ts", "60 days")
-    st.append_to(first.select("user_id", "event_type"), work.path("out"), work.path("checkpoint"))
-    return spark.read.parquet(work.path("out"))
+    st.keep_first(_events(spark, sf), ["user_id", "event_type"], "ts", "60 days", work.path("out"), work.path("checkpoint"))
+    return spark.read.parquet(work.path("out")).drop("batch_id")
+
+
+@query("stream_two_sources", "select event_id, user_id, event_type, value from events where value >= 1 and user_id in (select s_suppkey from supplier)")
+def stream_two_sources(spark: SparkSession, sf: str) -> DataFrame:
+    """Two streams, each with its own checkpoint, into one table; each runs twice."""
+    work = Workspace(spark, "stream")
+    lake, parents = Lake.under(work.path("lake")), {"supplier": table(spark, sf, "supplier")}
+    for name, odd in (("a", 0), ("b", 1), ("a", 0), ("b", 1)):
+        half = _events(spark, sf).where(F.col("event_id") % 2 == odd)
+        st.load_stream(half, EVENT_CONTRACT, lake, work.path(name), parents)
+    return read_silver(spark, lake, EVENT_CONTRACT)
+
+
+@query("land_mixed", """
+select event_id, cast('2024-02-01' as date) as ingested_date, n from events, (values (1), (2)) as t(n)
+union all select event_id, cast('2024-02-02' as date), 3 from events""")
+def land_mixed(spark: SparkSession, sf: str) -> DataFrame:
+    """Stream, batch append and repeated landing in one table and day, and a landing of another day."""
+    work = Workspace(spark, "stream")
+    base, one = work.path("bronze"), table(spark, sf, "events").select("event_id")
+    stream = _events(spark, sf).select("event_id", F.lit(1).alias("n"))
+    for _ in range(2):
+        st.land_stream(stream, base, "events", work.path("checkpoint"), "2024-02-01")
+        land_bronze(one.withColumn("n", F.lit(9)), base, "events", "2024-02-01")  # the day is there: skipped
+    append_bronze(one.withColumn("n", F.lit(2)), base, "events", "2024-02-01")
+    for n in (3, 9):
+        land_bronze(one.withColumn("n", F.lit(n)), base, "events", "2024-02-02")
+    return read_bronze(spark, base, "events").select("event_id", "ingested_date", "n")
 
 
 @query("stream_window", """

@@ -112,6 +112,8 @@ def test_bronze_append_and_landing(spark, work, rows):
     sinks.append_bronze(df, base, "t", date(2024, 1, 1))  # adds files, rewrites none
     assert sinks.land_bronze(df, base, "t", "2024-01-02") is True
     assert sinks.land_bronze(df, base, "t", "2024-01-02") is False
+    df.write.option("mapreduce.fileoutputcommitter.marksuccessfuljobs", "false").parquet(f"{base}/u/ingested_date=2024-01-03")
+    assert sinks.land_bronze(df.limit(0), base, "u", "2024-01-03") is False  # whole without a mark
     found = files.read_bronze(spark, base, "t")
     assert rows(found.groupBy("ingested_date").count()) == [(date(2024, 1, 1), 4), (date(2024, 1, 2), 2)]
     path = files.bronze_path(base, "t")
@@ -255,6 +257,11 @@ def test_broadcast_only_below_a_known_size(spark, work):
     assert fits_broadcast(small.filter("id > 1"))
     assert not fits_broadcast(small.select(F.explode(F.sequence(F.lit(1), F.lit(10**6)))))
     assert not fits_broadcast(spark.range(10**9))
+    # the same long text in every row: files of a few bytes a row, far more in memory
+    spark.range(0, 300_000, 1, 1).select(F.lit("x" * 200).alias("t")).write.parquet(work.path("dense"))
+    assert not fits_broadcast(spark.read.parquet(work.path("dense")))
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "1t")
+    assert broadcast_limit(spark) == 1 << 40
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "1k")
     try:
         assert broadcast_limit(spark) == 1024 and not fits_broadcast(small)

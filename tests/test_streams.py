@@ -4,6 +4,7 @@ from pyspark.sql import functions as F
 
 from orelayer.operators.contract import DEPARTMENTS
 from orelayer.plans.pipelines import Lake, load, read_rejections, read_silver
+from orelayer.sources import sinks
 from orelayer.sources.files import read_bronze
 from orelayer.streaming import streams as st
 
@@ -43,11 +44,14 @@ def test_stream_load_equals_batch_load(spark, work, rows):
 
 def test_keep_first_over_batches(spark, work, rows):
     src = work.path("src")
-    for batch in ([("a", T, 1), ("a", T, 2), ("b", T, 3)], [("a", T + timedelta(minutes=1), 4), ("c", T, 5)]):
+    late, hours = T + timedelta(minutes=1), T + timedelta(hours=3)
+    for batch in ([("a", late, 1), ("a", T, 2), ("b", T, 4), ("b", T, 3), (None, T, 9)], [("a", late, 4), ("c", T, 5), (None, late, 8)], [("a", hours, 6)]):
         put(spark, src, *batch)
-        first = st.keep_first(st.read_stream(spark, src, spark.read.parquet(src).schema), ["k"], "ts", "1 hour")
-        st.append_to(first.select("k"), work.path("out"), work.path("ck"))
-    assert rows(spark.read.parquet(work.path("out"))) == [("a",), ("b",), ("c",)]
+        for _ in range(2):  # the second run finds nothing new
+            source = st.read_stream(spark, src, spark.read.parquet(src).schema)
+            st.keep_first(source, ["k"], "ts", "1 hour", work.path("out"), work.path("ck"))
+    got = rows(spark.read.parquet(work.path("out")), "k", "v")
+    assert got == [(None, 9), ("a", 2), ("a", 6), ("b", 3), ("c", 5)]  # the earliest; anew after the delay
 
 
 def test_keep_first_with_one_hot_key(spark, work):
@@ -55,10 +59,30 @@ def test_keep_first_with_one_hot_key(spark, work):
     spark.range(6000).select(
         F.when(F.col("id") % 3 == 0, "hot").otherwise(F.col("id").cast("string")).alias("k"),
         F.lit(T).cast("timestamp_ntz").alias("ts"), F.col("id").cast("int").alias("v")).write.parquet(src)
-    first = st.keep_first(st.read_stream(spark, src, spark.read.parquet(src).schema), ["k"], "ts", "1 hour")
-    st.append_to(first.select("k"), work.path("out"), work.path("ck"))
+    st.keep_first(st.read_stream(spark, src, spark.read.parquet(src).schema), ["k"], "ts", "1 hour", work.path("out"), work.path("ck"))
     out = spark.read.parquet(work.path("out"))
-    assert out.count() == out.distinct().count() == 4001
+    assert out.count() == out.select("k").distinct().count() == 4001
+    assert out.where("k = 'hot'").first()["v"] == 0
+
+
+def test_two_streams_keep_their_rows(spark, work, rows):
+    lake = Lake.under(work.path("lake"))
+    for name, batch in (("a", [("1", "A"), ("2", "B")]), ("b", [("3", "C"), ("4", "D"), ("x", "bad")])):
+        spark.createDataFrame(batch, DEPARTMENTS.string_schema()).write.parquet(work.path(name))
+    for name in "abab":
+        st.load_stream(st.read_stream(spark, work.path(name), DEPARTMENTS.string_schema()), DEPARTMENTS, lake, work.path("ck" + name))
+    assert [r[0] for r in rows(read_silver(spark, lake, DEPARTMENTS))] == [1, 2, 3, 4]
+    assert read_rejections(spark, lake).count() == 1
+
+
+def test_batch_and_stream_landing_share_a_day(spark, work):
+    src, base = work.path("src"), work.path("bronze")
+    put(spark, src, ("a", T, 1))
+    df = spark.read.parquet(src)
+    st.land_stream(st.read_stream(spark, src, df.schema), base, "e", work.path("ck"), "2024-01-01")
+    sinks.append_bronze(df, base, "e", "2024-01-01")
+    assert sinks.land_bronze(df, base, "e", "2024-01-01") is False
+    assert read_bronze(spark, base, "e").count() == 2
 
 
 def test_late_rows_are_dropped(spark, work, rows):

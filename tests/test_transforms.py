@@ -44,8 +44,8 @@ def test_calculated_and_filter(people, rows):
 
 
 @pytest.mark.parametrize("keep, expected", [
-    ("first", [(1, None), (2, 5), (None, 7)]),
-    ("last", [(1, 3), (2, 5), (None, 8)]),
+    ("first", [(1, None), (2, 5), (None, 7), (None, 8)]),  # rows without a key are no duplicates
+    ("last", [(1, 3), (2, 5), (None, 7), (None, 8)]),
 ])
 def test_deduplicate(spark, rows, keep, expected):
     df = spark.createDataFrame([(1, 3), (1, 2), (1, None), (2, 5), (2, 5), (None, 7), (None, 8)], "k int, v int")
@@ -129,3 +129,9 @@ def test_trace_columns(spark, work):
     assert "other" not in df.columns and "_other" not in df.columns
     silver = metadata.add_silver_metadata(spark.range(1), "p", "t").first()
     assert (silver["_bronze_source_path"], silver["_transformer_name"], silver["_transformation_version"]) == ("p", "t", "1.0")
+
+
+def test_rows_without_a_key_are_no_duplicates(spark, rows):
+    df = spark.createDataFrame([(None, 1), (None, 1), (1, 2), (1, 3)], "k int, v int")
+    assert rows(tr.deduplicate(df, ["k"])) == [(1, 3), (None, 1), (None, 1)]
+    assert rows(tr.latest_by_key(df, ["k"], ["v"])) == [(1, 3), (None, 1), (None, 1)]
