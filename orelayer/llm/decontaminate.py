@@ -205,7 +205,7 @@ def lcs(a: np.ndarray, b: np.ndarray) -> int:
 
 def find_leaks(docs: DataFrame, t: Targets, *, min_cosine: float, min_lcs: float, weak_lcs: float, min_answer: float) -> DataFrame:
     """(id, item, passage, cosine, lcs, answer) of all pairs that pass the checks."""
-    low = min_cosine * math.sqrt(float(t.share.min()))
+    low = min_cosine
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hasher = WordHash()
@@ -221,8 +221,8 @@ def find_leaks(docs: DataFrame, t: Targets, *, min_cosine: float, min_lcs: float
                 inside = np.concatenate([[0.0], np.cumsum(np.where(term >= 0, w * w, 0.0))])
                 stop = np.minimum(first + 2 * STEP, before[1:][row])
                 norm, own = square[stop] - square[first], inside[stop] - inside[first]
-                # Cauchy-Schwarz: a product with a passage's latent vector is at most its length, the root of
-                # ``share``, times that of the document's own benchmark terms
+                # Cauchy-Schwarz: no cosine with any benchmark passage exceeds the share of the benchmark's
+                # terms in the length of the document's passage
                 for k in np.flatnonzero(own >= low * low * norm):
                     a, b = first[k], stop[k]
                     x = np.bincount(term[a:b][term[a:b] >= 0], (w[a:b] ** 2)[term[a:b] >= 0]) if own[k] > 0 else np.zeros(0)
@@ -251,7 +251,8 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, work: Workspace, *, rank
     Texts are cut into overlapping passages of 64 words, items into passages of 32. Words lie
     between other ASCII characters than letters and digits, A-Z in lower case. A document's passage
     is a candidate if its latent cosine with an item's passage is at least ``min_cosine``, as far as
-    the latent space holds that passage; every passage of every document is compared. A candidate
+    the latent space holds that passage; every passage of every document is compared, but for those
+    whose benchmark terms are too few to reach ``min_cosine`` with anything. A candidate
     stays if the longest common subsequence has ``min_lcs`` of the item's passage, or ``weak_lcs``
     and the item's last words, its answer, follow for ``min_answer``. The row has the best values.
 
