@@ -5,10 +5,11 @@ from __future__ import annotations
 import base64
 import hashlib
 import re
+from array import array
 from collections.abc import Iterator
 from functools import lru_cache
-from itertools import chain
 
+import ahocorasick
 import numpy as np
 import pyarrow as pa
 import regex
@@ -32,8 +33,12 @@ class PrefixEncoder:
         self.ranks = ranks
         self.size = max(map(len, ranks))
         self.by_rank: dict[int, bytes] = {r: b for b, r in ranks.items()}
-        self.longest = [max((len(b) for b in group), default=1) for group in _by_last_byte(ranks)]
-        self.pairs: dict[tuple[int, int], bool] = {}
+        self.most = max(self.by_rank) + 1
+        self.finder = ahocorasick.Automaton()  # all tokens that end at a byte
+        for b, r in ranks.items():
+            self.finder.add_word(b.decode("latin-1"), (r, len(b)))
+        self.finder.make_automaton()
+        self.pairs: dict[int, bool] = {}
         self.halves: dict[int, tuple[int, int] | None] = {}
 
     def merge(self, piece: bytes) -> list[int]:
@@ -61,17 +66,16 @@ class PrefixEncoder:
         return self.halves[token]
 
     def _follows(self, left: int, right: int) -> bool:
-        """Whether merging the bytes of both gives just the two.
+        """Whether merging the bytes of both gives just the two; with -1 to the left, whether merging
+        makes the right one.
 
         Merging goes by rank. Undo it from the two tokens on, the higher rank first: what touches
         the border at each moment is the last part of the left and the first of the right token.
         If those had merged before the next undone merge, the two tokens would not have come about.
         """
-        ok = self.pairs.get((left, right))
-        if ok is not None:
-            return ok
-        a, b, before, ok = left, right, 1 << 62, True
-        while True:
+        ok = self._halves(right) is not None
+        a, b, before = left, right, 1 << 62
+        while ok and left >= 0:
             joined = self.ranks.get(self.by_rank[a] + self.by_rank[b])
             if joined is not None and joined < before:
                 ok = False
@@ -86,29 +90,29 @@ class PrefixEncoder:
                 break
         if len(self.pairs) >= 1_000_000:  # bounded memory; answers are only recomputed
             self.pairs.clear()
-        self.pairs[left, right] = ok
+        self.pairs[left * self.most + right] = ok
         return ok
 
     def extend(self, text: bytes, last: list[int]) -> list[int]:
         """Fill ``last`` up to the end of ``text``; what it holds already must belong to a prefix."""
-        ranks, halves, longest = self.ranks, self._halves, self.longest
-        for end in range(len(last) + 1, len(text) + 1):
-            most = min(end, longest[text[end - 1]])
-            for start in range(end - most, end):
-                token = ranks.get(text[start:end])
-                if token is not None and halves(token) is not None and (start == 0 or self._follows(last[start - 1], token)):
+        most, known, follows = self.most, self.pairs.get, self._follows
+        for at, (token, size) in self.finder.iter(text.decode("latin-1"), max(0, len(last) + 1 - self.size)):
+            if at == len(last):
+                left = last[at - size] if at >= size else -1
+                ok = known(left * most + token)
+                if ok or ok is None and follows(left, token):
                     last.append(token)
-                    break
-            else:
-                raise ValueError("the vocabulary lacks a byte of the text")
+        if len(last) < len(text):
+            raise ValueError("the vocabulary lacks a byte of the text")
         return last
 
     def tokens(self, last: list[int]) -> list[int]:
         """The tokens of the text that ``last`` belongs to."""
         out, at = [], len(last)
         while at:
-            out.append(last[at - 1])
-            at -= len(self.by_rank[out[-1]])
+            token = last[at - 1]
+            out.append(token)
+            at -= len(self.by_rank[token])
         return out[::-1]
 
     def encode(self, piece: bytes) -> list[int]:
@@ -138,13 +142,6 @@ class PrefixEncoder:
         return b"".join(map(self.by_rank.__getitem__, ids))
 
 
-def _by_last_byte(ranks) -> list[list[bytes]]:
-    groups: list[list[bytes]] = [[] for _ in range(256)]
-    for b in ranks:
-        groups[b[-1]].append(b)
-    return groups
-
-
 def read_ranks(path: str) -> dict[bytes, int]:
     """Ranks from a file with a base64 token and its rank in each line."""
     with open(path, "rb") as f:
@@ -177,23 +174,22 @@ class TextCoder:
         # plain texts split faster by the classes' ASCII members, if the pattern has no other classes
         self.split_ascii = re.compile(short).findall if r"\p" not in short else self.split
         self.bpe, self.most = encoder(path), most
-        self.known: dict[str, tuple[int, ...]] = {}
-        self.spelled: dict[str, str] = {}
+        # tokens of a match as their four-byte numbers: less to keep, and nothing for the collector to walk
+        self.known: dict[str, bytes] = {}
+        self.older: dict[str, bytes] = {}  # given up as a whole, but for what is met again
+        self.decimal = [str(r) for r in range(self.bpe.most)]
 
     def _learn(self, pieces: list[str]) -> None:
+        if len(self.known) >= self.most // 2:
+            self.known, self.older = {}, self.known
+        known, older = self.known, self.older
         for piece in pieces:
-            if piece not in self.known:
-                if len(self.known) >= self.most:
-                    self.known.clear()
-                    self.spelled.clear()
-                    return self._learn(pieces)
-                ids = self.known[piece] = tuple(self.bpe.encode(piece.encode()))
-                self.spelled[piece] = ",".join(map(str, ids))
+            if piece not in known:
+                known[piece] = older.get(piece) or array("i", self.bpe.encode(piece.encode())).tobytes()
 
-    def encode(self, text: str) -> tuple[list[int], str]:
-        """The token ids, and the same written in decimal with commas."""
-        ids: list[int] = []
-        spelled = []
+    def ids(self, text: str) -> np.ndarray:
+        """The token ids."""
+        out = []
         # long texts by stretches of matches, so that what is kept never has to hold a whole text
         pieces = (self.split_ascii if text.isascii() else self.split)(text)
         for a in range(0, len(pieces), 100_000):
@@ -201,10 +197,14 @@ class TextCoder:
             parts = list(map(self.known.get, some))
             if None in parts:
                 self._learn(some)
-                parts = list(map(self.known.__getitem__, some))
-            ids += chain.from_iterable(parts)
-            spelled.append(",".join(map(self.spelled.__getitem__, some)))
-        return ids, ",".join(spelled)
+                parts = map(self.known.__getitem__, some)
+            out.append(b"".join(parts))
+        return np.frombuffer(b"".join(out), np.int32)
+
+    def encode(self, text: str) -> tuple[list[int], str]:
+        """The token ids, and the same written in decimal with commas."""
+        ids = self.ids(text).tolist()
+        return ids, ",".join(map(self.decimal.__getitem__, ids))
 
 
 @lru_cache(maxsize=4)

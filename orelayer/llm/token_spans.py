@@ -86,7 +86,7 @@ def section_tokens(docs: DataFrame, path: str, pattern: str, *, rule: str = "mos
                 for doc, text, given in zip(part.column("doc_id").to_pylist(), part.column("text"), spans):
                     text = text.as_py() or ""
                     raw = text.encode()
-                    lengths = length_of[np.array(c.encode(text)[0], np.int64)]
+                    lengths = length_of[c.ids(text)]
                     if spans_col:
                         given = sorted((g for g in given or () if g and g["start"] is not None and g["stop"] is not None), key=lambda g: (g["start"], g["stop"]))
                         label = [g["section"] for g in given]
