@@ -246,7 +246,13 @@ def tokenised(docs: DataFrame, held_fold: int, classes: list[str], n_classes: in
     return in_tasks(rows, work, schema)
 
 
-def lattice_scores(docs: DataFrame, pieces: list[bytes], scores: np.ndarray, work: Workspace, *, held_fold: int = 1, rounds: int = 1, share: float = 0.05, max_classes: int = 8, block_bytes: int = 12_000_000, id_col: str = "doc_id", text_col: str = "text", class_col: str | None = None) -> DataFrame:
+def _written(work: Workspace, df: DataFrame, name: str, partition_by: tuple[str, ...] | list[str] = ()) -> DataFrame:
+    """As ``Workspace.stage``, but packed tighter, as these tables hold every word of every block."""
+    df.write.mode("errorifexists").option("compression", "zstd").partitionBy(*partition_by).parquet(work.path(name))
+    return df.sparkSession.read.schema(df.schema).parquet(work.path(name))
+
+
+def lattice_scores(docs: DataFrame, pieces: list[bytes], scores: np.ndarray, work: Workspace, *, held_fold: int = 1, rounds: int = 1, share: float = 0.05, max_classes: int = 8, block_bytes: int = 20_000_000, id_col: str = "doc_id", text_col: str = "text", class_col: str | None = None) -> DataFrame:
     """(doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score) for every row of ``docs``.
 
     Tokens are the words between ASCII white space, A-Z in lower case, and one end. Training texts
@@ -282,12 +288,12 @@ def lattice_scores(docs: DataFrame, pieces: list[bytes], scores: np.ndarray, wor
     others = docs.where(fold(F.col(id_col)) != held_fold).where(~F.coalesce(F.col(class_col).isin(classes), F.lit(False))) if classes else docs
     n_classes = len(classes) + (not classes or not others.isEmpty())
     kinds = range(n_classes)
-    rows = work.stage(tokenised(docs, held_fold, classes, n_classes, block_bytes=block_bytes, id_col=id_col, text_col=text_col, class_col=class_col), "blocks", ["kind"])
+    rows = _written(work, tokenised(docs, held_fold, classes, n_classes, block_bytes=block_bytes, id_col=id_col, text_col=text_col, class_col=class_col), "blocks", ["kind"])
     counts = [f"n{k}" for k in kinds]
     words = rows.where("kind = 0").select("block", "number", "word", *counts)
     again = docs.sparkSession.read.schema(rows.schema).parquet(work.path("blocks"))  # apart, as both sides meet later
     texts = again.where("kind = 1").select("block", "doc_id", "held_out", "numbers")
-    vocab = work.stage(words.groupBy("word").agg(*[F.sum(c).alias(c) for c in counts]), "vocab")
+    vocab = _written(work, words.groupBy("word").agg(*[F.sum(c).alias(c) for c in counts]), "vocab")
     one = lambda cond: F.sum(F.when(cond, 1).otherwise(0))
     total = sum((F.col(c) for c in counts), F.lit(0))
     sums = [x for c in counts for x in (F.sum(c), one(F.col(c) > 0), one(F.col(c) == 1), one(F.col(c) == 2))]
@@ -338,7 +344,7 @@ def lattice_scores(docs: DataFrame, pieces: list[bytes], scores: np.ndarray, wor
 
     # probabilities travel as four bytes: a word's logarithm is right to seven digits
     schema = "word binary, c long, " + ", ".join(f"{m} float" for m in models)
-    prices = work.stage(in_tasks(vocab, priced, schema), "prices")
+    prices = _written(work, in_tasks(vocab, priced, schema), "prices")
     back = words.select("block", "number", "word").join(prices, "word").drop("word")
     end_base = math.log10((ends + 0.5) / (n + 0.5 * (v + 1)))
     end_model = math.log10(ends / n) if ends and uses else math.log10(0.5)
