@@ -33,15 +33,16 @@ def allocate(lengths: np.ndarray, starts: np.ndarray, stops: np.ndarray, rule: s
     equals; ``first``, to the earliest; ``share``, to each by its bytes, all shares adding up to 1.
     """
     n = len(starts)
-    out = np.zeros(n + 1)
+    if not n:
+        return np.array([float(len(lengths))])
     ends = np.cumsum(lengths)
     begins = ends - lengths
-    low = np.searchsorted(stops, begins, "right")  # first section that ends behind the token's start
-    high = np.searchsorted(starts, ends, "left") - 1  # last one that begins before the token's end
-    if n:  # empty sections touch nothing
-        np.add.at(out, np.where(low > high, n, np.minimum(low, n))[(low >= high)], 1)
-    else:
-        out[n] = len(lengths)
+    # only the sections' limits are searched for among the tokens; the tokens' own places follow by counting
+    upto = lambda at: np.cumsum(np.bincount(at, minlength=len(lengths) + 1))[: len(lengths)]
+    low = upto(np.searchsorted(begins, stops))  # first section that ends behind the token's start
+    high = upto(np.searchsorted(ends, starts, "right")) - 1  # last one that begins before the token's end
+    # empty sections touch nothing
+    out = np.bincount(np.where(low > high, n, low)[low >= high], minlength=n + 1).astype(float)
     for t in np.flatnonzero(low < high):
         k = np.arange(low[t], high[t] + 1)
         part = np.minimum(stops[k], ends[t]) - np.maximum(starts[k], begins[t])
