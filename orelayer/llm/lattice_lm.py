@@ -185,23 +185,27 @@ def tokenised(docs: DataFrame, held_fold: int, classes: list[str], n_classes: in
 
         def flush() -> Iterator[pa.RecordBatch]:
             block = (part << 24) + count
-            data = np.concatenate([h[0] for h in held])
-            shift = np.cumsum([0, *(len(h[0]) for h in held)])
-            starts = np.concatenate([h[1] + s for h, s in zip(held, shift)])
-            ends = np.concatenate([h[2] + s for h, s in zip(held, shift)])
+            # starts and lengths in four bytes, and the pieces are given up as soon as they are put together
+            sizes = np.cumsum([0, *(len(h[0]) for h in held)])
+            raw = b"".join(h[0].tobytes() for h in held)
+            starts = np.concatenate([h[1] for h in held])
+            lengths = np.concatenate([h[2] for h in held])
             words = np.concatenate([h[4] for h in held])
+            met = np.cumsum([len(h[1]) for h in held])
             hashes = np.concatenate([h[3] for h in held])
-            ids, flags = [x for h in held for x in h[5]], [x for h in held for x in h[6]]
+            ids, flags, of = ([x for h in held for x in h[k]] for k in (5, 6, 7))
+            held.clear()
             _, where, number, uses = np.unique(hashes, return_index=True, return_inverse=True, return_counts=True)
             order = np.argsort(-uses, kind="stable")  # the most frequent words get the smallest numbers
             rank = np.empty(len(order), np.int32)
             rank[order] = np.arange(len(order), dtype=np.int32)
             number = rank[number]
-            kind = np.repeat(np.where(np.array(flags, bool), -1, np.array([x for h in held for x in h[7]], int)), words)
+            del hashes
+            kind = np.repeat(np.where(np.array(flags, bool), -1, np.array(of, int)).astype(np.int16), words)
             n_train = [np.bincount(number[kind == k], minlength=len(order)).astype(np.int64) for k in range(n_classes)]
-            raw = data.tobytes()
             first = where[order]
-            spelled = [raw[a:b] for a, b in zip(starts[first].tolist(), ends[first].tolist())]
+            spelled = [raw[a : a + k] for a, k in zip((starts[first] + sizes[np.searchsorted(met, first, "right")]).tolist(), lengths[first].tolist())]
+            del starts, lengths
             n = len(spelled)
             no = lambda k, kind: pa.nulls(k, kind)
             for a in range(0, n, 50_000):
@@ -228,12 +232,11 @@ def tokenised(docs: DataFrame, held_fold: int, classes: list[str], n_classes: in
                 data, offsets = text_bytes(some.column("text"))
                 data = TO_LOWER[data]
                 starts, ends, before = word_limits(data, offsets)
-                held.append((data, starts, ends, hasher(data, starts, ends), np.diff(before), some.column("doc_id").to_pylist(), some.column("held_out").to_pylist(), some.column("class").to_pylist()))
+                held.append((data, starts.astype(np.int32), (ends - starts).astype(np.int32), hasher(data, starts, ends), np.diff(before), some.column("doc_id").to_pylist(), some.column("held_out").to_pylist(), some.column("class").to_pylist()))
                 size += len(data)
                 a = b
                 if size >= block_bytes:
                     yield from flush()
-                    held.clear()
                     size, count = 0, count + 1
         if held:
             yield from flush()
@@ -252,7 +255,7 @@ def _written(work: Workspace, df: DataFrame, name: str, partition_by: tuple[str,
     return df.sparkSession.read.schema(df.schema).parquet(work.path(name))
 
 
-def lattice_scores(docs: DataFrame, pieces: list[bytes], scores: np.ndarray, work: Workspace, *, held_fold: int = 1, rounds: int = 1, share: float = 0.05, max_classes: int = 8, block_bytes: int = 20_000_000, id_col: str = "doc_id", text_col: str = "text", class_col: str | None = None) -> DataFrame:
+def lattice_scores(docs: DataFrame, pieces: list[bytes], scores: np.ndarray, work: Workspace, *, held_fold: int = 1, rounds: int = 1, share: float = 0.05, max_classes: int = 8, block_bytes: int = 16_000_000, id_col: str = "doc_id", text_col: str = "text", class_col: str | None = None) -> DataFrame:
     """(doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score) for every row of ``docs``.
 
     Tokens are the words between ASCII white space, A-Z in lower case, and one end. Training texts
