@@ -154,6 +154,19 @@ def log_probs(lattices: list[Lattice], words: list[bytes]) -> np.ndarray:
     return out
 
 
+def mixed(counts: np.ndarray, logs: np.ndarray, give: list[float], types: list[int], uses: list[int], part: np.ndarray, share: float) -> np.ndarray:
+    """ln P of each word in each class: what its ``counts`` keep after the discount ``give``, the
+    lattice's share (``logs``) for the rest, and ``share`` of it from the mixture of all classes.
+    All in logs, as a long word's probability is far below the least double."""
+    out = np.array(logs, float)
+    with np.errstate(divide="ignore"):
+        for k, of in enumerate(uses):
+            if of:
+                out[k] = np.logaddexp(np.log(np.maximum(counts[k] - give[k], 0) / of), np.log(give[k] * types[k] / of) + out[k])
+        every = np.logaddexp.reduce(np.log(part)[:, None] + out, axis=0)
+        return np.logaddexp(np.log(1 - share) + out, np.log(share) + every)
+
+
 def _alike(words: list[bytes], cells: int = 1 << 18) -> Iterator[np.ndarray]:
     """Row numbers of words of one length, so many that a table of their letters stays small."""
     sizes = np.array([len(w) for w in words], np.int64)
@@ -335,14 +348,9 @@ def lattice_scores(docs: DataFrame, pieces: list[bytes], scores: np.ndarray, wor
     def priced(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             c = np.array([batch.column(x).to_numpy() for x in counts], float)
-            # words too long for a double keep the smallest probability that is left
-            p = np.maximum(np.exp(log_probs(lattices, batch.column("word").to_pylist())), 1e-300)
-            for k, (of, seen, _, _) in enumerate(by_class):
-                if of:
-                    p[k] = (np.maximum(c[k] - give[k], 0) + give[k] * seen * p[k]) / of
-            p = (1 - share) * p + share * (part @ p)
-            p *= uses / n if n and uses else 0.5
-            cols = [batch.column("word"), pa.array(c.sum(0).astype(np.int64)), *map(pa.array, np.log10(p).astype(np.float32))]
+            p = mixed(c, log_probs(lattices, batch.column("word").to_pylist()), give, [x[1] for x in by_class], [x[0] for x in by_class], part, share)
+            p = (p + math.log(uses / n if n and uses else 0.5)) / math.log(10)
+            cols = [batch.column("word"), pa.array(c.sum(0).astype(np.int64)), *map(pa.array, p.astype(np.float32))]
             yield pa.RecordBatch.from_arrays(cols, ["word", "c", *models])
 
     # probabilities travel as four bytes: a word's logarithm is right to seven digits
