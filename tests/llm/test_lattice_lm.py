@@ -48,3 +48,20 @@ def test_long_words_keep_their_price(spark):
         word = plain_log_sum(lattice, text.encode()) + math.log(give * len(seen) / len(words)) + math.log(len(words) / n)
         assert math.isclose(got[i], (word + math.log(len(TRAIN) / n)) / math.log(10), rel_tol=1e-6)
     assert got[ids[0]] < -2000 and got[ids[2]] < got[ids[1]] - 100
+
+
+def test_pieces_are_fitted_in_three_rounds(spark):
+    docs, ids = docs_of(spark, ["abab zb bab", "aabba"])
+    of = lambda name, **more: {r.doc_id: r.score for r in lattice_scores(docs, PIECES, SCORES, Workspace(spark, name), **more).collect()}
+    default, one, three = of("default"), of("one", rounds=1), of("three", rounds=3)
+    assert all(math.isclose(default[i], three[i], rel_tol=1e-9) for i in default)
+    assert any(abs(default[i] - one[i]) > 1e-3 for i in ids)
+
+
+def test_rounds_raise_the_likelihood(spark):
+    lattice, words = Lattice.start(PIECES, SCORES), sorted({w.encode() for t in TRAIN for w in t.split()})
+    found = []
+    for _ in range(4):
+        found.append(lattice.log_prob(words).sum())
+        lattice = lattice.updated(lattice.expect(words, np.ones(len(words))))
+    assert found == sorted(found)
