@@ -11,7 +11,7 @@ from collections.abc import Sequence
 from datetime import date
 from typing import Any
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
@@ -19,7 +19,7 @@ from pyspark.sql.streaming import StreamingQuery
 from ..operators.contract import Contract
 from ..operators.metadata import add_trace
 from ..plans.pipelines import Lake, load
-from ..session import is_dir
+from ..session import Workspace, is_dir
 from ..sources.sinks import append_files, read_batches, write_batch
 
 def read_stream(spark: SparkSession, path: str, schema: T.StructType, fmt: str = "parquet", **options: Any) -> DataFrame:
@@ -87,28 +87,75 @@ def _event_time(df: DataFrame, column: str) -> DataFrame:
 def keep_first(
     source: DataFrame, keys: Sequence[str], time_column: str, delay: str, path: str, checkpoint: str
 ) -> StreamingQuery:
-    """Into a table: of each key the earliest row, unless the key was kept within the delay before.
+    """Into a table: of each key the earliest row, and each later one that is more than the delay
+    after the row kept before it, however many rows arrive at once.
 
-    A micro-batch is reduced to its earliest row for each key by an aggregate, which takes a hot key
-    down to a row for each task before the shuffle; equal times are decided by the other columns.
-    The rows that are left are held against the keys kept before. A micro-batch writes a folder of
-    its own, so a replay replaces its own rows. Null keys are equal to each other.
+    A row within the delay of one that an earlier micro-batch kept, on either side, is a repeat of it.
+    Equal times are decided by the other columns. Rows without a time are kept once for each key.
+    Null keys are equal to each other. Months in a delay are counted from 1970-01-01. A micro-batch
+    writes a folder of its own, so a replay replaces its own rows.
     """
     rest = [c for c in source.columns if c not in keys and c != time_column]
 
     def each(batch: DataFrame, number: int) -> None:
         spark, part = batch.sparkSession, f"stream-{stream_identity(batch.sparkSession, checkpoint)}-{number}"
-        timed = _event_time(batch, time_column)
-        first = timed.groupBy(*keys).agg(F.min(F.struct(time_column, *rest)).alias("_first")).select(*keys, "_first.*")
-        kept = read_batches(spark, path, first.schema, without=part)
-        seen = kept.select(*[F.col(k).alias(f"_{k}") for k in keys], F.col(time_column).alias("_seen"))
-        same = [F.col(k).eqNullSafe(F.col(f"_{k}")) for k in keys]
-        late = (F.col(time_column) <= F.col("_seen") + F.expr(f"interval {delay}"))
-        write_batch(first.join(seen, [*same, late], "left_anti").select(*source.columns), path, part)
+        width = spark.sql(f"select unix_micros(timestamp_seconds(0) + interval {delay})").first()[0] + 1  # least step between kept rows
+        with Workspace(spark, "keep-first") as work:
+            timed = _event_time(batch, time_column)
+            kept = read_batches(spark, path, timed.schema, without=part)
+            micros = F.unix_micros(F.col(time_column))
+            rows = timed.groupBy(F.struct(*keys).alias("_key"), micros.alias("_at")).agg(F.min(F.struct(time_column, *rest)).alias("_row"))
+            # times a step or less apart lie in the same bucket or in the next
+            near = kept.select(F.struct(*keys).alias("_key"), micros.alias("_seen"))
+            near = near.withColumn("_bucket", F.explode(F.transform(F.array(F.lit(-1), F.lit(0), F.lit(1)), lambda i: _bucket("_seen", width) + i)))
+            late = F.abs(F.col("r._at") - F.col("s._seen")) < width
+            rows = rows.withColumn("_bucket", _bucket("_at", width))
+            same = (F.col("r._key") == F.col("s._key")) & F.col("r._bucket").eqNullSafe(F.col("s._bucket"))
+            rows = rows.alias("r").join(near.alias("s"), same & (late | F.col("r._at").isNull()), "left_anti")
+            rows = work.stage(rows, "rows")
+            first = _first_of_runs(rows.where("_at is not null").select("_key", "_at", "_bucket"), width, work)
+            chosen = rows.join(first, ["_key", "_at"], "left_semi").unionByName(rows.where("_at is null"))
+            write_batch(chosen.select("_key.*", "_row.*").select(*source.columns), path, part)
 
     return run_available(source.writeStream.foreachBatch(each).option("checkpointLocation", checkpoint))
 
 
+def _bucket(at: str, width: int) -> Column:
+    return F.expr(f"{at} div {width}") - F.when(F.col(at) % width < 0, 1).otherwise(0)
+
+
+def _first_of_runs(rows: DataFrame, width: int, work: Workspace) -> DataFrame:
+    """(_key, _at) of each key's earliest time and, from a time taken, the next one ``width`` or more later.
+
+    Keys whose times span less need an aggregate only. For the others each time points at its next
+    one, found among its bucket's two successors; where a bucket is empty, the first time after it is
+    taken in any case. What can be reached from such starts is found by doubling the pointers, in
+    as many rounds as the longest chain has binary digits.
+    """
+    span = work.stage(rows.groupBy("_key").agg(F.min("_at").alias("_at"), (F.max("_at") - F.min("_at")).alias("span")), "span")
+    short = span.where(F.col("span") < width).select("_key", "_at")
+    long = work.stage(rows.join(span.where(F.col("span") >= width).select("_key"), "_key", "left_semi"), "long")
+    if long.isEmpty():
+        return short
+    least = work.stage(long.groupBy("_key", "_bucket").agg(F.min("_at").alias("least")), "least")
+    after = least.select("_key", (F.col("_bucket") + 1).alias("_bucket"))
+    taken = work.stage(least.join(after, ["_key", "_bucket"], "left_anti").select("_key", F.col("least").alias("_at")), "taken-0")
+    asked = long.select("_key", (F.col("_bucket") + 1).alias("_bucket"), (F.col("_at") + width).alias("place"), F.col("_at").alias("of"), F.lit(None).cast("bigint").alias("target"))
+    there = long.select("_key", "_bucket", F.col("_at").alias("place"), F.lit(None).cast("bigint").alias("of"), F.col("_at").alias("target"))
+    onward = Window.partitionBy("_key", "_bucket").orderBy("place").rangeBetween(Window.currentRow, Window.unboundedFollowing)
+    found = asked.unionByName(there).withColumn("next", F.min("target").over(onward)).where("of is not null")
+    second = least.select("_key", (F.col("_bucket") - 1).alias("_bucket"), "least")
+    found = found.join(second, ["_key", "_bucket"], "left").select("_key", F.col("of").alias("_at"), F.coalesce("next", "least").alias("next"))
+    jump, turn = work.stage(found.where("next is not null"), "jump-0"), 0
+    while not jump.isEmpty():
+        turn += 1
+        reached = taken.join(jump, ["_key", "_at"]).select("_key", F.col("next").alias("_at"))
+        taken = work.stage(taken.union(reached).distinct(), f"taken-{turn}")
+        beyond = jump.select("_key", F.col("_at").alias("next"), F.col("next").alias("far"))
+        jump = work.stage(jump.join(beyond, ["_key", "next"]).select("_key", "_at", F.col("far").alias("next")), f"jump-{turn}")
+    return short.union(taken)
+
+
 def windowed_counts(source: DataFrame, group: str, time_column: str, width: str, delay: str) -> DataFrame:
     """Rows per group and time window; rows later than the delay are dropped."""
     timed = _event_time(source, time_column).withWatermark(time_column, delay)

@@ -1,3 +1,4 @@
+import random
 from datetime import datetime, timedelta
 
 from pyspark.sql import functions as F
@@ -54,6 +55,36 @@ def test_keep_first_over_batches(spark, work, rows):
     assert got == [(None, 9), ("a", 2), ("a", 6), ("b", 3), ("c", 5)]  # the earliest; anew after the delay
 
 
+def test_keep_first_is_the_same_in_one_batch_and_many(spark, work, rows):
+    rng = random.Random(7)
+    minutes = {k: sorted(rng.sample(range(-2000, 3000), n)) for k, n in (("a", 300), ("b", 20), (None, 5), ("c", 1))}
+    minutes["d"] = [0, 180]
+    data = sorted(((k, T + timedelta(minutes=m), m) for k, ms in minutes.items() for m in ms), key=lambda r: r[1])
+    want = []
+    for k, ms in minutes.items():
+        last = None
+        for m in ms:
+            if last is None or m - last > 60:
+                want.append((k, m))
+                last = m
+    want.sort(key=lambda r: tuple(map(str, r)))
+    for name, size in (("one", len(data)), ("many", 80)):
+        src = work.path(f"{name}-src")
+        for a in range(0, len(data), size):
+            put(spark, src, *data[a : a + size])
+            source = st.read_stream(spark, src, spark.read.parquet(src).schema)
+            st.keep_first(source, ["k"], "ts", "1 hour", work.path(name), work.path(f"{name}-ck"))
+        assert rows(spark.read.parquet(work.path(name)), "k", "v") == want
+
+
+def test_keep_first_keeps_rows_long_before_and_without_a_time(spark, work, rows):
+    src, days, near = work.path("src"), T - timedelta(days=2), T - timedelta(minutes=30)
+    for batch in ([("a", T, 1), ("a", None, 2), ("a", None, 3)], [("a", days, 4), ("a", near, 5), ("a", None, 6), ("b", None, 7)]):
+        put(spark, src, *batch)
+        st.keep_first(st.read_stream(spark, src, spark.read.parquet(src).schema), ["k"], "ts", "1 hour", work.path("out"), work.path("ck"))
+    assert rows(spark.read.parquet(work.path("out")), "k", "v") == [("a", 1), ("a", 2), ("a", 4), ("b", 7)]
+
+
 def test_keep_first_with_one_hot_key(spark, work):
     src = work.path("src")
     spark.range(6000).select(
