@@ -13,6 +13,7 @@ from orelayer.llm.common import table
 from orelayer.llm.decontaminate import contaminated
 from orelayer.llm.lattice_lm import lattice_scores, read_pieces
 from orelayer.llm.line_dedup import dedup_lines
+from orelayer.llm.prefix_trie import forked, prefix_nodes, turn_rows
 from orelayer.llm.quality_votes import judge
 from orelayer.llm.simhash import near_groups
 from orelayer.llm.token_spans import section_tokens
@@ -109,3 +110,46 @@ def op3_wrappers(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op5_transcripts")
 def op5_transcripts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return recover_roles(table(spark, sf_dir, "conversations"), Workspace(spark, "op5"))
+
+
+_TRIE = """
+with recursive crc as (
+  select conv_id, list_reduce(
+    list_prepend(4294967295::bigint, flatten(list_transform(string_split(conv_id::varchar, ''), lambda c: [ord(c)::bigint, -1, -1, -1, -1, -1, -1, -1, -1]))),
+    lambda a, x: case when x >= 0 then xor(a, x) else xor(a >> 1, 3988292384::bigint * (a & 1)) end) as c
+  from (select distinct conv_id from conversations where conv_id is not null)
+),
+heads as (select conv_id, xor(c, 4294967295::bigint) % 9 as h from crc),
+turns as (
+  select conv_id, coalesce(role, '') as role, coalesce(text, '') as text,
+         row_number() over (partition by conv_id order by turn nulls first, md5(strlen(coalesce(role, '')) || ':' || coalesce(role, '') || coalesce(text, ''))) as pos
+  from conversations where conv_id is not null
+),
+built as (
+  select h.conv_id, t.pos, t.role, t.text from heads h join turns t on t.conv_id = h.conv_id - h.conv_id % 5 and t.pos <= h.h
+  union all
+  select h.conv_id, 100 + t.pos, t.role, t.text from heads h join turns t on t.conv_id = h.conv_id and t.pos > h.h
+),
+placed as (select conv_id, row_number() over (partition by conv_id order by pos) as d, md5(strlen(role) || ':' || role || text) as turn, strlen(text) as size from built),
+prefixes as (select conv_id, d, string_agg(turn, '') over (partition by conv_id order by d) as prefix, size from placed
+             union all select conv_id, 0, '', 0 from heads),
+last as (select conv_id, max(d) as d from prefixes group by conv_id),
+nodes as (
+  select prefix, max(p.d) as depth, min(p.conv_id) as conv_id, count(*) as n_convs, max(size) as size,
+         sha256(coalesce(string_agg(case when p.d = l.d then p.conv_id::varchar end, ',' order by p.conv_id), '')) as ends_sha256
+  from prefixes p join last l on l.conv_id = p.conv_id group by prefix
+),
+parents as (select left(prefix, length(prefix) - 32) as prefix, count(*) as n from nodes where depth > 0 group by 1),
+counted as (select n.*, coalesce(p.n, 0) as n_children from nodes n left join parents p on p.prefix = n.prefix),
+above as (select prefix, unnest(range(0, depth + 1)) as d, n_children, (n_convs - 1) * size as own from counted),
+sums as (select left(prefix, (32 * d)::bigint) as prefix, count(*) filter (where n_children = 0) as n_leaves, sum(own) as saved from above group by 1)
+select c.conv_id, c.depth::bigint as depth, u.conv_id as parent_conv_id, c.n_convs::bigint as n_convs, c.n_children::bigint as n_children,
+       s.n_leaves::bigint as n_leaves, s.saved::bigint as saved_tokens, c.ends_sha256
+from counted c join sums s on s.prefix = c.prefix
+left join nodes u on c.depth > 0 and u.prefix = left(c.prefix, length(c.prefix) - 32)
+"""
+
+
+@query("op11_prefix_trie", _TRIE)
+def op11_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return prefix_nodes(forked(turn_rows(table(spark, sf_dir, "conversations"))), Workspace(spark, "op11"))
