@@ -12,6 +12,7 @@ from orelayer.llm.byte_bpe import encode_texts
 from orelayer.llm.common import table
 from orelayer.llm.decontaminate import contaminated
 from orelayer.llm.lattice_lm import lattice_scores, read_pieces
+from orelayer.llm.lexical_search import rank_documents
 from orelayer.llm.line_dedup import dedup_lines
 from orelayer.llm.prefix_trie import forked, prefix_nodes, turn_rows
 from orelayer.llm.quality_votes import judge
@@ -153,3 +154,31 @@ left join nodes u on c.depth > 0 and u.prefix = left(c.prefix, length(c.prefix)
 @query("op11_prefix_trie", _TRIE)
 def op11_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
     return prefix_nodes(forked(turn_rows(table(spark, sf_dir, "conversations"))), Workspace(spark, "op11"))
+
+
+_RANKED = r"""
+with t as (
+  select doc_id, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) as term
+  from documents
+),
+i as (
+  select distinct item_id, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) as term
+  from benchmark
+),
+d as (select doc_id, count(*) as n from t group by doc_id),
+s as (select count(*) as docs, sum(n)::bigint as terms from d),
+f as (select term, doc_id, count(*) as tf from t where term in (select term from i) group by term, doc_id),
+w as (select term, floor(1000 * ln((2 * s.docs + 2)::double / (2 * count(*) + 1)::double))::bigint as w from f, s group by term, s.docs),
+m as (select doc_id, 100 - 50 + (50 * n * s.docs) // s.terms as m from d, s),
+r as (
+  select i.item_id, f.doc_id, sum(w.w * ((1000000000 * f.tf) // (1000 * f.tf + 20 * m.m)))::bigint as score
+  from i join f on f.term = i.term join w on w.term = i.term join m on m.doc_id = f.doc_id group by 1, 2
+),
+o as (select item_id, row_number() over (partition by item_id order by score desc, doc_id)::int as rank, doc_id, score from r where score > 0)
+select * from o where rank <= 50
+"""
+
+
+@query("op13_lexical_search", _RANKED)
+def op13_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return rank_documents(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), Workspace(spark, "op13"))
