@@ -14,6 +14,7 @@ from orelayer.llm.decontaminate import contaminated
 from orelayer.llm.lattice_lm import lattice_scores, read_pieces
 from orelayer.llm.lexical_search import rank_documents
 from orelayer.llm.line_dedup import dedup_lines
+from orelayer.llm.minhash import document_prints
 from orelayer.llm.prefix_trie import forked, prefix_nodes, turn_rows
 from orelayer.llm.quality_votes import judge
 from orelayer.llm.simhash import near_groups
@@ -182,3 +183,12 @@ select * from o where rank <= 50
 @query("op13_lexical_search", _RANKED)
 def op13_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rank_documents(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), Workspace(spark, "op13"))
+
+
+@query("op12_minhash")
+def op12_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = document_prints(table(spark, sf_dir, "documents"), Workspace(spark, "op12"))
+    text = lambda c: F.lower(F.hex(c)).alias(c)
+    return out.select(
+        F.col("id").alias("doc_id"), "n_chars", text("edited_sha256"), text("fingerprint"), text("edited_fingerprint"), "near_edited", "near_next", "component_id"
+    )
