@@ -8,14 +8,15 @@ with its changed fields.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions import canonical
-from ..session import Workspace, broadcast_if_small, fits_broadcast
+from ..session import Workspace, broadcast_if_small
 
 STATUS = "_status"
 COPIES = "_copies"
@@ -53,16 +54,9 @@ def changed_fields(incoming: DataFrame, columns: Sequence[str], current: str = "
     return F.array_compact(F.array(F.lit(None).cast(_CHANGE), *entries))
 
 
-def _stored(existing: DataFrame, keys: DataFrame, key: list[str], values: list[str]) -> DataFrame:
-    """Stored rows as one struct per key.
-
-    With few incoming keys the stored rows are reduced by broadcasting them,
-    so a large table is not shuffled for a small batch.
-    """
-    stored = existing.select(*key, F.struct(F.lit(0).alias("_"), *values).alias("_cur"))
-    if fits_broadcast(keys):
-        return stored.join(F.broadcast(keys), key, "left_semi")
-    return stored
+def _stored(existing: DataFrame, key: list[str], values: list[str]) -> DataFrame:
+    """Stored rows as one struct per key."""
+    return existing.select(*key, F.struct(F.lit(0).alias("_"), *values).alias("_cur"))
 
 
 def _by_row(rows: DataFrame, incoming: DataFrame, values: list[str], absent: str) -> DataFrame:
@@ -86,8 +80,7 @@ def classify_unique(incoming: DataFrame, existing: DataFrame, key: Sequence[str]
     """``classify`` for a batch in which no key repeats: one join, nothing else."""
     key = list(key)
     values = [c for c in incoming.columns if c not in key]
-    keys = incoming.select(*key)
-    return _by_row(incoming.join(_stored(existing, keys, key, values), key, "left"), incoming, values, NEW)
+    return _by_row(incoming.join(_stored(existing, key, values), key, "left"), incoming, values, NEW)
 
 
 def classify_repeated(incoming: DataFrame, existing: DataFrame, key: Sequence[str]) -> DataFrame:
@@ -119,7 +112,7 @@ def classify_repeated(incoming: DataFrame, existing: DataFrame, key: Sequence[st
         F.min(F.struct(same.alias("same"), exact.alias("exact"))).alias("_low"),
         F.max(same).alias("_high"),
     )
-    stored = _stored(existing, incoming.select(*key).distinct(), key, values)
+    stored = _stored(existing, key, values)
     one_form = per_key.join(stored, key, "left").select(
         *key, *[restored(c) for c in values], "_n", "_cur",
         F.col("_low.same").eqNullSafe(F.col("_high")).alias("_uniform"),
@@ -143,8 +136,18 @@ def classify_repeated(incoming: DataFrame, existing: DataFrame, key: Sequence[st
     return settled.unionByName(_by_row(rows, incoming, values, CONFLICT))
 
 
+def known_keys(incoming: DataFrame, existing: DataFrame, key: Sequence[str], work: Workspace) -> DataFrame:
+    """The stored keys that the batch names, written. Only key columns are read and moved."""
+    keys = broadcast_if_small(work.stage(incoming.select(*key).distinct(), "batch_keys"))
+    return work.stage(existing.select(*key).join(keys, list(key), "left_semi"), "known_keys")
+
+
 def classify(
-    incoming: DataFrame, existing: DataFrame, key: Sequence[str], work: Workspace | None = None
+    incoming: DataFrame,
+    existing: DataFrame,
+    key: Sequence[str],
+    work: Workspace | None = None,
+    values_of: Callable[[DataFrame], DataFrame] | None = None,
 ) -> DataFrame:
     """Incoming rows with ``_status``, ``_copies`` and ``_changes``.
 
@@ -152,20 +155,37 @@ def classify(
     ``_copies`` is the number of incoming rows: identical copies of a skipped
     row are counted, not repeated, while every conflicting row is listed.
 
-    With staging space the repeated keys are found first, from the key columns
-    alone. They are rare in most batches, and all other rows then need only
-    the one join with the stored table.
+    With staging space it goes by keys first. The keys that repeat in the
+    batch and those that are stored already are found from the key columns
+    alone; both are rare in most batches. All other rows are new without
+    having met the stored values, which are read for the known keys only:
+    from ``values_of(known keys)``, where the caller can name a smaller part
+    of the table for them.
     """
     if work is None:
         return classify_repeated(incoming, existing, key)
     key = list(key)
-    repeated = incoming.groupBy(*key).agg(F.count("*").alias("_n")).filter("_n > 1").select(*key)
-    staged = work.stage(repeated, "repeated_keys")
-    if staged.isEmpty():
-        return classify_unique(incoming, existing, key)
-    some = broadcast_if_small(staged)
-    alone = classify_unique(incoming.join(some, key, "left_anti"), existing, key)
-    return alone.unionByName(classify_repeated(incoming.join(some, key, "left_semi"), existing, key))
+    known = known_keys(incoming, existing, key, work)
+    repeated = work.stage(incoming.groupBy(*key).agg(F.count("*").alias("_n")).filter("_n > 1").select(*key), "repeated_keys")
+    alone, parts = incoming, []
+    if not repeated.isEmpty():
+        some = broadcast_if_small(repeated)
+        alone = incoming.join(some, key, "left_anti")
+    if known.isEmpty():
+        stored = existing.sparkSession.createDataFrame([], existing.schema)
+        parts.append(_all_new(alone))
+    else:
+        few = broadcast_if_small(known)
+        stored = (values_of(known) if values_of else existing).join(few, key, "left_semi")
+        parts.append(_all_new(alone.join(few, key, "left_anti")))
+        parts.append(classify_unique(alone.join(few, key, "left_semi"), stored, key))
+    if not repeated.isEmpty():
+        parts.append(classify_repeated(incoming.join(some, key, "left_semi"), stored, key))
+    return reduce(DataFrame.unionByName, parts)
+
+
+def _all_new(rows: DataFrame) -> DataFrame:
+    return rows.select("*", F.lit(NEW).alias(STATUS), F.lit(1).cast("bigint").alias(COPIES), _no_changes().alias(CHANGES))
 
 
 def new_rows(outcome: DataFrame) -> DataFrame:

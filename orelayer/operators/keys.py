@@ -43,15 +43,21 @@ def _violation(fk: ForeignKey, missing: Column) -> Column:
 
 def _flag_missing(df: DataFrame, fk: ForeignKey, parent: DataFrame, flag: str, work: Workspace | None) -> DataFrame:
     ids = parent.select(F.col(fk.parent_column).alias("_fk")).filter(F.col("_fk").isNotNull()).distinct()
-    if work is None or fits_broadcast(ids):
-        # The parent keys are small, or no staging space was given: one join
-        # on the keys; skewed join partitions are split at run time.
-        known = broadcast_if_small(ids).withColumn(flag, F.lit(True))
+    if work is None:
+        # No staging space: one join on the keys, whose sides the optimizer
+        # chooses; skewed join partitions are split at run time.
+        joined = df.join(ids.withColumn(flag, F.lit(True)), F.col(fk.column) == F.col("_fk"), "left").drop("_fk")
+        return joined.withColumn(flag, F.col(flag).isNull())
+    # The parent's keys are worked out once, and measured where they were written.
+    ids = work.stage(ids, f"parents_{fk.column}")
+    if fits_broadcast(ids):
+        known = F.broadcast(ids).withColumn(flag, F.lit(True))
         joined = df.join(known, F.col(fk.column) == F.col("_fk"), "left").drop("_fk")
         return joined.withColumn(flag, F.col(flag).isNull())
     # Too many parents to broadcast: find the orphan values first. They are
     # written, so the join with the wide rows knows their true size.
-    values = orphan_values(df, fk.column, parent, fk.parent_column).select(F.col(fk.column).alias("_fk"))
+    used = df.filter(F.col(fk.column).isNotNull()).groupBy(fk.column).agg(F.count("*").alias("rows"))
+    values = used.join(ids, F.col(fk.column) == F.col("_fk"), "left_anti").select(F.col(fk.column).alias("_fk"))
     staged = work.stage(values, f"orphans_{fk.column}")
     missing = broadcast_if_small(staged).withColumn(flag, F.lit(True))
     joined = df.join(missing, F.col(fk.column) == F.col("_fk"), "left").drop("_fk")

@@ -4,17 +4,18 @@ A load writes its annotated rows once to shared staging space and works from
 there: the source is read a single time, every later step sees the same rows,
 and a lost executor costs no recompute of the source. The reject columns are
 null in accepted rows, so reading the rejected ones back costs next to nothing.
-Counts are read back from what was written.
+Counts are taken as the rows are written.
 """
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable, Mapping, Sequence
-from dataclasses import asdict, dataclass, field
+from dataclasses import asdict, dataclass, field, replace
 from datetime import date, datetime, timezone
 from typing import Any
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -25,29 +26,34 @@ from ..operators.keys import annotate_fk, orphan_values
 from ..operators.metadata import add_silver_metadata, add_trace
 from ..operators.quality import Rule, ValidationResult, gate
 from ..operators.transforms import latest_by_key
-from ..session import Workspace, delete, exists
+from ..session import Workspace, delete, exists, move
 from ..sources import files, sinks
+from ..sources.ledger import Ledger, stage_fresh
 from . import marts
 from .registry import Registry, registry as default_registry
 
 
 @dataclass(frozen=True)
 class Lake:
-    """Where the layers live."""
+    """Where the layers live, and the list of the bronze files that were loaded."""
 
     bronze: str
     silver: str
     gold: str
     log: str
+    ledger: str = ""
 
     @classmethod
     def under(cls, root: str) -> "Lake":
         root = root.rstrip("/")
-        return cls(f"{root}/bronze", f"{root}/silver", f"{root}/gold", f"{root}/rejected_log")
+        return cls(f"{root}/bronze", f"{root}/silver", f"{root}/gold", f"{root}/rejected_log", f"{root}/ledger")
 
     def table(self, name: str) -> str:
         return f"{self.silver}/{name}"
 
+    def ledger_of(self, table: str) -> str:
+        return f"{self.ledger or self.silver + '_ledger'}/{table}"
+
 
 @dataclass
 class LoadResult:
@@ -58,6 +64,7 @@ class LoadResult:
     skipped: int = 0
     conflicts: int = 0
     rejected: int = 0
+    superseded: int = 0
 
     def to_dict(self) -> dict:
         return asdict(self)
@@ -82,13 +89,21 @@ def silver_schema(contract: Contract) -> T.StructType:
 
 
 def read_silver(
-    spark: SparkSession, lake: Lake, contract: Contract, without: str | None = None, loaded_at: bool = False
+    spark: SparkSession, lake: Lake, contract: Contract, without: str | None = None, loaded_at: bool = False,
+    buckets: Sequence[int] | None = None, only: str | None = None,
 ) -> DataFrame:
-    """A silver table over its batches; ``loaded_at`` adds the load time."""
+    """A silver table over its batches; ``loaded_at`` adds the load time. ``buckets`` are those of the
+    keys that are looked for (see ``sinks.key_bucket``); the others are not read."""
     schema = silver_schema(contract)
     if loaded_at:
         schema = T.StructType([*schema.fields, T.StructField("_loaded_at", T.TimestampType())])
-    return sinks.read_batches(spark, lake.table(contract.table), schema, without)
+    path = sinks.current_version(spark, lake.table(contract.table))
+    return sinks.read_batches(spark, path, schema, without, buckets, bucketed=True, only=only)
+
+
+def _buckets(keys: DataFrame, key: Sequence[str]) -> list[int]:
+    """The buckets that some rows fall in, ``sinks.BUCKETS`` at most."""
+    return sorted(r[0] for r in keys.select(sinks.key_bucket(key)).distinct().collect())
 
 
 def read_rejections(spark: SparkSession, lake: Lake) -> DataFrame:
@@ -112,42 +127,54 @@ def load(
     lake: Lake,
     batch_id: int | str,
     parents: Mapping[str, DataFrame] | None = None,
+    arrival: Sequence[str] = (),
 ) -> LoadResult:
     """Check, compare and store one batch of rows.
 
     Accepted rows with unknown keys are added to the table; conflicts and
     rejected rows go to the log. All three are keyed by the batch, so a batch
     that is run again replaces its own earlier output and nothing else.
+
+    With ``arrival`` columns the accepted row of a key that arrived last
+    counts; those before it are superseded. A rejected row never stands in
+    for an accepted one.
     """
     batch_id = str(batch_id)
     with Workspace(spark, f"load-{contract.table}") as work:
-        checked = contract.annotate(source.select(*[n for n in contract.columns if n in source.columns]))
+        checked = contract.annotate(source.select(*[n for n in contract.columns if n in source.columns], *arrival))
+        checked = checked.withColumn(c.SOURCE, F.col(c.SOURCE).dropFields(*arrival)) if arrival else checked
         if contract.foreign_keys:
             if parents is None:
                 parents = {fk.parent: read_silver(spark, lake, STAFFING[fk.parent]) for fk in contract.foreign_keys}
             checked = annotate_fk(checked, contract.foreign_keys, parents, work)
-        rows = work.stage(c.sealed(checked), "checked")
+        seen = Observation()
+        sealed = c.sealed(checked).observe(seen, F.count("*").alias("rows"), F.count_if(F.col(c.OK)).alias("good"))
+        rows = work.stage(sealed, "checked")
         good, bad = c.sealed_accepted(rows), c.sealed_rejected(rows, contract.table)
+        if arrival:
+            good = work.stage(latest_by_key(good, contract.key, arrival).drop(*arrival), "latest")
+
+        def stored(keys: DataFrame) -> DataFrame:
+            return read_silver(spark, lake, contract, without=batch_id, buckets=_buckets(keys, contract.key))
 
-        stored = read_silver(spark, lake, contract, without=batch_id)
-        outcome = work.stage(delta.classify(good, stored, contract.key, work), "outcome")
+        outcome = work.stage(delta.classify(good, stored(good), contract.key, work, values_of=stored), "outcome")
         fresh = delta.new_rows(outcome).withColumn("_loaded_at", F.current_timestamp())
-        sinks.write_batch(fresh, lake.table(contract.table), batch_id)
+        target = sinks.current_version(spark, lake.table(contract.table))
+        sinks.write_batch(fresh, target, batch_id, contract.key)
         log = bad.unionByName(delta.conflict_log(outcome, contract.table, contract.key))
         sinks.write_batch(sinks.with_rejected_at(log), _log_path(lake, contract.table), batch_id)
 
-        # Four rows at most, read back from the staged tables in one job.
-        refused = bad.agg(F.count("*").alias("rows")).withColumn(delta.STATUS, F.lit("rejected"))
-        totals = delta.status_counts(outcome).unionByName(refused)
-        counts = {r[delta.STATUS]: r["rows"] for r in totals.collect()}
+        # Three rows at most, read back from the staged outcome.
+        counts = {r[delta.STATUS]: r["rows"] for r in delta.status_counts(outcome).collect()}
         return LoadResult(
             contract.table,
             batch_id,
-            rows=sum(counts.values()),
+            rows=seen.get["rows"],
             inserted=counts.get(delta.NEW, 0),
             skipped=counts.get(delta.SKIPPED, 0),
             conflicts=counts.get(delta.CONFLICT, 0),
-            rejected=counts["rejected"],
+            rejected=seen.get["rows"] - seen.get["good"],
+            superseded=seen.get["good"] - sum(counts.values()),
         )
 
 
@@ -166,7 +193,7 @@ def load_batch(
 ) -> LoadResult:
     """A batch of records: loaded, and the new rows also landed in bronze."""
     result = load(spark, source, contract, lake, batch_id, parents)
-    new = spark.read.parquet(f"{lake.table(contract.table)}/{sinks.BATCH}={result.batch_id}")
+    new = read_silver(spark, lake, contract, only=result.batch_id)
     texts = [F.col(n).cast("string").alias(n) for n in contract.columns]
     # Append-only: landing a repeated batch again is harmless, since silver
     # takes the last arrival of a key and skips what it already holds.
@@ -202,9 +229,10 @@ def bronze_to_silver(
     spark: SparkSession, contract: Contract, lake: Lake, batch_id: int | str, since: date | str | None = None,
     parents: Mapping[str, DataFrame] | None = None,
 ) -> LoadResult | None:
-    """All bronze partitions of a table (or those from a day on) into silver.
+    """All bronze partitions of a table (or those from a day on) into silver,
+    whether they were loaded before or not.
 
-    The last arrival of a key wins; rows without a key are all kept for the
+    The last accepted arrival of a key wins; all other rows go to the
     rejection log. Returns None when nothing has landed.
     """
     path = files.bronze_path(lake.bronze, contract.table)
@@ -213,9 +241,36 @@ def bronze_to_silver(
     landed = files.read_bronze(spark, lake.bronze, contract.table)
     if since is not None:
         landed = landed.filter(F.col(files.BRONZE_PARTITION) >= F.lit(str(since)).cast("date"))
-    arrived = landed.select(*contract.columns, files.BRONZE_PARTITION)
-    latest = latest_by_key(arrived, contract.key, [files.BRONZE_PARTITION])
-    return load(spark, latest, contract, lake, batch_id, parents)
+    return load(spark, landed, contract, lake, batch_id, parents, arrival=[files.BRONZE_PARTITION])
+
+
+def load_new_files(
+    spark: SparkSession, contract: Contract, lake: Lake, batch_id: int | str, parents: Mapping[str, DataFrame] | None = None
+) -> LoadResult | None:
+    """The bronze files of a table that no other batch has loaded, into silver.
+
+    Files are found wherever they lie, so rows that were appended to an older
+    day, or days that came late, are loaded by the next batch, and each row is
+    stored or logged by one batch. A batch that is run again takes its own
+    files once more, and those that came since. What a batch that broke off
+    has left is removed first. Returns None when nothing has ever landed.
+    """
+    batch_id, path = str(batch_id), files.bronze_path(lake.bronze, contract.table)
+    if not files.partition_values(spark, path, files.BRONZE_PARTITION):
+        return None
+    ledger = Ledger(spark, lake.ledger_of(contract.table))
+
+    def undo(batch: str) -> None:
+        delete(spark, f"{sinks.current_version(spark, lake.table(contract.table))}/{sinks.BATCH}={batch}")
+        delete(spark, f"{_log_path(lake, contract.table)}/{sinks.BATCH}={batch}")
+
+    ledger.recover(batch_id, undo)
+    with Workspace(spark, "new-files") as work:
+        found, paths = stage_fresh(ledger, path, batch_id, work)
+        schema = T.StructType([*contract.string_schema().fields, T.StructField(files.BRONZE_PARTITION, T.DateType())])
+        landed = spark.read.option("basePath", path).parquet(*paths) if paths else spark.createDataFrame([], schema)
+        with ledger.batch(batch_id, found):
+            return load(spark, landed, contract, lake, batch_id, parents, arrival=[files.BRONZE_PARTITION])
 
 
 def land_sources(spark: SparkSession, csv_dir: str, lake: Lake, day: date | str, header: bool = False) -> list[str]:
@@ -260,16 +315,13 @@ def refresh_marts(spark: SparkSession, lake: Lake, year: int = 2021) -> dict[str
 def run_all(spark: SparkSession, csv_dir: str, lake: Lake, day: date | str, header: bool = False) -> dict[str, Any]:
     """Land, load dimensions, load facts, rebuild the marts.
 
-    A day reads the bronze partitions that no earlier day has loaded, and its
-    own, so a bad row is rejected once and old partitions are not read again.
+    A day loads the bronze files that no other day has loaded, see
+    ``load_new_files``; each bad row is rejected once and nothing is read again.
     """
     landed = land_sources(spark, csv_dir, lake, day, header)
     loads = {}
     for table in ("departments", "jobs", "hired_employees"):
-        done = [d for d in files.partition_values(spark, lake.table(table), sinks.BATCH) if d < str(day)]
-        days = files.partition_values(spark, files.bronze_path(lake.bronze, table), files.BRONZE_PARTITION)
-        since = min([d for d in days if not done or d > max(done)], default=str(day))
-        result = bronze_to_silver(spark, STAFFING[table], lake, batch_id=str(day), since=since)
+        result = load_new_files(spark, STAFFING[table], lake, batch_id=str(day))
         loads[table] = result.to_dict() if result else None
     return {"landed": landed, "loads": loads, "marts": refresh_marts(spark, lake)}
 
@@ -303,18 +355,14 @@ def restore_table(
     """Replace a silver table by its latest backup and list orphans that result.
 
     Only the named table is touched; the foreign keys are checked afterwards.
+    The restored rows are a new version of the table, put in place by one
+    rename: a restore that breaks off leaves the old table as it was.
     """
     df = sinks.read_backup(spark, root, contract, fmt)
     if df.isEmpty():
         raise files.SourceError(f"the latest backup of '{contract.table}' is empty")
-    target = lake.table(contract.table)
-    staged = f"{target}/{sinks.BATCH}=restore"
-    with Workspace(spark, "restore") as work:
-        # The restored rows are in place before anything is removed.
-        work.stage(df, "rows").write.mode("overwrite").parquet(staged)
-    for old in files.partition_values(spark, target, sinks.BATCH):
-        if old != "restore":
-            delete(spark, f"{target}/{sinks.BATCH}={old}")
+    path = lake.table(contract.table)
+    sinks.publish_version(spark, path, lambda aside: sinks.write_batch(df, aside, "restore", contract.key))
     found = {}
     for child in STAFFING.values():
         for fk in child.foreign_keys:
@@ -323,7 +371,7 @@ def restore_table(
                     read_silver(spark, lake, child), fk.column, read_silver(spark, lake, STAFFING[fk.parent])
                 )
                 found[f"{child.table}.{fk.column}"] = missing.agg(F.coalesce(F.sum("rows"), F.lit(0))).first()[0]
-    return {"table": contract.table, "rows_restored": spark.read.parquet(staged).count(), "orphans": found}
+    return {"table": contract.table, "rows_restored": read_silver(spark, lake, contract).count(), "orphans": found}
 
 
 # --- generic pipelines -----------------------------------------------------------------
@@ -337,14 +385,13 @@ def run_transform(
     mode: str = "append",
     version: str = "1.0",
 ) -> RunResult:
-    """Read, transform, add silver metadata, write. One job over the source;
-    the row count is that of the run's own time stamp in the target."""
-    spark = source.sparkSession
+    """Read, transform, add silver metadata, write: one job over the source,
+    which counts the rows as it writes them."""
     moment = datetime.now(timezone.utc)
+    seen = Observation()
     out = add_silver_metadata(transform(source), source_path, name, version, moment)
-    out.write.mode(mode).parquet(target)
-    written = spark.read.parquet(target).filter(F.col("_silver_load_timestamp") == F.lit(moment).cast("timestamp"))
-    return RunResult(True, target, written.count(), {"bronze_path": source_path, "transformer": name})
+    out.observe(seen, F.count("*").alias("rows")).write.mode(mode).parquet(target)
+    return RunResult(True, target, seen.get["rows"], {"bronze_path": source_path, "transformer": name})
 
 
 def extract(
@@ -358,35 +405,42 @@ def extract(
     reject_path: str | None = None,
 ) -> RunResult:
     """Check a file, read it, apply its declared schema, add trace columns and
-    write Parquet. With a watermark only newer rows are written at all."""
+    write Parquet, all in one job that also counts. With a watermark only newer
+    rows are written and only newer ones are rejected; a row whose watermark
+    can't be read is rejected by every extract that meets it. The file is read
+    again only where there are rejected rows to be logged.
+    """
     kind = files.check_file(spark, path)
     source = files.read_file(spark, path, config)
     version, contract = "inferred", None
     if declared:
         contract = Contract.from_declared(declared)
         version = contract.version
+        source = contract.annotate(source)
     name = path.rstrip("/").rsplit("/", 1)[-1]
     moment = now or datetime.now()
-    rejected_rows = 0
-    with Workspace(spark, "extract") as work:
+    if watermark is not None:
+        newer = files.newer_than(source, *watermark)
         if contract is not None:
-            rows = work.stage(c.sealed(contract.annotate(source)), "checked")
-            source = c.sealed_accepted(rows)
-            refused = c.sealed_rejected(rows, name)
-            rejected_rows = refused.count()
-            if reject_path and rejected_rows:
-                sinks.append_rejections(refused, reject_path)
-        if watermark is not None:
-            source = files.newer_than(source, *watermark)
-        traced = add_trace(source, "file", name, "FileExtractor", version)
-        target = sinks.write_extract(traced, bronze, name.rsplit(".", 1)[0], moment)
+            unread = (F.size(c.REASONS) > 0) & F.col(watermark[0]).isNull()
+            newer = source.filter(unread | (F.col(watermark[0]) > F.lit(watermark[1])))
+        source = newer
+    seen = Observation()
+    bad = F.count_if(F.size(c.REASONS) > 0) if contract is not None else F.count_if(F.lit(False))
+    counted = source.observe(seen, F.count("*").alias("rows"), bad.alias("bad"))
+    good = c.accepted(counted) if contract is not None else counted
+    traced = add_trace(good, "file", name, "FileExtractor", version)
+    target = sinks.write_extract(traced, bronze, name.rsplit(".", 1)[0], moment)
+    rejected_rows = seen.get["bad"]
+    if reject_path and rejected_rows:
+        sinks.append_rejections(c.rejected(source, name), reject_path)
     meta = {
         "source_file": path, "source_format": kind, "columns": traced.columns,
         "schema_applied": contract is not None, "rejected": rejected_rows,
     }
     if watermark is not None:
         meta |= {"incremental": True, "watermark_column": watermark[0], "last_watermark": str(watermark[1])}
-    return RunResult(True, target, spark.read.parquet(target).count(), meta)
+    return RunResult(True, target, seen.get["rows"] - rejected_rows, meta)
 
 
 @dataclass
@@ -409,13 +463,25 @@ def gated_pipeline(
     now: datetime | None = None,
     name: str = "pipeline",
 ) -> GatedResult:
-    """Ingest, validate, transform, validate. A failed gate raises and stops."""
+    """Ingest, validate, transform, validate, publish. A failed gate raises and stops.
+
+    What the transform makes is validated aside and then put into the target
+    by one rename, as a folder of its own: the target never holds rows that a
+    gate has not passed, or part of a run.
+    """
     landed = extract(spark, source_path, bronze, declared, config, now=now)
     df = spark.read.parquet(landed.target)
     first = gate(df, bronze_rules, now)
-    run = run_transform(df, transform, target, name, landed.target)
-    second = gate(spark.read.parquet(target), silver_rules, now)
-    return GatedResult(first, second, run)
+    run_id = uuid.uuid4().hex
+    aside = f"{target.rstrip('/')}_aside/{run_id}"
+    try:
+        run = run_transform(df, transform, aside, name, landed.target)
+        second = gate(spark.read.parquet(aside), silver_rules, now)
+        published = f"{target.rstrip('/')}/{sinks.BATCH}={run_id}"
+        move(spark, aside, published)
+    finally:
+        delete(spark, aside)
+    return GatedResult(first, second, replace(run, target=published))
 
 
 def from_config(config: Mapping[str, Any], registry: Registry = default_registry) -> Callable[[SparkSession], RunResult]:

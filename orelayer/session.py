@@ -136,6 +136,11 @@ def move(spark: SparkSession, source: str, target: str) -> bool:
     return False if fs.exists(goal) else bool(fs.rename(jpath, goal))
 
 
+def make_dir(spark: SparkSession, path: str) -> None:
+    fs, jpath = _fs(spark, path)
+    fs.mkdirs(jpath)
+
+
 def delete(spark: SparkSession, path: str) -> None:
     fs, jpath = _fs(spark, path)
     if fs.exists(jpath):

@@ -3,11 +3,11 @@
 from __future__ import annotations
 
 import uuid
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 from datetime import date, datetime
 from typing import Any
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -16,6 +16,9 @@ from ..session import delete, exists, list_names, move
 from .files import BRONZE_PARTITION, SourceError, bronze_path, partition_values, read_latest_partition
 
 BATCH = "batch_id"
+BUCKET = "key_bucket"
+BUCKETS = 64  # folders of a batch at most
+VERSION = "version"
 BACKUP_PARTITION = "backup_date"
 
 # The layout of the rejection log.
@@ -61,11 +64,12 @@ def append_files(df: DataFrame, base: str, table: str, day: date | str, name: st
     path = f"{bronze_path(base, table)}/{BRONZE_PARTITION}={day}"
     aside = f"{base.rstrip('/')}/_landing/{table}-{day}-{uuid.uuid4().hex}"
     df.write.mode("errorifexists").parquet(aside)
-    for old in list_names(spark, path):
-        if old.startswith(f"{name}-"):
-            delete(spark, f"{path}/{old}")
+    before = [n for n in list_names(spark, path) if n.startswith(f"{name}-")]
+    mark = uuid.uuid4().hex[:8]
     for i, part in enumerate(n for n in list_names(spark, aside) if n[0] not in "._"):
-        move(spark, f"{aside}/{part}", f"{path}/{name}-{i:05d}.parquet")
+        move(spark, f"{aside}/{part}", f"{path}/{name}-{i:05d}-{mark}.parquet")
+    for old in before:  # readers see a row twice for a moment, never not at all
+        delete(spark, f"{path}/{old}")
     delete(spark, aside)
 
 
@@ -83,22 +87,72 @@ def write_json(df: DataFrame, path: str) -> None:
 
 # --- silver and rejections ---------------------------------------------------------
 
-def write_batch(df: DataFrame, path: str, batch_id: int | str) -> None:
-    """Replace one batch of a table. Writing a batch again changes nothing else."""
-    df.write.mode("overwrite").parquet(f"{path}/{BATCH}={batch_id}")
+def key_bucket(key: Sequence[str], buckets: int = BUCKETS) -> Column:
+    """The bucket of a row's key, the same for equal typed keys in every batch."""
+    return F.pmod(F.xxhash64(*key), F.lit(buckets)).cast("int")
 
 
-def read_batches(spark: SparkSession, path: str, schema: T.StructType, without: int | str | None = None) -> DataFrame:
-    """The table over all batches, or an empty frame when nothing was written."""
+def write_batch(df: DataFrame, path: str, batch_id: int | str, key: Sequence[str] = ()) -> None:
+    """Replace one batch of a table. Writing a batch again changes nothing else.
+
+    With a key the rows lie in a folder for each bucket of keys, so a later batch
+    reads only the buckets that its own keys fall in.
+    """
+    target = f"{path}/{BATCH}={batch_id}"
+    if key:
+        dealt = df.withColumn(BUCKET, key_bucket(key)).hint("rebalance", BUCKET)
+        dealt.write.mode("overwrite").partitionBy(BUCKET).parquet(target)
+    else:
+        df.write.mode("overwrite").parquet(target)
+
+
+def read_batches(
+    spark: SparkSession, path: str, schema: T.StructType, without: int | str | None = None,
+    buckets: Sequence[int] | None = None, bucketed: bool = False, only: int | str | None = None,
+) -> DataFrame:
+    """The table over all batches, or an empty frame when nothing was written.
+
+    ``buckets`` names the buckets of keys that are needed; the others are not read.
+    """
     if not partition_values(spark, path, BATCH):
         return spark.createDataFrame([], schema)
-    batches = T.StructType([*schema.fields, T.StructField(BATCH, T.StringType())])
-    df = spark.read.schema(batches).option("basePath", path).parquet(path)
+    layout = [T.StructField(BATCH, T.StringType())]
+    if bucketed or buckets is not None:
+        layout.append(T.StructField(BUCKET, T.IntegerType()))
+    df = spark.read.schema(T.StructType([*schema.fields, *layout])).option("basePath", path).parquet(path)
     if without is not None:
         df = df.filter(F.col(BATCH) != str(without))
+    if only is not None:
+        df = df.filter(F.col(BATCH) == str(only))
+    if buckets is not None:
+        df = df.filter(F.col(BUCKET).isin(*buckets) if buckets else F.lit(False))
     return df.select(*schema.names)
 
 
+# --- versions of a table -------------------------------------------------------------
+
+def current_version(spark: SparkSession, path: str) -> str:
+    """The folder of the version that counts: the last one that was put in place."""
+    found = partition_values(spark, path, VERSION)
+    return f"{path}/{VERSION}={found[-1] if found else f'{0:09d}'}"
+
+
+def publish_version(spark: SparkSession, path: str, write: Callable[[str], None]) -> str:
+    """A new version of a table: written aside, put in place by one rename, the older ones then
+    removed. Whoever reads, and whatever breaks off, finds the old version or the new one whole."""
+    aside = f"{path.rstrip('/')}_aside/{uuid.uuid4().hex}"
+    write(aside)
+    while True:
+        found = partition_values(spark, path, VERSION)
+        number = int(found[-1]) + 1 if found else 1
+        target = f"{path}/{VERSION}={number:09d}"
+        if move(spark, aside, target):
+            break
+    for old in found:
+        delete(spark, f"{path}/{VERSION}={old}")
+    return target
+
+
 def with_rejected_at(df: DataFrame) -> DataFrame:
     return df.withColumn("rejected_at", F.current_timestamp()).select(*REJECTION_COLUMNS)
 

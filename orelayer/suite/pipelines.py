@@ -160,6 +160,54 @@ def restore_check(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+_DAYS_SQL = """
+with k as (select o_orderkey as k, o_orderkey % 5 as part, o_orderkey % 7 = 0 as bad from orders),
+landed as (
+  select k, case when bad then ' ' else 'name ' || k end as name from k where part < 4
+  union all select k, ' ' from k where part = 1 and k % 13 = 0
+  union all select k, ' ' from k where part = 4
+)
+select 'stored' as kind, cast(k as integer) as id, name as department, cast(null as varchar) as raw_row, cast(null as varchar) as reason from landed where name <> ' '
+union all select 'stored', cast(k as integer), 'other ' || k, null, null from k where part = 0 and k % 11 = 0 and bad
+union all select 'logged', null, null, '{"id":"' || k || '","department":" "}', 'department is empty' from landed where name = ' '
+union all select 'logged', null, null, '{"id":' || k || ',"department":"other ' || k || '"}',
+  'CONFLICT: id=' || k || ' exists with different data — department: ''name ' || k || ''' → ''other ' || k || '''' from k where part = 0 and k % 11 = 0 and not bad
+"""
+
+
+@query("run_days", _DAYS_SQL)
+def run_days(spark: SparkSession, sf: str) -> DataFrame:
+    """Days that land late, rows that are appended to an old day, good rows followed by bad ones of
+    the same key, a day of bad rows only, and repeated runs: every row is stored or logged once."""
+    lake = p.Lake.under(Workspace(spark, "days").root)
+    k = table(spark, sf, "orders").select(F.col("o_orderkey").alias("k"))
+    rows = k.select(F.col("k").cast("string").alias("id"), F.when(F.col("k") % 7 == 0, " ").otherwise(F.concat(F.lit("name "), "k")).alias("department"), "k")
+    part, blank = F.col("k") % 5, F.lit(" ").alias("department")
+
+    def land(df: DataFrame, day: str) -> None:
+        sinks.append_bronze(df.select("id", "department"), lake.bronze, "departments", day)
+
+    def run(day: str) -> None:
+        p.load_new_files(spark, DEPARTMENTS, lake, day)
+
+    land(rows.where(part == 0), "2024-01-01")
+    run("2024-01-01")
+    again = rows.where((part == 0) & (F.col("k") % 11 == 0)).withColumn("department", F.concat(F.lit("other "), "id"))
+    land(rows.where(part == 1).unionByName(again), "2024-01-03")
+    land(rows.where((part == 1) & (F.col("k") % 13 == 0)).withColumn("department", blank), "2024-01-04")
+    run("2024-01-04")
+    land(rows.where(part == 2), "2024-01-01")
+    land(rows.where(part == 3), "2024-01-02")
+    run("2024-01-05")
+    run("2024-01-04")
+    run("2024-01-05")
+    land(rows.where(part == 4).withColumn("department", blank), "2024-01-06")
+    run("2024-01-06")
+    run("2024-01-07")  # nothing new
+    stored = p.read_silver(spark, lake, DEPARTMENTS).select(F.lit("stored").alias("kind"), "id", "department")
+    return stored.unionByName(p.read_rejections(spark, lake).select(F.lit("logged").alias("kind"), "raw_row", "reason"), allowMissingColumns=True)
+
+
 # --- extracts and gates ------------------------------------------------------------------
 
 _EXTRACTED = ["transaction_id", "customer_id", "quantity", "transaction_date", "_source_system", "_source_entity",
