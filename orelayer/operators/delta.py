@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions import canonical
-from ..session import Workspace, broadcast_if_small
+from ..session import Workspace
 
 STATUS = "_status"
 COPIES = "_copies"
@@ -138,7 +138,7 @@ def classify_repeated(incoming: DataFrame, existing: DataFrame, key: Sequence[st
 
 def known_keys(incoming: DataFrame, existing: DataFrame, key: Sequence[str], work: Workspace) -> DataFrame:
     """The stored keys that the batch names, written. Only key columns are read and moved."""
-    keys = broadcast_if_small(work.stage(incoming.select(*key).distinct(), "batch_keys"))
+    keys = incoming.select(*key).distinct()
     return work.stage(existing.select(*key).join(keys, list(key), "left_semi"), "known_keys")
 
 
@@ -160,7 +160,8 @@ def classify(
     alone; both are rare in most batches. All other rows are new without
     having met the stored values, which are read for the known keys only:
     from ``values_of(known keys)``, where the caller can name a smaller part
-    of the table for them.
+    of the table for them. The found keys are written, so their true size
+    decides how they are joined.
     """
     if work is None:
         return classify_repeated(incoming, existing, key)
@@ -168,19 +169,18 @@ def classify(
     known = known_keys(incoming, existing, key, work)
     repeated = work.stage(incoming.groupBy(*key).agg(F.count("*").alias("_n")).filter("_n > 1").select(*key), "repeated_keys")
     alone, parts = incoming, []
-    if not repeated.isEmpty():
-        some = broadcast_if_small(repeated)
-        alone = incoming.join(some, key, "left_anti")
+    repeats = not repeated.isEmpty()
+    if repeats:
+        alone = incoming.join(repeated, key, "left_anti")
     if known.isEmpty():
         stored = existing.sparkSession.createDataFrame([], existing.schema)
         parts.append(_all_new(alone))
     else:
-        few = broadcast_if_small(known)
-        stored = (values_of(known) if values_of else existing).join(few, key, "left_semi")
-        parts.append(_all_new(alone.join(few, key, "left_anti")))
-        parts.append(classify_unique(alone.join(few, key, "left_semi"), stored, key))
-    if not repeated.isEmpty():
-        parts.append(classify_repeated(incoming.join(some, key, "left_semi"), stored, key))
+        stored = (values_of(known) if values_of else existing).join(known, key, "left_semi")
+        parts.append(_all_new(alone.join(known, key, "left_anti")))
+        parts.append(classify_unique(alone.join(known, key, "left_semi"), stored, key))
+    if repeats:
+        parts.append(classify_repeated(incoming.join(repeated, key, "left_semi"), stored, key))
     return reduce(DataFrame.unionByName, parts)
 
 

@@ -15,7 +15,7 @@ from dataclasses import asdict, dataclass, field, replace
 from datetime import date, datetime, timezone
 from typing import Any
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -35,22 +35,30 @@ from .registry import Registry, registry as default_registry
 
 @dataclass(frozen=True)
 class Lake:
-    """Where the layers live, and the list of the bronze files that were loaded."""
+    """Where the layers live, and the list of the bronze files that were loaded.
+
+    ``buckets`` is how many folders a silver batch is dealt to by key. It is
+    the same for as long as a table is kept; large tables want hundreds.
+    """
 
     bronze: str
     silver: str
     gold: str
     log: str
     ledger: str = ""
+    buckets: int = 8
 
     @classmethod
-    def under(cls, root: str) -> "Lake":
+    def under(cls, root: str, buckets: int = 8) -> "Lake":
         root = root.rstrip("/")
-        return cls(f"{root}/bronze", f"{root}/silver", f"{root}/gold", f"{root}/rejected_log", f"{root}/ledger")
+        return cls(f"{root}/bronze", f"{root}/silver", f"{root}/gold", f"{root}/rejected_log", f"{root}/ledger", buckets)
 
     def table(self, name: str) -> str:
         return f"{self.silver}/{name}"
 
+    def bucket(self, key: Sequence[str]) -> Column:
+        return sinks.key_bucket(key, self.buckets)
+
     def ledger_of(self, table: str) -> str:
         return f"{self.ledger or self.silver + '_ledger'}/{table}"
 
@@ -101,9 +109,9 @@ def read_silver(
     return sinks.read_batches(spark, path, schema, without, buckets, bucketed=True, only=only)
 
 
-def _buckets(keys: DataFrame, key: Sequence[str]) -> list[int]:
-    """The buckets that some rows fall in, ``sinks.BUCKETS`` at most."""
-    return sorted(r[0] for r in keys.select(sinks.key_bucket(key)).distinct().collect())
+def buckets_of(lake: Lake, rows: DataFrame, key: Sequence[str]) -> list[int]:
+    """The buckets that some rows fall in, ``lake.buckets`` at most."""
+    return sorted(r[0] for r in rows.select(lake.bucket(key)).distinct().collect())
 
 
 def read_rejections(spark: SparkSession, lake: Lake) -> DataFrame:
@@ -155,12 +163,12 @@ def load(
             good = work.stage(latest_by_key(good, contract.key, arrival).drop(*arrival), "latest")
 
         def stored(keys: DataFrame) -> DataFrame:
-            return read_silver(spark, lake, contract, without=batch_id, buckets=_buckets(keys, contract.key))
+            return read_silver(spark, lake, contract, without=batch_id, buckets=buckets_of(lake, keys, contract.key))
 
         outcome = work.stage(delta.classify(good, stored(good), contract.key, work, values_of=stored), "outcome")
         fresh = delta.new_rows(outcome).withColumn("_loaded_at", F.current_timestamp())
         target = sinks.current_version(spark, lake.table(contract.table))
-        sinks.write_batch(fresh, target, batch_id, contract.key)
+        sinks.write_batch(fresh, target, batch_id, lake.bucket(contract.key))
         log = bad.unionByName(delta.conflict_log(outcome, contract.table, contract.key))
         sinks.write_batch(sinks.with_rejected_at(log), _log_path(lake, contract.table), batch_id)
 
@@ -362,7 +370,7 @@ def restore_table(
     if df.isEmpty():
         raise files.SourceError(f"the latest backup of '{contract.table}' is empty")
     path = lake.table(contract.table)
-    sinks.publish_version(spark, path, lambda aside: sinks.write_batch(df, aside, "restore", contract.key))
+    sinks.publish_version(spark, path, lambda aside: sinks.write_batch(df, aside, "restore", lake.bucket(contract.key)))
     found = {}
     for child in STAFFING.values():
         for fk in child.foreign_keys:

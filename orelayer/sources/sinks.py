@@ -17,7 +17,6 @@ from .files import BRONZE_PARTITION, SourceError, bronze_path, partition_values,
 
 BATCH = "batch_id"
 BUCKET = "key_bucket"
-BUCKETS = 64  # folders of a batch at most
 VERSION = "version"
 BACKUP_PARTITION = "backup_date"
 
@@ -87,20 +86,20 @@ def write_json(df: DataFrame, path: str) -> None:
 
 # --- silver and rejections ---------------------------------------------------------
 
-def key_bucket(key: Sequence[str], buckets: int = BUCKETS) -> Column:
-    """The bucket of a row's key, the same for equal typed keys in every batch."""
+def key_bucket(key: Sequence[str], buckets: int) -> Column:
+    """The bucket of a row's key out of ``buckets``, the same for equal typed keys in every batch."""
     return F.pmod(F.xxhash64(*key), F.lit(buckets)).cast("int")
 
 
-def write_batch(df: DataFrame, path: str, batch_id: int | str, key: Sequence[str] = ()) -> None:
+def write_batch(df: DataFrame, path: str, batch_id: int | str, bucket: Column | None = None) -> None:
     """Replace one batch of a table. Writing a batch again changes nothing else.
 
-    With a key the rows lie in a folder for each bucket of keys, so a later batch
-    reads only the buckets that its own keys fall in.
+    With a bucket (``key_bucket``) the rows lie in a folder for each, so a later
+    batch reads only the buckets that its own keys fall in.
     """
     target = f"{path}/{BATCH}={batch_id}"
-    if key:
-        dealt = df.withColumn(BUCKET, key_bucket(key)).hint("rebalance", BUCKET)
+    if bucket is not None:
+        dealt = df.withColumn(BUCKET, bucket).hint("rebalance", BUCKET)
         dealt.write.mode("overwrite").partitionBy(BUCKET).parquet(target)
     else:
         df.write.mode("overwrite").parquet(target)

@@ -30,13 +30,13 @@ def _plan(df):
 def test_a_small_batch_reads_only_its_buckets(spark, lake):
     p.load(spark, many(spark, 2000), DEPARTMENTS, lake, 1)
     batch = departments(spark, ("7", "d7"), ("5000", "new")).select(F.col("id").cast("int"), "department")
-    buckets = p._buckets(batch, DEPARTMENTS.key)
+    buckets = p.buckets_of(lake, batch, DEPARTMENTS.key)
     stored = p.read_silver(spark, lake, DEPARTMENTS, buckets=buckets)
     assert 1 <= len(buckets) <= 2
     assert "PartitionFilters: [" in _plan(stored) and sinks.BUCKET in _plan(stored).split("PartitionFilters: [")[1].split("]")[0]
     read = {r[0] for r in stored.select(F.input_file_name()).distinct().collect()}
     every = {r[0] for r in p.read_silver(spark, lake, DEPARTMENTS).select(F.input_file_name()).distinct().collect()}
-    assert 0 < len(read) <= len(buckets) and len(every) == sinks.BUCKETS
+    assert 0 < len(read) <= len(buckets) and len(every) == lake.buckets
     assert stored.filter("id = 7").count() == 1
 
 
