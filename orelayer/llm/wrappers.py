@@ -7,6 +7,7 @@ import json
 import re
 from collections.abc import Iterator
 
+import numpy as np
 import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -34,6 +35,11 @@ NOT_ARTICLE = frozenset(
     "related replies reply respond search share sharing sidebar signup social sponsor sponsored subscribe tags toolbar widget widgets".split()
 )
 ARTICLE = frozenset("article articlebody body content entry main post story text".split())
+#: Words that make a class name say something of the element's state, as in ``has-sidebar`` or ``comments-open``.
+STATE_FIRST = frozenset("has with without no is not hide show".split())
+STATE_LAST = frozenset("open closed enabled disabled on off none active left right".split())
+#: Elements below this many levels stand beside each other, as they do in browsers, at a larger number.
+DEPTH = 100
 
 
 class Node:
@@ -70,12 +76,19 @@ def _words(value: str) -> list[str]:
     return [w.lower() for w in re.split(r"[^A-Za-z]+|(?<=[a-z])(?=[A-Z])", value) if w]
 
 
+def _named(name: str) -> list[str]:
+    """The words by which one name of a class or id calls the element; none if it tells its state."""
+    words = _words(name)
+    state = len(words) > 1 and (words[0] in STATE_FIRST or words[-1] in STATE_LAST)
+    return [] if state else words
+
+
 def _element(tag: str, attrs: str) -> tuple[str, bool]:
     """The element's key, tag and class words, and whether it holds anything but the article."""
     named: dict[str, str] = {}
     for name, *values in _ATTR.findall(attrs) if attrs else ():
         named.setdefault(name.lower(), html.unescape("".join(values)))
-    words = [w for v in named.values() for w in _words(v)]
+    words = [w for v in named.values() for name in v.split() for w in _named(name)]
     classes = sorted({re.sub(r"\d+", "", c) for c in named.get("class", "").lower().split()} - {""})
     key = ".".join([tag, *classes[:4]]).replace("(", "").replace("#", "")
     if tag in NOT_TEXT:
@@ -89,7 +102,8 @@ def _element(tag: str, attrs: str) -> tuple[str, bool]:
 
 def parse(page: str) -> Node:
     """A tree of the page's elements and texts, without what can't be article. Never fails: missing
-    end tags end with the parent, stray ones are passed over, a cut tag is markup."""
+    end tags end with the parent, stray ones are passed over, a cut tag is markup, and what is nested
+    below ``DEPTH`` levels becomes a row of elements in page order."""
     root = Node("#root")
     stack: list[tuple[str, Node]] = [("#root", root)]
     dropped = 0  # depth at which a dropped element began, 0 outside
@@ -97,6 +111,9 @@ def parse(page: str) -> Node:
     def text(s: str) -> None:
         if dropped or not s:
             return
+        if len(stack) > DEPTH + 1 and stack[DEPTH][1].kids[-1] is not stack[-1][1]:  # an element within it came between
+            stack[-1] = stack[-1][0], Node(stack[-1][1].key)
+            stack[DEPTH][1].kids.append(stack[-1][1])
         kids = stack[-1][1].kids
         if kids and kids[-1].key == "#text":
             kids[-1].text += s
@@ -135,7 +152,7 @@ def parse(page: str) -> Node:
         key, out = _element(tag, m["attrs"]) if not dropped else (tag, False)
         node = Node(key)
         if not dropped and not out:
-            stack[-1][1].kids.append(node)
+            stack[min(len(stack) - 1, DEPTH)][1].kids.append(node)
         if tag in _VOID or m["attrs"].endswith("/") and tag not in _CLOSES_P | _INLINE:
             continue
         stack.append((tag, node))
@@ -199,23 +216,14 @@ def align(a: list[Node], b: list[Node]) -> list[Node]:
     x, y = [n.key for n in a], [n.key for n in b]
     if x == y:
         return [merge(i, j) for i, j in zip(a, b)]
-    n, m = len(x), len(y)
-    best = [[0] * (m + 1) for _ in range(n + 1)]
-    for i in range(n - 1, -1, -1):
-        row, below = best[i], best[i + 1]
-        for j in range(m - 1, -1, -1):
-            row[j] = below[j + 1] + 1 if x[i] == y[j] else max(below[j], row[j + 1])
     out, i, j = [], 0, 0
-    while i < n or j < m:
-        if i < n and j < m and x[i] == y[j] and best[i][j] == best[i + 1][j + 1] + 1:
-            out.append(merge(a[i], b[j]))
-            i, j = i + 1, j + 1
-        elif j >= m or (i < n and best[i + 1][j] >= best[i][j + 1]):
-            out.append(a[i])
-            out[-1].low, i = 0, i + 1
-        else:
-            out.append(b[j])
-            out[-1].low, j = 0, j + 1
+    for p, q in [*common(x, y), (len(x), len(y))]:
+        for only in (*a[i:p], *b[j:q]):
+            only.low = 0
+            out.append(only)
+        if p < len(x):
+            out.append(merge(a[p], b[q]))
+        i, j = p + 1, q + 1
     # neighbours of one key, left by pages in which something stood between them, are one group
     joined: list[Node] = []
     for node in out:
@@ -229,6 +237,48 @@ def align(a: list[Node], b: list[Node]) -> list[Node]:
     return joined
 
 
+def common(x: list[str], y: list[str], most: int = 1_000_000) -> list[tuple[int, int]]:
+    """Places of a longest common subsequence. Beyond ``most`` pairs of places the longer problem is
+    halved, so memory stays linear."""
+    a, n, m = 0, len(x), len(y)
+    while a < min(n, m) and x[a] == y[a]:
+        a += 1
+    found = [(k, k) for k in range(a)]
+    if a == min(n, m):
+        return found
+    if (n - a) * (m - a) <= most or n - a == 1:
+        best = [[0] * (m + 1) for _ in range(n + 1 - a)]
+        for i in range(n - 1, a - 1, -1):
+            row, below = best[i - a], best[i - a + 1]
+            for j in range(m - 1, a - 1, -1):
+                row[j] = below[j + 1] + 1 if x[i] == y[j] else max(below[j], row[j + 1])
+        i = j = a
+        while i < n and j < m:
+            if x[i] == y[j] and best[i - a][j] == best[i - a + 1][j + 1] + 1:
+                found.append((i, j))
+                i, j = i + 1, j + 1
+            elif best[i - a + 1][j] >= best[i - a][j + 1]:
+                i += 1
+            else:
+                j += 1
+        return found
+    number: dict[str, int] = {}
+    u, v = (np.array([number.setdefault(k, len(number)) for k in z[a:]]) for z in (x, y))
+    half = len(u) // 2
+    cut = int((_lengths(u[:half], v) + _lengths(u[half:][::-1], v[::-1])[::-1]).argmax())
+    found += [(a + i, a + j) for i, j in common(x[a : a + half], y[a : a + cut], most)]
+    return found + [(a + half + i, a + cut + j) for i, j in common(x[a + half :], y[a + cut :], most)]
+
+
+def _lengths(u: np.ndarray, v: np.ndarray) -> np.ndarray:
+    """Length of the longest common subsequence of ``u`` with each beginning of ``v``."""
+    row = np.zeros(len(v) + 1, np.int64)
+    for k in u:
+        row[1:] = np.maximum(row[1:], row[:-1] + (v == k))
+        np.maximum.accumulate(row, out=row)
+    return row
+
+
 def main_path(wrapper: Node) -> list[str]:
     """Keys from the root to the element that holds the article.
 
