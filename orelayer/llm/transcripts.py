@@ -10,13 +10,14 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 from pyspark import TaskContext
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from orelayer.llm.common import fold, importable, in_tasks
 from orelayer.session import Workspace
 
 ROLES = ("system", "user", "assistant", "tool")
+UNKNOWN, BORDER = "?", "^"
 
 #: How transcripts mark speakers, by role.
 MARKERS = {
@@ -71,7 +72,7 @@ class RoleModel:
 
 
 def fit_roles(turns: DataFrame) -> RoleModel:
-    """A model counted from turns with known roles: (conv_id, pos, role, seen), ``pos`` in order.
+    """A model counted from turns with known roles: (role, before, seen).
 
     All counts are sums over the table; a bounded number of them reaches the driver. Markers carry
     a strong prior, as transcripts with roles seldom have any; every count has a small one.
@@ -126,31 +127,47 @@ def _path(model: RoleModel, emit: np.ndarray, before: int | None, last: int | No
 
 
 def turn_rows(conversations: DataFrame, work: Workspace, *, chunk: int, conv_col: str, turn_col: str, role_col: str | None, text_col: str) -> DataFrame:
-    """Stretches in the order of the whole table, written: (conv_id, turn, part, role, seen, text,
-    chunk, place). A chunk is up to ``chunk`` stretches in a row; chunks have the order of the table."""
+    """Stretches in the order of the whole table, written: (conv_id, turn, part, role, before, seen,
+    text, chunk, place). A chunk is up to ``chunk`` stretches in a row; chunks have the order of the
+    table. ``before`` is the role of the stretch before in the same conversation, null at its start
+    and ``UNKNOWN`` if that one has none; what begins a task's part is ``BORDER``."""
     rows = conversations.select(
         F.col(conv_col).cast("long").alias("conv_id"), F.col(turn_col).cast("long").alias("turn"),
         (F.lower(F.col(role_col).cast("string")) if role_col else F.lit(None).cast("string")).alias("role"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"),
     ).where("conv_id is not null")
-    order = ["conv_id", "turn", "role", "text"]
-    # the hash is a last key, so that rows of one turn number can be split over ranges as well
-    ranged = rows.withColumn("mix", F.xxhash64("text")).repartitionByRange("conv_id", "turn", "mix").sortWithinPartitions(*order)
+    # the hash stands before role and text, so that rows of one turn number can be split over ranges
+    # as well and have the same order however they are split
+    order = ["conv_id", "turn", "mix", "role", "text"]
+    ranged = rows.withColumn("mix", F.xxhash64("role", "text")).repartitionByRange("conv_id", "turn", "mix").sortWithinPartitions(*order)
 
     def work_(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        part, n = TaskContext.get().partitionId(), 0
-        names = ["conv_id", "turn", "part", "role", "seen", "text", "chunk", "place"]
+        part, n, last = TaskContext.get().partitionId(), 0, None
+        names = ["conv_id", "turn", "part", "role", "before", "seen", "text", "chunk", "place"]
         for batch in batches:
             cols: list[list] = [[] for _ in names]
             for conv, turn, role, text in zip(*(batch.column(c).to_pylist() for c in ("conv_id", "turn", "role", "text"))):
                 for k, (marker, said) in enumerate(split_turns(text)):
-                    for col, x in zip(cols, (conv, turn, k, role, list(observe(marker, said)), said, (part << 32) + n // chunk, n)):
+                    before = BORDER if last is None else None if last[0] != conv else last[1] or UNKNOWN
+                    for col, x in zip(cols, (conv, turn, k, role, before, list(observe(marker, said)), said, (part << 32) + n // chunk, n)):
                         col.append(x)
-                    n += 1
-            kinds = [pa.int64(), pa.int64(), pa.int32(), pa.string(), pa.list_(pa.int32()), pa.string(), pa.int64(), pa.int64()]
+                    n, last = n + 1, (conv, role)
+            kinds = [pa.int64(), pa.int64(), pa.int32(), pa.string(), pa.string(), pa.list_(pa.int32()), pa.string(), pa.int64(), pa.int64()]
             yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(cols, kinds)], names)
 
-    schema = "conv_id long, turn long, part int, role string, seen array<int>, text string, chunk long, place long"
-    return work.stage(in_tasks(ranged.select(*order), work_, schema), "turns")
+    schema = "conv_id long, turn long, part int, role string, before string, seen array<int>, text string, chunk long, place long"
+    return work.stage(in_tasks(ranged.select("conv_id", "turn", "role", "text"), work_, schema), "turns")
+
+
+def with_neighbours(turns: DataFrame) -> DataFrame:
+    """``turns`` with ``before`` known at the borders as well: it comes from the last row of the part
+    before. One row for each part is looked at."""
+    task = F.shiftright("chunk", 32)
+    last = turns.groupBy(task.alias("task")).agg(F.max_by(F.struct("conv_id", F.coalesce("role", F.lit(UNKNOWN)).alias("role")), "place").alias("l"))
+    last = last.select("task", F.lag("l").over(Window.orderBy("task")).alias("l")).select("task", F.col("l.conv_id").alias("last_conv"), F.col("l.role").alias("last_role"))
+    border = F.col("before").eqNullSafe(BORDER)
+    first = turns.where(border).withColumn("task", task).join(last, "task", "left")
+    first = first.withColumn("before", F.when(F.col("last_conv") == F.col("conv_id"), F.col("last_role")))
+    return turns.where(~border).unionByName(first.select(*turns.columns))
 
 
 def recover_roles(conversations: DataFrame, work: Workspace, *, held_fold: int = 0, chunk: int = 2000, conv_col: str = "conv_id", turn_col: str = "turn", role_col: str | None = "role", text_col: str = "text") -> DataFrame:
@@ -170,24 +187,14 @@ def recover_roles(conversations: DataFrame, work: Workspace, *, held_fold: int =
     finds its own path between known ends.
 
     Null texts are empty stretches. Rows without a conversation id are left out, those without a
-    turn come first. Equal turn numbers are ordered by role and text, and repeated rows are turns
-    of their own. Without any known role the priors decide. An empty table gives an empty result;
+    turn come first. Equal turn numbers are ordered by a hash of role and text, and repeated rows are
+    turns of their own. Roles depend neither on ``chunk`` nor on how the table is dealt to tasks. Without any known role the priors decide. An empty table gives an empty result;
     extra columns are left out.
     """
     importable(conversations.sparkSession)
     turns = turn_rows(conversations, work, chunk=chunk, conv_col=conv_col, turn_col=turn_col, role_col=role_col, text_col=text_col)
     held = fold(F.col("conv_id")) == held_fold
-    taught = turns.where(~held).select("conv_id", "role", "seen", "chunk", "place", "turn")
-
-    def with_before(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values("place", ignore_index=True)
-        before = pdf["role"].shift()
-        new = pdf["conv_id"] != pdf["conv_id"].shift()
-        # what began in an earlier chunk has an unknown neighbour: neither a start nor a step
-        first = new & ((pdf.index > 0) | (pdf["place"] == 0) & (pdf["chunk"] == 0))
-        return pd.DataFrame({"role": pdf["role"], "seen": pdf["seen"], "before": np.where(first, None, np.where(new, "?", before.fillna("?")))})
-
-    model = fit_roles(taught.groupBy("chunk").applyInPandas(with_before, "role string, seen array<int>, before string"))
+    model = fit_roles(with_neighbours(turns).where(~held))
 
     # 1: for each chunk, the best scores over the conversation that runs into it and out of it
     def transfers(pdf: pd.DataFrame) -> pd.DataFrame:
