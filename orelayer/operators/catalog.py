@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..session import exists
+from ..sources.slots import SLOT, SlotLog
 
 # The metadata tables.
 DATASETS = (
@@ -177,23 +177,39 @@ def quality_summary(profiles: DataFrame, validations: DataFrame) -> DataFrame:
 # --- the metadata store ------------------------------------------------------------
 
 class Catalog:
-    """Metadata tables as Parquet folders below one base path."""
+    """The metadata tables as a log of registrations and changes below one base path.
+
+    A dataset's id is the number that its registration won in the log, so two writers never get the
+    same one; of two registrations of one name the lower number counts, and the other writer is told.
+    Dataset, schema and lineage of a registration lie in one file. Nothing is ever updated: the
+    current schema of a dataset is the one that was added last.
+    """
 
     def __init__(self, spark: SparkSession, base: str):
         self.spark = spark
-        self.base = base.rstrip("/")
+        self.registered = SlotLog(spark, f"{base.rstrip('/')}/registered")
+        self.changed = SlotLog(spark, f"{base.rstrip('/')}/changed")
 
-    def table(self, name: str) -> DataFrame:
+    def _rows(self, name: str) -> DataFrame:
+        """All rows of a table with their place in the log, without those of void registrations."""
         schema = T.DataType.fromDDL(TABLES[name])
-        path = f"{self.base}/{name}"
-        if not exists(self.spark, path):
-            return self.spark.createDataFrame([], schema)
-        return self.spark.read.schema(schema).parquet(path)
+        first = self.registered.read(name, schema)
+        if name in ("datasets", "dataset_schemas", "dataset_lineage"):
+            names = self.registered.read("datasets", T.DataType.fromDDL(DATASETS))
+            counts = names.groupBy("dataset_name").agg(F.min(SLOT).alias(SLOT)).select(SLOT)
+            first = first.join(counts, SLOT, "left_semi").select(*first.columns)
+        place = lambda later: F.struct(F.lit(later).alias("later"), SLOT).alias("_place")
+        rows = first.select(*schema.names, place(0))
+        return rows.unionByName(self.changed.read(name, schema).select(*schema.names, place(1)))
 
-    def _append(self, name: str, row: Mapping[str, Any]) -> None:
+    def table(self, name: str) -> DataFrame:
         schema = T.DataType.fromDDL(TABLES[name])
-        values = tuple(row.get(n) for n in schema.names)
-        self.spark.createDataFrame([values], schema).write.mode("append").parquet(f"{self.base}/{name}")
+        rows = self._rows(name)
+        if name == "dataset_schemas":  # of one version that was added twice, the first counts
+            kept = rows.groupBy("dataset_id", "schema_version").agg(F.min("_place").alias("_place"), F.min_by("schema_definition", "_place").alias("schema_definition"), F.min_by("created_at", "_place").alias("created_at"))
+            latest = kept.groupBy("dataset_id").agg(F.max_by("schema_version", "_place").alias("_current"))
+            rows = kept.join(latest, "dataset_id").withColumn("is_current", F.col("schema_version") == F.col("_current"))
+        return rows.select(*schema.names)
 
     def _id_of(self, name: str) -> int | None:
         found = self.table("datasets").filter(F.col("dataset_name") == name).select("dataset_id").first()
@@ -222,48 +238,50 @@ class Catalog:
             raise ValueError(f"unknown layer: {layer}")
         if format not in FORMATS:
             raise ValueError(f"unknown format: {format}")
-        if self._id_of(name) is not None:
-            raise ValueError(f"dataset '{name}' is already registered")
-        moment = now or datetime.now()
-        highest = self.table("datasets").agg(F.max("dataset_id")).first()[0]
-        dataset_id = (highest or 0) + 1
-        row = {
-            "dataset_id": dataset_id, "dataset_name": name, "layer": layer, "format": format,
-            "location": location, "description": description, "owner": owner, "created_at": moment,
-            "updated_at": moment, "row_count": row_count, "tags": list(tags), "metadata": dict(metadata or {}),
-        }
-        if size_mb is not None:
-            from decimal import Decimal
-
-            row["size_mb"] = Decimal(str(round(size_mb, 2)))
-        source_ids = []
+        taken = ValueError(f"dataset '{name}' is already registered")
+        ids = {r[0]: r[1] for r in self.table("datasets").where(F.col("dataset_name").isin(name, *sources)).select("dataset_name", "dataset_id").collect()}
+        if name in ids:
+            raise taken
         for source in sources:
-            found = self._id_of(source)
-            if found is None:
+            if source not in ids:
                 raise ValueError(f"unknown source dataset: {source}")
-            source_ids.append(found)
-        self._append("datasets", row)
-        if df is not None:
-            self.add_schema(dataset_id, df, schema_version, moment)
+        moment = now or datetime.now()
         kind, label = transformation or (None, None)
-        for source_id in source_ids:
-            self._append("dataset_lineage", {
-                "dataset_id": dataset_id, "source_dataset_id": source_id,
-                "transformation_name": label, "transformation_type": kind, "created_at": moment})
-        return dataset_id
+
+        def records(dataset_id: int) -> list[tuple[str, dict[str, Any]]]:
+            found: list[tuple[str, dict[str, Any]]] = [("datasets", {
+                "dataset_id": dataset_id, "dataset_name": name, "layer": layer, "format": format,
+                "location": location, "description": description, "owner": owner, "created_at": moment,
+                "updated_at": moment, "row_count": row_count, "size_mb": None if size_mb is None else round(size_mb, 2),
+                "tags": list(tags), "metadata": dict(metadata or {})})]
+            if df is not None:
+                found.append(("dataset_schemas", {
+                    "dataset_id": dataset_id, "schema_version": schema_version, "schema_definition": df.schema.json(), "created_at": moment}))
+            for source in sources:
+                found.append(("dataset_lineage", {
+                    "dataset_id": dataset_id, "source_dataset_id": ids[source],
+                    "transformation_name": label, "transformation_type": kind, "created_at": moment}))
+            return found
+
+        slot = self.registered.append(records)
+        if self._id_of(name) != slot:  # another writer registered the name a moment before
+            raise taken
+        return slot
 
     def add_schema(self, dataset_id: int, df: DataFrame, version: str, now: datetime | None = None) -> None:
-        self._append("dataset_schemas", {
-            "dataset_id": dataset_id, "schema_version": version, "schema_definition": df.schema.json(),
-            "is_current": True, "created_at": now or datetime.now()})
+        """A further schema of a dataset, from now on the current one; versions are unique."""
+        of = F.col("dataset_id") == dataset_id
+        if not self.table("dataset_schemas").where(of & (F.col("schema_version") == version)).isEmpty():
+            raise ValueError(f"dataset {dataset_id} has a schema {version} already")
+        if self.table("datasets").where(of).isEmpty():
+            raise ValueError(f"unknown dataset: {dataset_id}")
+        self.changed.append(lambda _: [("dataset_schemas", {
+            "dataset_id": dataset_id, "schema_version": version, "schema_definition": df.schema.json(), "created_at": now or datetime.now()})])
 
     def add_tag(
         self, dataset_id: int, tag_type: str, value: str | None = None, column: str | None = None,
         confidence: float | None = None,
     ) -> None:
-        from decimal import Decimal
-
-        sure = None if confidence is None else Decimal(str(round(confidence, 2)))
-        self._append("governance_tags", {
+        self.changed.append(lambda _: [("governance_tags", {
             "dataset_id": dataset_id, "tag_type": tag_type, "tag_value": value, "column_name": column,
-            "confidence": sure, "created_at": datetime.now()})
+            "confidence": None if confidence is None else round(confidence, 2), "created_at": datetime.now()})])

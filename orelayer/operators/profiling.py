@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..session import Workspace
+from ..session import Workspace, quoted
 from ..sources.files import file_info, read_file
 from .keys import ordered_parts
 
@@ -252,18 +252,15 @@ def profile_columns(
 def profile_overview(df: DataFrame) -> DataFrame:
     """Rows, columns and repeated rows.
 
-    Rows are told apart by a hash first, which moves a few bytes per row; only
-    rows that share their hash with another are compared whole. A row that was
-    copied any number of times is one row per task in either step.
+    One scan and one shuffle, of whole rows that each task has counted before: a
+    row that was copied any number of times is one row for each task. Maps are
+    compared by their JSON form.
     """
-    hashed = df.withColumn("_hash", F.xxhash64(*df.columns))
-    per_hash = hashed.groupBy("_hash").agg(F.count("*").alias("_n"))
-    total = per_hash.agg(F.coalesce(F.sum("_n"), F.lit(0)).alias("total_rows"))
-    shared = per_hash.filter("_n > 1").select("_hash")
-    whole = hashed.join(shared, "_hash", "left_semi").groupBy("_hash", *df.columns).agg(F.count("*").alias("_n"))
-    repeated = whole.agg(F.coalesce(F.sum(F.col("_n") - 1), F.lit(0)).alias("duplicate_rows"))
+    whole = [F.to_json(F.struct(quoted(f.name))).alias(f"c{i}") if "map<" in f.dataType.simpleString() else F.col(quoted(f.name)).alias(f"c{i}") for i, f in enumerate(df.schema.fields)]
+    counted = df.select(*whole).groupBy(*[f"c{i}" for i in range(len(whole))]).agg(F.count("*").alias("_n"))
+    total = counted.agg(F.coalesce(F.sum("_n"), F.lit(0)).alias("total_rows"), F.coalesce(F.sum(F.col("_n") - 1), F.lit(0)).alias("duplicate_rows"))
     share = F.bround(F.col("duplicate_rows") / F.col("total_rows") * 100, 2)
-    return total.select("total_rows", repeated.scalar().alias("duplicate_rows")).select(
+    return total.select(
         "total_rows",
         F.lit(len(df.columns)).cast("bigint").alias("total_columns"),
         "duplicate_rows",

@@ -99,47 +99,32 @@ class ValidationFailed(ValueError):
     """Raised by a gate; lists every failure of the pass."""
 
 
-@dataclass
+@dataclass(frozen=True)
 class ValidationResult:
-    rules_executed: int = 0
-    rules_passed: int = 0
-    rules_failed: int = 0
-    failures: list[dict] = field(default_factory=list)
-    warnings: list[dict] = field(default_factory=list)
-    timestamp: datetime = field(default_factory=datetime.now)
+    """The report of one run of rules, a row for each; all else is read from it."""
 
-    @property
-    def passed(self) -> bool:
-        """Only failed rules of severity error fail a run."""
-        return self.rules_failed == 0
+    report: tuple[Row, ...] = ()
+    timestamp: datetime = field(default_factory=datetime.now)
 
-    def record(self, row: Row) -> None:
-        self.rules_executed += 1
-        if row["passed"]:
-            self.rules_passed += 1
-            return
-        entry = {
-            "rule_name": row["rule_name"],
-            "severity": row["severity"],
-            "message": _message(row),
-            "details": {k: row[k] for k in ("column_name", "measured") if row[k] is not None},
-        }
-        if row["severity"] == "error":
-            self.failures.append(entry)
-            self.rules_failed += 1
-        elif row["severity"] == "warning":
-            self.warnings.append(entry)
+    def broken(self, severity: str) -> list[dict]:
+        """The rules of a severity that did not hold, in their order."""
+        return [
+            {"rule_name": r["rule_name"], "severity": severity, "message": _message(r),
+             "details": {k: r[k] for k in ("column_name", "measured") if r[k] is not None}}
+            for r in self.report if r["severity"] == severity and not r["passed"]
+        ]
+
+    failures = property(lambda self: self.broken("error"))
+    warnings = property(lambda self: self.broken("warning"))
+    rules_executed = property(lambda self: len(self.report))
+    rules_passed = property(lambda self: sum(r["passed"] for r in self.report))
+    rules_failed = property(lambda self: len(self.failures))
+    passed = property(lambda self: not self.failures, doc="Only broken rules of severity error fail a run.")
 
     def to_dict(self) -> dict:
-        return {
-            "timestamp": self.timestamp.isoformat(),
-            "passed": self.passed,
-            "rules_executed": self.rules_executed,
-            "rules_passed": self.rules_passed,
-            "rules_failed": self.rules_failed,
-            "failures": self.failures,
-            "warnings": self.warnings,
-        }
+        # The names in the report of a run.
+        names = ("passed", "rules_executed", "rules_passed", "rules_failed", "failures", "warnings")
+        return {"timestamp": self.timestamp.isoformat(), **{n: getattr(self, n) for n in names}}
 
 
 # The wording of the failures.
@@ -353,20 +338,21 @@ def _collect(df: DataFrame, rules: Sequence[Rule], now: datetime | None) -> list
 
 def validate(df: DataFrame, rules: Iterable[Rule | Mapping[str, Any]], now: datetime | None = None) -> ValidationResult:
     parsed = [r if isinstance(r, Rule) else Rule.of(r) for r in rules]
-    result = ValidationResult()
-    for row in sorted(_collect(df, parsed, now), key=lambda r: r["position"]):
-        result.record(row)
-    return result
+    return ValidationResult(tuple(sorted(_collect(df, parsed, now), key=lambda r: r["position"])))
 
 
-def gate(df: DataFrame, rules: Iterable[Rule | Mapping[str, Any]], now: datetime | None = None) -> ValidationResult:
-    """Validate and raise when a rule of severity error fails."""
-    result = validate(df, rules, now)
+def require_passed(result: ValidationResult) -> ValidationResult:
+    """The result itself, or an error that lists every rule of severity error that failed."""
     if not result.passed:
         raise ValidationFailed("; ".join(f"{f['rule_name']}: {f['message']}" for f in result.failures))
     return result
 
 
+def gate(df: DataFrame, rules: Iterable[Rule | Mapping[str, Any]], now: datetime | None = None) -> ValidationResult:
+    """Validate and raise when a rule of severity error fails."""
+    return require_passed(validate(df, rules, now))
+
+
 # --- standalone checks --------------------------------------------------------
 
 class QualityChecks:

@@ -9,10 +9,12 @@ Counts are taken as the rows are written.
 
 from __future__ import annotations
 
+import json
 import uuid
 from collections.abc import Callable, Mapping, Sequence
 from dataclasses import asdict, dataclass, field, replace
 from datetime import date, datetime, timezone
+from time import monotonic
 from typing import Any
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
@@ -24,11 +26,12 @@ from ..operators import delta
 from ..operators.contract import Contract, STAFFING
 from ..operators.keys import annotate_fk, orphan_values
 from ..operators.metadata import add_silver_metadata, add_trace
-from ..operators.quality import Rule, ValidationResult, gate
+from ..operators.quality import Rule, ValidationResult, require_passed, validate
 from ..operators.transforms import latest_by_key
-from ..session import Workspace, delete, exists, move
+from ..session import Workspace, delete, exists, move, observed
 from ..sources import files, sinks
 from ..sources.ledger import Ledger, stage_fresh
+from ..sources.records import PROBLEM
 from . import marts
 from .registry import Registry, registry as default_registry
 
@@ -136,6 +139,7 @@ def load(
     batch_id: int | str,
     parents: Mapping[str, DataFrame] | None = None,
     arrival: Sequence[str] = (),
+    problem: str | None = None,
 ) -> LoadResult:
     """Check, compare and store one batch of rows.
 
@@ -145,12 +149,17 @@ def load(
 
     With ``arrival`` columns the accepted row of a key that arrived last
     counts; those before it are superseded. A rejected row never stands in
-    for an accepted one.
+    for an accepted one. A ``problem`` column holds what the reader found
+    wrong with a row, which is one more reason to reject it.
     """
     batch_id = str(batch_id)
     with Workspace(spark, f"load-{contract.table}") as work:
-        checked = contract.annotate(source.select(*[n for n in contract.columns if n in source.columns], *arrival))
-        checked = checked.withColumn(c.SOURCE, F.col(c.SOURCE).dropFields(*arrival)) if arrival else checked
+        extra = [*arrival, *([problem] if problem else [])]
+        checked = contract.annotate(source.select(*[n for n in contract.columns if n in source.columns], *extra))
+        checked = checked.withColumn(c.SOURCE, F.col(c.SOURCE).dropFields(*extra)) if extra else checked
+        if problem:
+            found = F.array_compact(F.array(F.col(problem)))
+            checked = checked.withColumn(c.REASONS, F.concat(c.REASONS, found)).drop(problem)
         if contract.foreign_keys:
             if parents is None:
                 parents = {fk.parent: read_silver(spark, lake, STAFFING[fk.parent]) for fk in contract.foreign_keys}
@@ -158,6 +167,7 @@ def load(
         seen = Observation()
         sealed = c.sealed(checked).observe(seen, F.count("*").alias("rows"), F.count_if(F.col(c.OK)).alias("good"))
         rows = work.stage(sealed, "checked")
+        n_rows, n_good = observed(seen, "rows", "good")
         good, bad = c.sealed_accepted(rows), c.sealed_rejected(rows, contract.table)
         if arrival:
             good = work.stage(latest_by_key(good, contract.key, arrival).drop(*arrival), "latest")
@@ -177,12 +187,12 @@ def load(
         return LoadResult(
             contract.table,
             batch_id,
-            rows=seen.get["rows"],
+            rows=n_rows,
             inserted=counts.get(delta.NEW, 0),
             skipped=counts.get(delta.SKIPPED, 0),
             conflicts=counts.get(delta.CONFLICT, 0),
-            rejected=seen.get["rows"] - seen.get["good"],
-            superseded=seen.get["good"] - sum(counts.values()),
+            rejected=n_rows - n_good,
+            superseded=n_good - sum(counts.values()),
         )
 
 
@@ -190,9 +200,15 @@ def load_csv(
     spark: SparkSession, path: str, contract: Contract, lake: Lake, batch_id: int | str, header: bool = True,
     parents: Mapping[str, DataFrame] | None = None,
 ) -> LoadResult:
-    """A CSV file straight into its table."""
-    source = files.read_csv(spark, path, contract.columns, files.CsvOptions(header=header))
-    return load(spark, source, contract, lake, batch_id, parents)
+    """A CSV file, or a folder of them, straight into its table.
+
+    Columns are found by the names in each file's header. Rows with more
+    fields than the header, and rows of files that lack a column, are rejected
+    and say so.
+    """
+    with Workspace(spark, "csv") as work:
+        source = files.read_csv_by_name(spark, path, contract.columns, files.CsvOptions(header=header), work)
+        return load(spark, source, contract, lake, batch_id, parents, problem=PROBLEM)
 
 
 def load_batch(
@@ -392,14 +408,56 @@ def run_transform(
     source_path: str = "",
     mode: str = "append",
     version: str = "1.0",
+    records: str | None = None,
 ) -> RunResult:
     """Read, transform, add silver metadata, write: one job over the source,
-    which counts the rows as it writes them."""
-    moment = datetime.now(timezone.utc)
-    seen = Observation()
-    out = add_silver_metadata(transform(source), source_path, name, version, moment)
-    out.observe(seen, F.count("*").alias("rows")).write.mode(mode).parquet(target)
-    return RunResult(True, target, seen.get["rows"], {"bronze_path": source_path, "transformer": name})
+    which counts the rows as it writes them. With a folder for ``records`` the
+    run leaves a record there, also one that fails."""
+    spark, moment = source.sparkSession, datetime.now(timezone.utc)
+
+    def work() -> RunResult:
+        seen = Observation()
+        out = add_silver_metadata(transform(source), source_path, name, version, moment)
+        out.observe(seen, F.count("*").alias("rows")).write.mode(mode).parquet(target)
+        return RunResult(True, target, observed(seen, "rows")[0], {"bronze_path": source_path, "transformer": name})
+
+    return _recorded(spark, records, "transformation_runs", work, lambda run: run.records, {
+        "transformer_name": name, "bronze_source_path": source_path, "silver_target_table": target,
+        "run_timestamp": moment.replace(tzinfo=None), "transformation_version": version,
+    })
+
+
+# The status of a run record.
+SUCCESS, FAILED = "success", "failed"
+
+
+def _recorded(
+    spark: SparkSession, base: str | None, kind: str, work: Callable[[], Any], rows: Callable[[Any], int], record: Mapping[str, Any]
+) -> Any:
+    """Do some work and leave a run record of it, with the error if it raised one."""
+    if base is None:
+        return work()
+    began, result, error = monotonic(), None, None
+    try:
+        result = work()
+        return result
+    except BaseException as broken:
+        error = f"{type(broken).__name__}: {str(broken)[:1000]}"
+        raise
+    finally:
+        sinks.append_record(spark, base, kind, {
+            **record, "records_processed": None if result is None else rows(result), "execution_time_seconds": int(monotonic() - began),
+            "status": FAILED if error else SUCCESS, "error_message": error,
+        })
+
+
+def record_validation(spark: SparkSession, base: str, pipeline: str, layer: str, path: str, result: ValidationResult) -> int:
+    """The outcome of a set of rules as a record."""
+    return sinks.append_record(spark, base, "validation_runs", {
+        "pipeline_name": pipeline, "layer": layer, "data_path": path, "validation_timestamp": datetime.now(),
+        "rules_executed": result.rules_executed, "rules_passed": result.rules_passed, "rules_failed": result.rules_failed,
+        "passed": result.passed, "validation_json": json.dumps(result.to_dict(), default=str),
+    })
 
 
 def extract(
@@ -439,7 +497,7 @@ def extract(
     good = c.accepted(counted) if contract is not None else counted
     traced = add_trace(good, "file", name, "FileExtractor", version)
     target = sinks.write_extract(traced, bronze, name.rsplit(".", 1)[0], moment)
-    rejected_rows = seen.get["bad"]
+    rows, rejected_rows = observed(seen, "rows", "bad")
     if reject_path and rejected_rows:
         sinks.append_rejections(c.rejected(source, name), reject_path)
     meta = {
@@ -448,7 +506,7 @@ def extract(
     }
     if watermark is not None:
         meta |= {"incremental": True, "watermark_column": watermark[0], "last_watermark": str(watermark[1])}
-    return RunResult(True, target, seen.get["rows"] - rejected_rows, meta)
+    return RunResult(True, target, rows - rejected_rows, meta)
 
 
 @dataclass
@@ -470,26 +528,38 @@ def gated_pipeline(
     config: Mapping[str, Any] | None = None,
     now: datetime | None = None,
     name: str = "pipeline",
+    records: str | None = None,
 ) -> GatedResult:
     """Ingest, validate, transform, validate, publish. A failed gate raises and stops.
 
     What the transform makes is validated aside and then put into the target
     by one rename, as a folder of its own: the target never holds rows that a
-    gate has not passed, or part of a run.
+    gate has not passed, or part of a run. With a folder for ``records`` the
+    pipeline, its transformation and each gate leave a record there.
     """
-    landed = extract(spark, source_path, bronze, declared, config, now=now)
-    df = spark.read.parquet(landed.target)
-    first = gate(df, bronze_rules, now)
-    run_id = uuid.uuid4().hex
-    aside = f"{target.rstrip('/')}_aside/{run_id}"
-    try:
-        run = run_transform(df, transform, aside, name, landed.target)
-        second = gate(spark.read.parquet(aside), silver_rules, now)
-        published = f"{target.rstrip('/')}/{sinks.BATCH}={run_id}"
-        move(spark, aside, published)
-    finally:
-        delete(spark, aside)
-    return GatedResult(first, second, replace(run, target=published))
+    def checked(df: DataFrame, rules: Sequence[Rule | Mapping[str, Any]], layer: str, path: str) -> ValidationResult:
+        result = validate(df, rules, now)
+        if records is not None:
+            record_validation(spark, records, name, layer, path, result)
+        return require_passed(result)
+
+    def work() -> GatedResult:
+        landed = extract(spark, source_path, bronze, declared, config, now=now)
+        df = spark.read.parquet(landed.target)
+        first = checked(df, bronze_rules, "bronze", landed.target)
+        run_id = uuid.uuid4().hex
+        aside = f"{target.rstrip('/')}_aside/{run_id}"
+        try:
+            run = run_transform(df, transform, aside, name, landed.target, records=records)
+            second = checked(spark.read.parquet(aside), silver_rules, "silver", target)
+            published = f"{target.rstrip('/')}/{sinks.BATCH}={run_id}"
+            move(spark, aside, published)
+        finally:
+            delete(spark, aside)
+        return GatedResult(first, second, replace(run, target=published))
+
+    started = {"pipeline_name": name, "run_date": datetime.now()}
+    return _recorded(spark, records, "pipeline_runs", work, lambda done: done.run.records, started)
 
 
 def from_config(config: Mapping[str, Any], registry: Registry = default_registry) -> Callable[[SparkSession], RunResult]:

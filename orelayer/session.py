@@ -7,7 +7,8 @@ import tempfile
 import uuid
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from py4j.protocol import Py4JJavaError
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -136,6 +137,23 @@ def move(spark: SparkSession, source: str, target: str) -> bool:
     return False if fs.exists(goal) else bool(fs.rename(jpath, goal))
 
 
+def create_new(spark: SparkSession, path: str, text: str) -> bool:
+    """Create a file with a text; False if there is one already, whoever made it."""
+    fs, jpath = _fs(spark, path)
+    fs.mkdirs(jpath.getParent())
+    try:
+        out = fs.create(jpath, False)
+    except Py4JJavaError as error:
+        if fs.exists(jpath):
+            return False
+        raise error
+    try:
+        out.write(bytearray(text.encode()))
+    finally:
+        out.close()
+    return True
+
+
 def make_dir(spark: SparkSession, path: str) -> None:
     fs, jpath = _fs(spark, path)
     fs.mkdirs(jpath)
@@ -147,6 +165,16 @@ def delete(spark: SparkSession, path: str) -> None:
         fs.delete(jpath, True)
 
 
+def observed(seen: Observation, *names: str) -> list[int]:
+    """Counts that were observed while rows were written. A plan that turns out to be empty at run
+    time is replaced as a whole, its counts with it: then all of them are 0."""
+    try:
+        found = seen.get
+    except Py4JJavaError:
+        return [0 for _ in names]
+    return [found[n] or 0 for n in names]
+
+
 def has_shuffle(df: DataFrame) -> bool:
     """Whether the plan moves rows, so that their order may change when a task
     is repeated. Rows straight from files keep their order."""

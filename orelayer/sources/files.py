@@ -11,7 +11,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..session import exists, is_dir, list_names
+from ..session import Workspace, exists, list_names, quoted
+from . import records
 from .config import substitute
 
 # Readable formats by file extension.
@@ -45,11 +46,11 @@ class CsvOptions:
     escape: str = '"'  # a quote inside quotes is doubled
 
 
-def _null_out(df: DataFrame, na_values: Sequence[str]) -> DataFrame:
+def _null_out(df: DataFrame, na_values: Sequence[str], columns: Sequence[str] | None = None) -> DataFrame:
     if not na_values:
         return df
-    texts = [f.name for f in df.schema.fields if isinstance(f.dataType, T.StringType)]
-    return df.withColumns({c: F.when(~F.col(c).isin(*na_values), F.col(c)) for c in texts})
+    texts = columns or [f.name for f in df.schema.fields if isinstance(f.dataType, T.StringType)]
+    return df.withColumns({c: F.when(~F.col(quoted(c)).isin(*na_values), F.col(quoted(c))) for c in texts})
 
 
 def read_csv(
@@ -60,7 +61,7 @@ def read_csv(
 ) -> DataFrame:
     """CSV as text columns. Without names they are taken from the header line."""
     if options.skiprows:
-        return _read_csv_skipping(spark, path, columns, options)
+        return read_csv_by_name(spark, path, columns, options).drop(records.PROBLEM)
     reader = (
         spark.read.option("sep", options.delimiter)
         .option("encoding", options.encoding)
@@ -75,36 +76,19 @@ def read_csv(
     return _null_out(reader.csv(path), options.na_values)
 
 
-def _read_csv_skipping(
-    spark: SparkSession, path: str, columns: Sequence[str] | None, options: CsvOptions
+def read_csv_by_name(
+    spark: SparkSession, path: str, columns: Sequence[str] | None = None, options: CsvOptions = CsvOptions(), work: Workspace | None = None
 ) -> DataFrame:
-    """CSV below some leading lines of one file; no line breaks inside quotes.
+    """CSV by the names in each file's header, with a ``_problem`` column, see ``records.by_name``.
 
-    The leading lines sit in the split that starts at byte zero, so their
-    position within that split is their position in the file.
+    Files are read by splits, also where line breaks stand in quotes or leading lines are skipped.
     """
-    if is_dir(spark, path):
-        raise SourceError("skiprows needs the path of a single file")
-    lines = spark.read.option("encoding", options.encoding).text(path)
-    in_split = F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1))
-    numbered = lines.select(
-        "value", F.when(F.col("_metadata.file_block_start") == 0, in_split).alias("_line")
+    found = records.by_name(
+        spark, path, columns, work or Workspace(spark, "csv"), sep=options.delimiter, escape=options.escape, encoding=options.encoding,
+        skiprows=options.skiprows, header=options.header,
     )
-    skip = options.skiprows
-    if options.header:
-        head = numbered.filter(F.col("_line") == skip).select("value").first()
-        if head is None:
-            raise SourceError(f"no header line after {skip} lines in {path}")
-        names = [n.strip('"') for n in head["value"].split(options.delimiter)]
-        columns = list(columns) if columns is not None else names
-        skip += 1
-    if columns is None:
-        raise SourceError("column names are needed without a header")
-    body = numbered.filter(F.col("_line").isNull() | (F.col("_line") >= skip)).filter(F.length("value") > 0)
-    schema = ", ".join(f"`{c}` string" for c in columns)
-    parser = {"sep": options.delimiter, "escape": options.escape}
-    parsed = body.select(F.from_csv("value", schema, parser).alias("r")).select("r.*")
-    return _null_out(parsed, options.na_values)
+    texts = [c for c in found.columns if c != records.PROBLEM]
+    return _null_out(found, options.na_values, texts)
 
 
 def read_json(spark: SparkSession, path: str, lines: bool = True, schema: T.StructType | None = None) -> DataFrame:

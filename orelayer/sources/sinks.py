@@ -12,8 +12,9 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..operators.contract import Contract
-from ..session import delete, exists, list_names, move
+from ..session import delete, list_names, move
 from .files import BRONZE_PARTITION, SourceError, bronze_path, partition_values, read_latest_partition
+from .slots import SlotLog
 
 BATCH = "batch_id"
 BUCKET = "key_bucket"
@@ -91,40 +92,43 @@ def key_bucket(key: Sequence[str], buckets: int) -> Column:
     return F.pmod(F.xxhash64(*key), F.lit(buckets)).cast("int")
 
 
-def write_batch(df: DataFrame, path: str, batch_id: int | str, bucket: Column | None = None) -> None:
+def write_batch(df: DataFrame, path: str, batch_id: int | str, bucket: Column | None = None, by: str = BUCKET) -> None:
     """Replace one batch of a table. Writing a batch again changes nothing else.
 
-    With a bucket (``key_bucket``) the rows lie in a folder for each, so a later
-    batch reads only the buckets that its own keys fall in.
+    With a bucket (``key_bucket``, or another column named ``by``) the rows lie in
+    a folder for each, so a later batch reads only the buckets that it touches.
     """
     target = f"{path}/{BATCH}={batch_id}"
     if bucket is not None:
-        dealt = df.withColumn(BUCKET, bucket).hint("rebalance", BUCKET)
-        dealt.write.mode("overwrite").partitionBy(BUCKET).parquet(target)
+        dealt = df.withColumn(by, bucket).hint("rebalance", by)
+        dealt.write.mode("overwrite").partitionBy(by).parquet(target)
     else:
         df.write.mode("overwrite").parquet(target)
 
 
 def read_batches(
     spark: SparkSession, path: str, schema: T.StructType, without: int | str | None = None,
-    buckets: Sequence[int] | None = None, bucketed: bool = False, only: int | str | None = None,
+    buckets: Sequence[int | None] | None = None, bucketed: bool = False, only: int | str | None = None,
+    by: str = BUCKET, kind: T.DataType = T.IntegerType(),
 ) -> DataFrame:
     """The table over all batches, or an empty frame when nothing was written.
 
-    ``buckets`` names the buckets of keys that are needed; the others are not read.
+    ``buckets`` names the buckets that are needed; the others are not read.
     """
     if not partition_values(spark, path, BATCH):
         return spark.createDataFrame([], schema)
     layout = [T.StructField(BATCH, T.StringType())]
-    if bucketed or buckets is not None:
-        layout.append(T.StructField(BUCKET, T.IntegerType()))
+    if bucketed or by != BUCKET or buckets is not None:
+        layout.append(T.StructField(by, kind))
     df = spark.read.schema(T.StructType([*schema.fields, *layout])).option("basePath", path).parquet(path)
     if without is not None:
         df = df.filter(F.col(BATCH) != str(without))
     if only is not None:
         df = df.filter(F.col(BATCH) == str(only))
     if buckets is not None:
-        df = df.filter(F.col(BUCKET).isin(*buckets) if buckets else F.lit(False))
+        named = [b for b in buckets if b is not None]
+        asked = F.col(by).isin(*named) if named else F.lit(False)
+        df = df.filter(asked | F.col(by).isNull() if None in buckets else asked)
     return df.select(*schema.names)
 
 
@@ -224,28 +228,46 @@ def restore(spark: SparkSession, root: str, contract: Contract, target: str, fmt
 
 # --- run records ---------------------------------------------------------------------------
 
-# The columns of the run record tables.
+# The run record tables, with the id of each as the first column.
 RUN_RECORDS = {
-    "transformation_runs": "run_name string, source_path string, target_table string, records bigint, success boolean, finished_at timestamp, details string",
-    "pipeline_runs": "pipeline_name string, status string, started_at timestamp, finished_at timestamp, details string",
-    "data_quality_metrics": "table_name string, metric_name string, metric_value double, measured_at timestamp",
-    "source_profiles": "source_name string, source_type string, profile_timestamp timestamp, total_rows bigint, total_columns int, null_percentage double, duplicate_percentage double, quality_score double, profile_json string",
-    "validation_runs": "pipeline_name string, layer string, data_path string, validation_timestamp timestamp, rules_executed int, rules_passed int, rules_failed int, passed boolean, validation_json string",
-    "dataset_statistics": "dataset_id int, stat_timestamp timestamp, row_count bigint, column_count int, null_percentage double, duplicate_percentage double, quality_score double, statistics_json string",
+    "transformation_runs": (
+        "run_id bigint, transformer_name string, bronze_source_path string, silver_target_table string, run_timestamp timestamp, "
+        "records_processed bigint, execution_time_seconds int, status string, error_message string, transformation_version string, created_at timestamp"
+    ),
+    "pipeline_runs": (
+        "run_id bigint, pipeline_name string, run_date timestamp, status string, records_processed bigint, execution_time_seconds int, "
+        "error_message string, created_at timestamp"
+    ),
+    "data_quality_metrics": (
+        "metric_id bigint, dataset_name string, check_name string, check_timestamp timestamp, status string, metric_value double, "
+        "threshold_value double, message string, created_at timestamp"
+    ),
+    "source_profiles": (
+        "profile_id bigint, source_name string, source_type string, profile_timestamp timestamp, total_rows bigint, total_columns int, "
+        "null_percentage decimal(5,2), duplicate_percentage decimal(5,2), quality_score decimal(5,2), profile_json string, created_at timestamp"
+    ),
+    "validation_runs": (
+        "validation_id bigint, pipeline_name string, layer string, data_path string, validation_timestamp timestamp, rules_executed int, "
+        "rules_passed int, rules_failed int, passed boolean, validation_json string, created_at timestamp"
+    ),
+    "dataset_statistics": (
+        "stat_id bigint, dataset_id int, stat_timestamp timestamp, row_count bigint, column_count int, null_percentage decimal(5,2), "
+        "duplicate_percentage decimal(5,2), quality_score decimal(5,2), statistics_json string"
+    ),
 }
 
 
-def append_record(spark: SparkSession, base: str, kind: str, record: Mapping[str, Any]) -> None:
-    """Append one run record; unknown keys are an error, missing ones null."""
-    schema = T.DataType.fromDDL(RUN_RECORDS[kind])
-    unknown = set(record) - set(schema.names)
+def append_record(spark: SparkSession, base: str, kind: str, record: Mapping[str, Any]) -> int:
+    """Add one run record and return its id, the number it won in the log. Unknown keys are an
+    error, missing ones null; ``created_at`` is now."""
+    names = T.DataType.fromDDL(RUN_RECORDS[kind]).names
+    unknown = set(record) - set(names[1:])
     if unknown:
         raise ValueError(f"unknown columns for {kind}: {sorted(unknown)}")
-    row = tuple(record.get(n) for n in schema.names)
-    spark.createDataFrame([row], schema).write.mode("append").parquet(f"{base.rstrip('/')}/{kind}")
+    made = {"created_at": datetime.now()} if "created_at" in names else {}
+    return SlotLog(spark, f"{base.rstrip('/')}/{kind}").append(lambda slot: [(kind, {**made, **record, names[0]: slot})])
 
 
 def read_records(spark: SparkSession, base: str, kind: str) -> DataFrame:
     schema = T.DataType.fromDDL(RUN_RECORDS[kind])
-    path = f"{base.rstrip('/')}/{kind}"
-    return spark.read.schema(schema).parquet(path) if exists(spark, path) else spark.createDataFrame([], schema)
+    return SlotLog(spark, f"{base.rstrip('/')}/{kind}").read(kind, schema).select(*schema.names)

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators import catalog as cat
+from ..session import Workspace
 from .base import query, table
 
 DATASETS_SQL = """
@@ -150,3 +151,49 @@ def quality_summary(spark: SparkSession, sf: str) -> DataFrame:
         F.length("o_orderpriority").alias("rules_passed"),
     )
     return cat.quality_summary(profiles, runs)
+
+
+# --- the metadata store -----------------------------------------------------------------------
+
+_REGISTERED = {"customer": "bronze", "orders": "silver", "lineitem": "silver", "events": "bronze", "documents": "gold"}
+
+
+def _registered(spark: SparkSession, sf: str) -> cat.Catalog:
+    """The tables as datasets: lineitem comes from orders, orders from customer and events; orders
+    gets a second schema, and every table with a text column is tagged."""
+    store = cat.Catalog(spark, Workspace(spark, "catalog").root)
+    sources = {"orders": ["customer", "events"], "lineitem": ["orders"]}
+    for name in ("customer", "events", "orders", "lineitem", "documents"):
+        df = table(spark, sf, name)
+        number = store.register(name, _REGISTERED[name], f"/{name}", df=df, sources=sources.get(name, ()), row_count=df.count(), owner="o" + name[0], tags=[name[:2]])
+        if name == "orders":
+            store.add_schema(number, df.select("o_orderkey"), "2.0")
+        if "string" in dict(df.dtypes).values():
+            store.add_tag(number, "pii", column="text", confidence=0.75)
+    return store
+
+
+_REGISTERED_SQL = " union all ".join(
+    f"""select {i} as dataset_id, '{n}' as dataset_name, '{_REGISTERED[n]}' as layer, count(*) as row_count, '{v}' as schema_version,
+        cast({k} as integer) as fields, cast({up} as bigint) as upstream_count, cast({down} as bigint) as downstream_count from {n}"""
+    for i, n, v, k, up, down in ((1, "customer", "1.0", 5, 0, 1), (2, "events", "1.0", 5, 0, 1), (3, "orders", "2.0", 1, 2, 1), (4, "lineitem", "1.0", 11, 1, 0), (5, "documents", "1.0", 5, 0, 0)))
+
+
+@query("catalog_register", _REGISTERED_SQL)
+def catalog_register(spark: SparkSession, sf: str) -> DataFrame:
+    """Registered datasets with their current schema and lineage; one has had two schemas."""
+    store = _registered(spark, sf)
+    found = cat.with_current_schema(store.table("datasets"), store.table("dataset_schemas"))
+    found = cat.with_lineage_counts(found, store.table("dataset_lineage"))
+    fields = F.size(F.from_json("schema_definition", "fields array<struct<name:string>>")["fields"])
+    return found.select("dataset_id", "dataset_name", "layer", "row_count", "schema_version", fields.alias("fields"), "upstream_count", "downstream_count")
+
+
+@query("catalog_governance", """
+select 1 as dataset_id, 'customer' as dataset_name, 'pii' as tag_type, cast(0.75 as double) as confidence, count(*) as row_count from customer
+union all select 3, 'orders', 'pii', 0.75, count(*) from orders""")
+def catalog_governance(spark: SparkSession, sf: str) -> DataFrame:
+    """Single datasets by id, each with its governance tags."""
+    store = _registered(spark, sf)
+    one = [cat.get_dataset(store.table("datasets"), i).join(cat.governance_of(store.table("governance_tags"), i), "dataset_id") for i in (1, 3)]
+    return one[0].unionByName(one[1]).select("dataset_id", "dataset_name", "tag_type", F.col("confidence").cast("double").alias("confidence"), "row_count")

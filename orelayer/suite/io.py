@@ -155,3 +155,58 @@ def mart_refresh(spark: SparkSession, sf: str) -> DataFrame:
     sinks.overwrite_mart(table(spark, sf, "customer"), path)
     sinks.overwrite_mart(table(spark, sf, "customer").filter("c_acctbal < 0"), path)
     return spark.read.parquet(path).drop("_refreshed_at")
+
+
+# --- records over splits, headers by file -------------------------------------------------------
+
+def _by_splits(spark: SparkSession, path: str, columns: list[str] | None, options: files.CsvOptions) -> DataFrame:
+    """Read with splits of a few kilobytes, so that files of any test size are cut many times."""
+    limit = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", str(max(4096, table_bytes(spark, path) // 40)))
+    try:
+        return files.read_csv_by_name(spark, path, columns, options)
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", limit)
+
+
+def table_bytes(spark: SparkSession, path: str) -> int:
+    return files.file_info(spark, path).agg(F.sum("size_bytes")).first()[0]
+
+
+@query("csv_quoted_breaks", "select cast(doc_id as varchar) as doc_id, text, lang, source, cast(n_chars as varchar) as n_chars from documents")
+def csv_quoted_breaks(spark: SparkSession, sf: str) -> DataFrame:
+    """Whole texts with line breaks, quotes and separators in quotes, in files that are cut into splits."""
+    path = Workspace(spark, "csv").path("documents.csv")
+    table(spark, sf, "documents").write.option("header", True).option("quoteAll", True).option("escape", '"').option(
+        "ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False).option("lineSep", "\n").csv(path)
+    return _by_splits(spark, path, None, files.CsvOptions()).drop("_problem")
+
+
+@query("csv_skiprows", """
+select cast(c_custkey as varchar) as c_custkey, c_name, cast(c_nationkey as varchar) as c_nationkey, cast(c_acctbal as varchar) as c_acctbal,
+       c_mktsegment from customer""")
+def csv_skiprows(spark: SparkSession, sf: str) -> DataFrame:
+    """A folder of files, each with three lines above its quoted header."""
+    path = Workspace(spark, "csv").path("customer.csv")
+    df = table(spark, sf, "customer")
+    line = F.concat_ws(",", *[F.concat(F.lit('"'), F.col(c).cast("string"), F.lit('"')) for c in df.columns])
+    head = '"' + '","'.join(df.columns) + '"'
+    lines = df.repartition(3, "c_custkey").select(F.concat(F.when(F.monotonically_increasing_id() % (1 << 33) == 0, F.lit(f'report "of\ntoday\n\n{head}\n')).otherwise(F.lit("")), line).alias("value"))
+    lines.write.text(path)
+    return _by_splits(spark, path, df.columns, files.CsvOptions(skiprows=3)).drop("_problem")
+
+
+@query("csv_surplus", """
+select case when o_orderkey % 3 = 1 then null else cast(o_orderkey as varchar) end as id, o_orderpriority as name,
+       nullif(concat_ws('; ', case when o_orderkey % 3 = 1 then 'column id is not in the header' end,
+         case when o_orderkey % 7 = 0 then 'row has ' || (case when o_orderkey % 3 = 1 then 2 else 3 end) || ' fields, header has ' || (case when o_orderkey % 3 = 1 then 1 else 2 end) end), '') as _problem
+from orders""")
+def csv_surplus(spark: SparkSession, sf: str) -> DataFrame:
+    """Files with their columns in different orders, one without a column, and rows with a field too many."""
+    folder = Workspace(spark, "csv").path("orders")
+    orders = table(spark, sf, "orders").select(F.col("o_orderkey").cast("string").alias("id"), F.col("o_orderpriority").alias("name"), F.col("o_orderkey").alias("k"))
+    for i, names in enumerate((["id", "name"], ["name"], ["name", "id"])):
+        row = F.concat_ws(",", *names, F.when(F.col("k") % 7 == 0, F.lit("surplus")))
+        part = orders.where(F.col("k") % 3 == i).coalesce(1).select(row.alias("value"))
+        spark.createDataFrame([(",".join(names),)], "value string").unionByName(part).coalesce(1).write.mode("append").text(folder)
+    return _by_splits(spark, folder, ["id", "name"], files.CsvOptions())

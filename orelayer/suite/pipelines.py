@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+import contextlib
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators.contract import DEPARTMENTS, HIRED_EMPLOYEES, JOBS
 from ..operators import transforms as tr
-from ..operators.quality import BRONZE_RULES
+from ..operators.quality import BRONZE_RULES, ValidationFailed
 from ..plans import marts, pipelines as p
 from ..session import Workspace
 from ..sources import files, sinks
@@ -208,6 +210,57 @@ def run_days(spark: SparkSession, sf: str) -> DataFrame:
     return stored.unionByName(p.read_rejections(spark, lake).select(F.lit("logged").alias("kind"), "raw_row", "reason"), allowMissingColumns=True)
 
 
+@query("load_csv_header", """
+select 'stored' as kind, cast(o_orderkey as integer) as id, o_orderpriority as department, cast(null as varchar) as raw_row, cast(null as varchar) as reason from orders where o_orderkey % 7 <> 0
+union all select 'logged', null, null, '{"id":"' || o_orderkey || '","department":"' || o_orderpriority || '"}', 'row has 3 fields, header has 2' from orders where o_orderkey % 7 = 0""")
+def load_csv_header(spark: SparkSession, sf: str) -> DataFrame:
+    """Two files whose headers have different orders, loaded at once; rows with a field too many are rejected."""
+    work = Workspace(spark, "load-csv")
+    lake, folder = p.Lake.under(work.path("lake")), work.path("departments.csv")
+    orders = table(spark, sf, "orders").select(F.col("o_orderkey").cast("string").alias("id"), F.col("o_orderpriority").alias("department"), F.col("o_orderkey").alias("k"))
+    for i, names in enumerate((["id", "department"], ["department", "id"])):
+        row = F.concat_ws(",", *names, F.when(F.col("k") % 7 == 0, F.lit("surplus")))
+        part = orders.where(F.col("k") % 2 == i).coalesce(1).select(row.alias("value"))
+        spark.createDataFrame([(",".join(names),)], "value string").unionByName(part).coalesce(1).write.mode("append").text(folder)
+    p.load_csv(spark, folder, DEPARTMENTS, lake, 1)
+    stored = p.read_silver(spark, lake, DEPARTMENTS).select(F.lit("stored").alias("kind"), "id", "department")
+    return stored.unionByName(p.read_rejections(spark, lake).select(F.lit("logged").alias("kind"), "raw_row", "reason"), allowMissingColumns=True)
+
+
+@query("run_records", """
+with good as (select count(*) as n from orders where o_totalprice > 250000)
+select 'transformation_runs' as record, 'large_orders' as name, 'success' as status, n as records, cast(null as integer) as failed from good
+union all select 'transformation_runs', 'pipeline', 'success', (select count(*) from customer), null
+union all select 'transformation_runs', 'pipeline', 'success', (select count(*) from customer), null
+union all select 'transformation_runs', 'broken', 'failed', null, null
+union all select 'pipeline_runs', 'pipeline', 'success', (select count(*) from customer), null
+union all select 'pipeline_runs', 'pipeline', 'failed', null, null
+union all select 'validation_runs', 'bronze', 'true', null, 0
+union all select 'validation_runs', 'silver', 'true', null, 0
+union all select 'validation_runs', 'bronze', 'true', null, 0
+union all select 'validation_runs', 'silver', 'false', null, 1""")
+def run_records(spark: SparkSession, sf: str) -> DataFrame:
+    """What runs leave behind: a transformation, one that fails, and a gated pipeline whose second run fails its gate."""
+    work = Workspace(spark, "records")
+    records, source = work.path("records"), work.path("customer.parquet")
+    large = lambda df: df.filter("o_totalprice > 250000").select("o_orderkey", "o_totalprice")
+    p.run_transform(table(spark, sf, "orders"), large, work.path("silver"), "large_orders", "orders", records=records)
+    with contextlib.suppress(ValueError):
+        p.run_transform(table(spark, sf, "orders"), lambda df: tr.clean_nulls(df, strategy="?"), work.path("none"), "broken", records=records)
+    table(spark, sf, "customer").write.parquet(source)
+    for n, limit in ((1, 1), (2, 1 << 40)):
+        rule = [{"name": "size", "type": "volume", "config": {"min_rows": limit}}]
+        with contextlib.suppress(ValidationFailed):
+            p.gated_pipeline(spark, source, work.path(f"bronze{n}"), work.path("gated"), lambda df: df.select("c_custkey"), BRONZE_VOLUME, rule, records=records)
+    runs = sinks.read_records(spark, records, "transformation_runs").select(F.lit("transformation_runs").alias("record"), F.col("transformer_name").alias("name"), "status", F.col("records_processed").alias("records"))
+    piped = sinks.read_records(spark, records, "pipeline_runs").select(F.lit("pipeline_runs").alias("record"), F.col("pipeline_name").alias("name"), "status", F.col("records_processed").alias("records"))
+    gates = sinks.read_records(spark, records, "validation_runs").select(F.lit("validation_runs").alias("record"), F.col("layer").alias("name"), F.col("passed").cast("string").alias("status"), F.col("rules_failed").alias("failed"))
+    return runs.unionByName(piped).unionByName(gates, allowMissingColumns=True)
+
+
+BRONZE_VOLUME = [{"name": "any", "type": "volume", "config": {"min_rows": 1}}]
+
+
 # --- extracts and gates ------------------------------------------------------------------
 
 _EXTRACTED = ["transaction_id", "customer_id", "quantity", "transaction_date", "_source_system", "_source_entity",

@@ -67,7 +67,7 @@ select * exclude (r) from (
 def stream_dedup(spark: SparkSession, sf: str) -> DataFrame:
     work = Workspace(spark, "stream")
     st.keep_first(_events(spark, sf), ["user_id", "event_type"], "ts", "60 days", work.path("out"), work.path("checkpoint"))
-    return spark.read.parquet(work.path("out")).drop("batch_id")
+    return st.kept_rows(spark, work.path("out"), table(spark, sf, "events").schema)
 
 
 @query("stream_two_sources", "select event_id, user_id, event_type, value from events where value >= 1 and user_id in (select s_suppkey from supplier)")

@@ -2,9 +2,10 @@ from datetime import datetime
 
 import pytest
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from orelayer.operators import catalog as cat
-from orelayer.sources import sinks
+from orelayer.sources import sinks, slots
 
 
 @pytest.fixture
@@ -71,6 +72,56 @@ def test_schema_and_tags(store, rows):
     assert cat.governance_of(tags, 2).count() == 2
 
 
+def test_a_new_schema_retires_the_one_before(spark, store):
+    store.add_schema(3, spark.range(1).selectExpr("id", "id as b"), "2.0")
+    store.add_schema(3, spark.range(1).selectExpr("id as c"), "1.5")  # the last one added counts, not the highest
+    schemas = store.table("dataset_schemas")
+    assert {r["schema_version"]: r["is_current"] for r in schemas.collect()} == {"1.0": False, "2.0": False, "1.5": True}
+    current = cat.with_current_schema(store.table("datasets"), schemas).collect()
+    assert len(current) == 5 and [r["schema_version"] for r in current if r["dataset_id"] == 3] == ["1.5"]
+    with pytest.raises(ValueError, match="already"):
+        store.add_schema(3, spark.range(1), "2.0")
+    with pytest.raises(ValueError, match="unknown"):
+        store.add_schema(99, spark.range(1), "1.0")
+
+
+def test_two_writers_get_different_ids(spark, work, store, monkeypatch):
+    """The second writer looks at the log before the first one has written, as it may at once."""
+    other = cat.Catalog(spark, work.path("catalog"))
+    append = other.registered.append
+
+    def late(records):
+        monkeypatch.setattr(other.registered, "append", append)
+        assert store.register("first", "gold", "/1") == 6
+        return append(records)
+
+    monkeypatch.setattr(other.registered, "append", late)
+    assert other.register("second", "gold", "/2") == 7
+    log = slots.SlotLog(spark, work.path("log"))
+    assert [log.append(lambda slot: [("t", {"n": slot})]) for _ in range(3)] == [1, 2, 3]
+    monkeypatch.setattr(log, "last", lambda: 0)  # a listing from long ago: every number is tried
+    assert log.append(lambda slot: [("t", {"n": slot})]) == 4
+    assert sorted(tuple(r) for r in slots.SlotLog(spark, work.path("log")).read("t", T.StructType().add("n", "long")).collect()) == [(n, n) for n in (1, 2, 3, 4)]
+
+
+def test_one_name_from_two_writers(spark, work, store, monkeypatch):
+    other = cat.Catalog(spark, work.path("catalog"))
+    append = other.registered.append
+
+    def late(records):
+        store.register("same", "gold", "/1", df=spark.range(1))
+        return append(records)
+
+    monkeypatch.setattr(other.registered, "append", late)
+    with pytest.raises(ValueError, match="already registered"):
+        other.register("same", "silver", "/2", df=spark.range(1), sources=["raw_hr"])
+    found = store.table("datasets").where("dataset_name = 'same'").collect()
+    assert [(r["dataset_id"], r["layer"]) for r in found] == [(6, "gold")]
+    assert store.table("dataset_lineage").where("dataset_id = 7").isEmpty()
+    assert store.table("dataset_schemas").where("dataset_id = 7").isEmpty()
+    assert store.register("next", "gold", "/n") == 8
+
+
 def test_quality_summary(spark, work, rows):
     at = datetime(2024, 1, 1)
     sinks.append_record(spark, work.root, "source_profiles", {"source_name": "s", "profile_timestamp": at, "quality_score": 88.5, "null_percentage": 1.0})

@@ -1,3 +1,6 @@
+import csv
+import io
+import random
 from datetime import date, datetime
 
 import pytest
@@ -48,8 +51,50 @@ def test_csv_skiprows_na_values(spark, tmp_path, rows):
     path = write(tmp_path, "a.csv", "x\nid,name\n1,NA\n2,b\n")
     df = files.read_csv(spark, path, options=files.CsvOptions(skiprows=1, na_values=("NA",)))
     assert rows(df) == [("1", None), ("2", "b")]
-    with pytest.raises(files.SourceError):
-        files.read_csv(spark, str(tmp_path), options=files.CsvOptions(skiprows=1))
+    write(tmp_path, "b.csv", "y\nname,id\nc,3\n")  # a folder: each file has its own lines and header
+    assert rows(files.read_csv(spark, str(tmp_path), options=files.CsvOptions(skiprows=1))) == [("1", "NA"), ("2", "b"), ("3", "c")]
+
+
+def _plain_csv(text, skip):
+    return list(csv.reader(io.StringIO("\n".join(text.split("\n")[skip:]))))
+
+
+@pytest.mark.parametrize("seed,skip", [(1, 0), (2, 3), (3, 0), (4, 1)])
+def test_records_over_splits(spark, tmp_path, work, rows, seed, skip):
+    """Line breaks, quotes and separators in quotes, in files that are cut anywhere, against Python's reader."""
+    r = random.Random(seed)
+    cell = lambda: "".join(r.choice(["a", "bc", "é", "\n", "\n\n", ",", '"', " "]) for _ in range(r.randrange(6)))
+    want = []
+    for name in ("a", "b", "c"):
+        names = ["id", "name", 'odd "x", y']
+        r.shuffle(names)
+        out = io.StringIO()
+        writer = csv.writer(out, lineterminator="\n", quoting=csv.QUOTE_ALL)
+        writer.writerow(names)
+        for i in range(60):
+            row = {"id": f"{name}{i}", "name": cell() + "z", 'odd "x", y': cell() + "z"}
+            writer.writerow([row[n] for n in names])
+        text = "".join(f'skipped "line {k}\n' for k in range(skip)) + out.getvalue()
+        write(tmp_path, f"{name}.csv", text)
+        want += [tuple(dict(zip(names, x))[n] for n in ("id", "name", 'odd "x", y')) for x in _plain_csv(text, skip)[1:]]
+    limit = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    try:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", "97")
+        found = files.read_csv_by_name(spark, str(tmp_path), ["id", "name", 'odd "x", y'], files.CsvOptions(skiprows=skip), work)
+        assert found.where("_problem is not null").isEmpty()
+        assert rows(found.drop("_problem")) == sorted(want, key=lambda x: tuple(map(str, x)))
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", limit)
+
+
+def test_headers_of_each_file(spark, tmp_path, work, rows):
+    write(tmp_path, "a.csv", "id,department\n1,A\n2,B,LOST\n3,\n")
+    write(tmp_path, "b.csv", '"department",id\n"C, D",4\n')
+    write(tmp_path, "c.csv", "id,other\n5,x\n")
+    got = files.read_csv_by_name(spark, str(tmp_path), ["id", "department"], work=work)
+    assert rows(got) == [
+        ("1", "A", None), ("2", "B", "row has 3 fields, header has 2"), ("3", None, None), ("4", "C, D", None),
+        ("5", None, "column department is not in the header")]
 
 
 def test_json(spark, tmp_path, rows):
@@ -184,11 +229,12 @@ def test_mart_overwrite_counts(spark, work):
 @pytest.mark.parametrize("kind", sorted(sinks.RUN_RECORDS))
 def test_run_records(spark, work, kind):
     assert sinks.read_records(spark, work.root, kind).count() == 0
-    name = sinks.read_records(spark, work.root, kind).columns[0]
+    number, name = sinks.read_records(spark, work.root, kind).columns[:2]
     value = 1 if name == "dataset_id" else "x"
-    sinks.append_record(spark, work.root, kind, {name: value})
-    sinks.append_record(spark, work.root, kind, {name: value})
-    assert sinks.read_records(spark, work.root, kind).filter(F.col(name) == value).count() == 2
+    assert [sinks.append_record(spark, work.root, kind, {name: value}) for _ in range(2)] == [1, 2]
+    got = sinks.read_records(spark, work.root, kind)
+    assert sorted((r[number], r[name]) for r in got.collect()) == [(1, value), (2, value)]
+    assert "created_at" not in got.columns or got.where("created_at is null").isEmpty()
     with pytest.raises(ValueError):
         sinks.append_record(spark, work.root, kind, {"nope": 1})
 

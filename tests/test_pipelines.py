@@ -88,6 +88,10 @@ def test_load_csv_with_and_without_header(spark, lake, tmp_path):
     (tmp_path / "b.csv").write_text("2,C\n")
     assert p.load_csv(spark, str(tmp_path / "a.csv"), DEPARTMENTS, lake, 1).inserted == 1
     assert p.load_csv(spark, str(tmp_path / "b.csv"), DEPARTMENTS, lake, 2, header=False).inserted == 1
+    (tmp_path / "c.csv").write_text('"department","id"\n"D, E",3\nF,4,LOST\n')
+    turned = p.load_csv(spark, str(tmp_path / "c.csv"), DEPARTMENTS, lake, 3)
+    assert (turned.inserted, turned.rejected) == (1, 1)
+    assert p.read_rejections(spark, lake).where("reason = 'row has 3 fields, header has 2'").first()["raw_row"] == '{"id":"4","department":"F"}'
 
 
 def test_batch_report_writes_nothing(spark, lake, rows):
@@ -260,6 +264,57 @@ def test_gated_pipeline(spark, work, tmp_path):
     assert p.exists(spark, work.path("stop")) is False  # the transform never ran
 
 
+def test_runs_leave_records(spark, work, tmp_path):
+    path, records = tmp_path / "in.csv", work.path("records")
+    path.write_text("id,v\n1,a\n2,b\n")
+    rule = lambda n: [{"name": "v", "type": "volume", "config": {"min_rows": n}}]
+    run = lambda n: p.gated_pipeline(spark, str(path), work.path(f"b{n}"), work.path("t"), lambda df: df, rule(1), rule(n), name="g", records=records)
+    run(2)
+    with pytest.raises(q.ValidationFailed):
+        run(3)
+    read = lambda kind: sinks.read_records(spark, records, kind).orderBy(F.col(sinks.RUN_RECORDS[kind].split()[0])).collect()
+    assert [(r["pipeline_name"], r["status"], r["records_processed"]) for r in read("pipeline_runs")] == [("g", "success", 2), ("g", "failed", None)]
+    assert "below minimum" in read("pipeline_runs")[1]["error_message"]
+    assert [(r["transformer_name"], r["records_processed"], r["status"]) for r in read("transformation_runs")] == [("g", 2, "success")] * 2
+    assert [(r["layer"], r["rules_failed"], r["passed"]) for r in read("validation_runs")] == [("bronze", 0, True), ("silver", 0, True), ("bronze", 0, True), ("silver", 1, False)]
+    with pytest.raises(ZeroDivisionError):
+        p.run_transform(spark.range(3), lambda df: 1 / 0, work.path("x"), "broken", records=records)
+    last = read("transformation_runs")[-1]
+    assert (last["transformer_name"], last["status"], last["error_message"]) == ("broken", "failed", "ZeroDivisionError: division by zero")
+
+
+def test_a_transform_and_an_extract_read_their_source_once(spark, work, tmp_path):
+    path = tmp_path / "sales.csv"
+    path.write_text(SALES + "".join(f"t{i},c,p,2,1.5,3.0,2024-01-01T00:00:00,,\n" for i in range(50)))
+    seen = spark.sparkContext.accumulator(0)
+
+    def counted(df):
+        def each(batches):
+            for b in batches:
+                seen.add(b.num_rows)
+                yield b
+        return df.mapInArrow(each, df.schema)
+
+    run = p.run_transform(spark.range(1000), counted, work.path("t"))
+    assert run.records == 1000 and seen.value == 1000
+    read, scans = p.files.read_file, []
+    p.files.read_file = lambda *a, **k: scans.append(1) or counted(read(*a, **k))
+    try:
+        done = p.extract(spark, str(path), work.path("b"), SALES_DECLARED, reject_path=work.path("log"))
+    finally:
+        p.files.read_file = read
+    assert (done.records, done.metadata["rejected"], len(scans), seen.value) == (50, 0, 1, 1050)
+
+
+def test_old_rejections_are_not_logged_again(spark, work, tmp_path):
+    path = tmp_path / "sales.csv"
+    path.write_text(SALES + "t1,c,p,0,1.5,3.0,2024-01-01T00:00:00,,\nt2,c,p,0,1.5,3.0,2024-01-03T00:00:00,,\nt3,c,p,1,1.5,1.5,2024-01-04T00:00:00,,\n")
+    for n, day, wanted in ((0, 1, 2), (1, 2, 3), (2, 5, 3)):
+        mark = ("transaction_date", datetime(2023 if n == 0 else 2024, 1, day))
+        p.extract(spark, str(path), work.path(f"b{n}"), SALES_DECLARED, watermark=mark, reject_path=work.path("log"))
+        assert spark.read.parquet(work.path("log")).count() == wanted
+
+
 def test_run_transform_counts_what_it_wrote(spark, work):
     target = work.path("t")
     for expected in (10, 10):

@@ -1,6 +1,7 @@
 import random
-from datetime import datetime, timedelta
+from datetime import datetime, timedelta, timezone
 
+import pytest
 from pyspark.sql import functions as F
 
 from orelayer.operators.contract import DEPARTMENTS
@@ -96,6 +97,38 @@ def test_keep_first_with_one_hot_key(spark, work):
     assert out.where("k = 'hot'").first()["v"] == 0
 
 
+def test_keep_first_reads_only_the_days_beside_its_own(spark, work):
+    src, schema = work.path("src"), None
+    for day in (0, 40, 41):
+        put(spark, src, ("a", T + timedelta(days=day), day), ("b", T + timedelta(days=day, minutes=5), day), ("n", None, day))
+        schema = spark.read.parquet(src).schema
+        st.keep_first(st.read_stream(spark, src, schema), ["k"], "ts", "1 hour", work.path("out"), work.path("ck"))
+    out = st.kept_rows(spark, work.path("out"), schema)
+    assert out.count() == 7
+    slot = int((T + timedelta(days=41)).replace(tzinfo=timezone.utc).timestamp()) // 86400
+    near = st.kept_rows(spark, work.path("out"), schema, [slot])
+    plan = near._jdf.queryExecution().executedPlan().toString()
+    assert st.SLOT in plan.split("PartitionFilters: [")[1].split("]")[0]
+    assert sorted(r["v"] for r in near.collect()) == [40, 40, 41, 41]
+    assert len(near.select(F.input_file_name()).distinct().collect()) < len(out.select(F.input_file_name()).distinct().collect())
+    assert st.kept_rows(spark, work.path("out"), schema, [None]).count() == 1
+
+
+@pytest.mark.parametrize("cells", [1, 7, 256])
+def test_keep_first_with_very_many_times_of_one_key(spark, work, rows, monkeypatch, cells):
+    monkeypatch.setattr(st, "CELLS", cells)
+    rng, want, last = random.Random(cells), [], None
+    seconds = sorted(rng.sample(range(-9000, 30_000), 6000))
+    for x in seconds:
+        if last is None or x - last > 600:
+            want.append(x)
+            last = x
+    src = work.path("src")
+    put(spark, src, *[("hot", T + timedelta(seconds=x), x) for x in seconds])
+    st.keep_first(st.read_stream(spark, src, spark.read.parquet(src).schema), ["k"], "ts", "10 minutes", work.path("out"), work.path("ck"))
+    assert sorted(r["v"] for r in spark.read.parquet(work.path("out")).select("v").collect()) == want
+
+
 def test_two_streams_keep_their_rows(spark, work, rows):
     lake = Lake.under(work.path("lake"))
     for name, batch in (("a", [("1", "A"), ("2", "B")]), ("b", [("3", "C"), ("4", "D"), ("x", "bad")])):
