@@ -176,7 +176,7 @@ def _registered(spark: SparkSession, sf: str) -> cat.Catalog:
 _REGISTERED_SQL = " union all ".join(
     f"""select {i} as dataset_id, '{n}' as dataset_name, '{_REGISTERED[n]}' as layer, count(*) as row_count, '{v}' as schema_version,
         cast({k} as integer) as fields, cast({up} as bigint) as upstream_count, cast({down} as bigint) as downstream_count from {n}"""
-    for i, n, v, k, up, down in ((1, "customer", "1.0", 5, 0, 1), (2, "events", "1.0", 5, 0, 1), (3, "orders", "2.0", 1, 2, 1), (4, "lineitem", "1.0", 11, 1, 0), (5, "documents", "1.0", 5, 0, 0)))
+    for i, n, v, k, up, down in ((1, "customer", "1.0", 5, 0, 1), (2, "events", "1.0", 6, 0, 1), (3, "orders", "2.0", 1, 2, 1), (4, "lineitem", "1.0", 11, 1, 0), (5, "documents", "1.0", 5, 0, 0)))
 
 
 @query("catalog_register", _REGISTERED_SQL)
@@ -195,5 +195,6 @@ union all select 3, 'orders', 'pii', 0.75, count(*) from orders""")
 def catalog_governance(spark: SparkSession, sf: str) -> DataFrame:
     """Single datasets by id, each with its governance tags."""
     store = _registered(spark, sf)
-    one = [cat.get_dataset(store.table("datasets"), i).join(cat.governance_of(store.table("governance_tags"), i), "dataset_id") for i in (1, 3)]
-    return one[0].unionByName(one[1]).select("dataset_id", "dataset_name", "tag_type", F.col("confidence").cast("double").alias("confidence"), "row_count")
+    tags = lambda i: cat.governance_of(store.table("governance_tags"), i).select("dataset_id", "tag_type", F.col("confidence").cast("double").alias("confidence"))
+    one = [cat.get_dataset(store.table("datasets"), i).select("dataset_id", "dataset_name", "row_count").join(tags(i), "dataset_id") for i in (1, 3)]
+    return one[0].unionByName(one[1])
