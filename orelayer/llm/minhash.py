@@ -372,6 +372,50 @@ def shares_in_common(sets: list[np.ndarray]) -> np.ndarray:
     return out
 
 
+def exact_links(close: DataFrame, docs: DataFrame, work: Workspace, *, width: int = 5, threshold: float = 0.8, block: int = 512, few: int = 1_000_000, sets: DataFrame | None = None, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """Links (a, b) that join all documents whose shingle sets have a Jaccard similarity of
+    ``threshold`` or more, among those that the candidate links ``close`` (a, b) join.
+
+    Only texts that take part are read into sets, and each set goes to the blocks of its own group.
+    An id that several texts share is linked as any of them is; with ``sets`` (id, s1) only the
+    named ones count.
+    """
+    groups = components(close, work, "candidates")
+    groups = work.stage(groups.union(groups.select(F.col("component").alias("id"), "component").distinct()), "groups")
+    sized = groups.join(groups.groupBy("component").agg(F.count("*").alias("rows")), "component")
+    wanted = work.stage(_in_blocks(sized, "rows", block), "wanted")
+    ids = groups.select("id")
+    ids = F.broadcast(ids) if ids.count() <= few else ids  # 8 bytes a row
+    texts = docs.select(F.col(id_col).cast("long").alias("id"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text")).join(ids, "id", "left_semi")
+
+    def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        hasher = WordHash()
+        for batch in batches:
+            for a in range(0, batch.num_rows, 64):
+                part = batch.slice(a, 64)
+                values, limits = distinct(*shingles(part.column("text"), width, hasher))
+                keys = set_keys(values, limits)
+                raw = [values[x:y].tobytes() for x, y in zip(limits[:-1].tolist(), limits[1:].tolist())]
+                yield pa.RecordBatch.from_arrays([part.column("id"), pa.array(keys[:, 0]), pa.array(raw, pa.binary())], ["id", "s1", "values"])
+
+    found = in_tasks(texts, read, "id long, s1 long, values binary")
+    found = found if sets is None else found.join(sets, ["id", "s1"], "left_semi")
+    found = work.stage(found.groupBy("id", "s1").agg(F.first("values").alias("values")), "sets")
+
+    def exact(rows: pa.Table) -> pa.Table | None:
+        left = _left(rows)
+        if left is None:
+            return None
+        held = [np.frombuffer(x, U64) for x in rows.column("values").to_pylist()]
+        size, common = np.array([len(x) for x in held]), shares_in_common(held)
+        linked = lambda i, j: (common[i, j] > 0) & (common[i, j] >= threshold * (size[i] + size[j] - common[i, j]) - 1e-9)
+        return _links(rows.column("id").to_numpy(), *forest(len(held), left, linked))
+
+    paired = wanted.join(found.select("id", "values"), "id")
+    links = in_runs(paired, ["component", "lo", "hi"], ["mine", "id"], exact, "a long, b long")
+    return work.stage(links.where("a != b").distinct(), "links")
+
+
 def alike(prints: DataFrame, docs: DataFrame, work: Workspace, *, width: int = 5, threshold: float = 0.8, block: int = 512, few: int = 1_000_000, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(s1, s2, component_id) for every shingle set in ``prints`` (see ``fingerprints``, of ``docs``):
     the smallest id that is reached over links of Jaccard similarity ``threshold`` or more.
@@ -404,39 +448,7 @@ def alike(prints: DataFrame, docs: DataFrame, work: Workspace, *, width: int = 5
             return _links(rows.column("id").to_numpy(), *forest(len(fp), left, lambda i, j: likeness(fp[i], fp[j]) >= least))
 
         close = work.stage(in_runs(met, ["key", "lo", "hi"], ["mine", "id"], near, "a long, b long").distinct(), "close")
-        groups = components(close, work, "candidates")
-        groups = work.stage(groups.union(groups.select(F.col("component").alias("id"), "component").distinct()), "groups")
-        sized = groups.join(groups.groupBy("component").agg(F.count("*").alias("rows")), "component")
-        wanted = work.stage(_in_blocks(sized, "rows", block), "wanted")
-
-        ids = groups.select("id")
-        ids = F.broadcast(ids) if ids.count() <= few else ids  # 8 bytes a row
-        texts = docs.select(F.col(id_col).cast("long").alias("id"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text")).join(ids, "id", "left_semi")
-
-        def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            hasher = WordHash()
-            for batch in batches:
-                for a in range(0, batch.num_rows, 64):
-                    part = batch.slice(a, 64)
-                    values, limits = distinct(*shingles(part.column("text"), width, hasher))
-                    keys = set_keys(values, limits)
-                    raw = [values[x:y].tobytes() for x, y in zip(limits[:-1].tolist(), limits[1:].tolist())]
-                    yield pa.RecordBatch.from_arrays([part.column("id"), pa.array(keys[:, 0]), pa.array(raw, pa.binary())], ["id", "s1", "values"])
-
-        sets_of = in_tasks(texts, sets, "id long, s1 long, values binary").join(nodes.select("id", "s1"), ["id", "s1"], "left_semi")
-        sets_of = work.stage(sets_of.groupBy("id", "s1").agg(F.first("values").alias("values")), "sets")
-
-        def exact(rows: pa.Table) -> pa.Table | None:
-            left = _left(rows)
-            if left is None:
-                return None
-            held = [np.frombuffer(x, U64) for x in rows.column("values").to_pylist()]
-            size, common = np.array([len(x) for x in held]), shares_in_common(held)
-            linked = lambda i, j: common[i, j] >= threshold * (size[i] + size[j] - common[i, j]) - 1e-9
-            return _links(rows.column("id").to_numpy(), *forest(len(held), left, linked))
-
-        paired = wanted.join(sets_of.select("id", "values"), "id")
-        links = work.stage(in_runs(paired, ["component", "lo", "hi"], ["mine", "id"], exact, "a long, b long").distinct(), "links")
+        links = exact_links(close, docs, work, width=width, threshold=threshold, block=block, few=few, sets=nodes.select("id", "s1"), id_col=id_col, text_col=text_col)
         found = components(links, work)
         empty = prints.where("id is not null and n_shingles = 0").groupBy("s1", "s2").agg(F.min("id").alias("component_id"))
         out = nodes.select("s1", "s2", "id").join(found, "id", "left").select("s1", "s2", F.coalesce("component", "id").alias("component_id"))

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -63,16 +63,18 @@ def majority(hashes: np.ndarray, limits: np.ndarray) -> np.ndarray:
     return out
 
 
-def fingerprints(docs: DataFrame, *, width: int, extra: int = 0, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def fingerprints(docs: DataFrame, *, width: int, extra: int = 0, distinct: bool = False, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(id, fp, n_shingles) and with ``extra`` also ``more``, further independent fingerprints of
-    the same shingles. Shingles count as often as they occur."""
+    the same shingles. Shingles count as often as they occur; ``n_shingles`` are the different ones
+    with ``distinct``."""
     schema = "id long, fp long, n_shingles long" + (", more array<long>" if extra else "")
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in _pieces(batch):
                 hashes, limits = shingle_hashes(*text_bytes(part.column("text")), width)
-                cols = [part.column("id"), pa.array(majority(hashes, limits).view(np.int64)), pa.array(np.diff(limits))]
+                n = np.array([len(np.unique(hashes[a:b])) for a, b in zip(limits[:-1], limits[1:])], np.int64) if distinct else np.diff(limits)
+                cols = [part.column("id"), pa.array(majority(hashes, limits).view(np.int64)), pa.array(n)]
                 names = ["id", "fp", "n_shingles"]
                 if extra:
                     rows = []
@@ -244,25 +246,29 @@ def near_links(reps: DataFrame, work: Workspace, *, max_bits: int, small: int =
     return pairs.union(forests).distinct()
 
 
-def near_groups(docs: DataFrame, work: Workspace, *, width: int = 3, max_bits: int = 3, confirm_bits: int | None = None, size_ratio: float | None = None, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def near_groups(docs: DataFrame, work: Workspace, *, width: int = 3, max_bits: int = 3, confirm_bits: int | None = None, size_ratio: float | None = None, verify: Callable[[DataFrame], DataFrame] | None = None, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(doc_id, fingerprint, component_id) for every row of ``docs``.
 
     Words lie between ASCII white space, A-Z in lower case; shingles have ``width`` words, repeats
     included; fewer words make one shingle of all; a text without words, empty or null, has
     fingerprint zero and is linked like any other. Fingerprints that differ in at most
     ``max_bits`` bits are linked (see ``near_links`` for the further conditions), and
-    ``component_id`` is the smallest id reachable over links, the row's own included.
+    ``component_id`` is the smallest id reachable over links, the row's own included. With
+    ``verify`` these links are candidates only: it gets them, written, as (a, b) and returns those that
+    hold. ``size_ratio`` compares the numbers of different shingles.
 
     Equal fingerprints are one node, so copies cost a row each and no pair. Repeated rows give
     repeated results. A row without an id has a fingerprint, no component, and links nothing. An
     empty table gives an empty result. Fingerprints are written once, to the shared folder.
     """
     extra = 3 if confirm_bits else 0
-    prints = work.stage(fingerprints(docs, width=width, extra=extra, id_col=id_col, text_col=text_col), "prints")
+    prints = work.stage(fingerprints(docs, width=width, extra=extra, distinct=bool(size_ratio), id_col=id_col, text_col=text_col), "prints")
     node = ["fp", *(["n_shingles"] if size_ratio else []), *(["more"] if extra else [])]
     reps = prints.where("id is not null").groupBy(*node).agg(F.min("id").alias("id"))
     reps = work.stage(reps.withColumnRenamed("n_shingles", "n") if size_ratio else reps, "reps")
     links = near_links(reps, work, max_bits=max_bits, confirm_bits=confirm_bits, size_ratio=size_ratio)
+    if verify is not None:
+        links = verify(work.stage(links, "candidate-links"))
     found = components(links, work)
     named = reps.withColumnRenamed("n", "n_shingles") if size_ratio else reps
     named = named.join(found, "id", "left").select(*node, F.coalesce("component", "id").alias("component_id"))
