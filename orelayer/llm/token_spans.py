@@ -35,13 +35,17 @@ def allocate(lengths: np.ndarray, starts: np.ndarray, stops: np.ndarray, rule: s
     n = len(starts)
     if not n:
         return np.array([float(len(lengths))])
+    real = np.flatnonzero(stops > starts)
+    if len(real) < n:  # empty sections touch nothing
+        out = np.zeros(n + 1)
+        out[np.append(real, n)] = allocate(lengths, starts[real], stops[real], rule)
+        return out
     ends = np.cumsum(lengths)
     begins = ends - lengths
     # only the sections' limits are searched for among the tokens; the tokens' own places follow by counting
     upto = lambda at: np.cumsum(np.bincount(at, minlength=len(lengths) + 1))[: len(lengths)]
     low = upto(np.searchsorted(begins, stops))  # first section that ends behind the token's start
     high = upto(np.searchsorted(ends, starts, "right")) - 1  # last one that begins before the token's end
-    # empty sections touch nothing
     out = np.bincount(np.where(low > high, n, low)[low >= high], minlength=n + 1).astype(float)
     for t in np.flatnonzero(low < high):
         k = np.arange(low[t], high[t] + 1)
