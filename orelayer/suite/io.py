@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import uuid
+from functools import reduce
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -28,11 +31,11 @@ EVENTS = Contract(
 )
 
 _CUSTOMER_TEXT = """select cast(c_custkey as varchar) as c_custkey, c_name, cast(c_nationkey as varchar) as c_nationkey,
-  {} as c_mktsegment from customer"""
+  cast(c_acctbal as varchar) as c_acctbal, {} as c_mktsegment from customer"""
 
 
 def _customer_text(spark: SparkSession, sf: str) -> DataFrame:
-    df = table(spark, sf, "customer").select("c_custkey", "c_name", "c_nationkey", "c_mktsegment")
+    df = table(spark, sf, "customer").select("c_custkey", "c_name", "c_nationkey", "c_acctbal", "c_mktsegment")
     return df.select(*[F.col(c).cast("string").alias(c) for c in df.columns])
 
 
@@ -59,11 +62,11 @@ def csv_options(spark: SparkSession, sf: str) -> DataFrame:
     return files.read_file(spark, path, config)
 
 
-@query("documents_csv", "select cast(doc_id as varchar) as doc_id, text, lang from documents")
+@query("documents_csv", "select cast(doc_id as varchar) as doc_id, text, lang, source, cast(n_chars as varchar) as n_chars from documents")
 def documents_csv(spark: SparkSession, sf: str) -> DataFrame:
     """Whole texts with quotes, separators and line breaks."""
     path = Workspace(spark, "csv").path("documents.csv")
-    df = table(spark, sf, "documents").select("doc_id", "text", "lang")
+    df = table(spark, sf, "documents")
     (
         df.write.option("header", True).option("quoteAll", True).option("escape", '"')
         .option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False).option("lineSep", "\n").csv(path)
@@ -210,3 +213,22 @@ def csv_surplus(spark: SparkSession, sf: str) -> DataFrame:
         part = orders.where(F.col("k") % 3 == i).coalesce(1).select(row.alias("value"))
         spark.createDataFrame([(",".join(names),)], "value string").unionByName(part).coalesce(1).write.mode("append").text(folder)
     return _by_splits(spark, folder, ["id", "name"], files.CsvOptions())
+
+
+@query("json_array", "select c_custkey, c_name, c_nationkey, c_acctbal, c_mktsegment from customer")
+def json_array(spark: SparkSession, sf: str) -> DataFrame:
+    """Files that hold one array of records each, one file for each nation."""
+    path = Workspace(spark, "json").path("customer.json")
+    df = table(spark, sf, "customer")
+    arrays = df.groupBy("c_nationkey").agg(F.to_json(F.collect_list(F.struct(*df.columns))).alias("value"))
+    arrays.repartitionById(25, F.col("c_nationkey").cast("int")).select("value").write.text(path)
+    return files.read_json(spark, path, lines=False, schema=df.schema)
+
+
+@query("path_or_table", "select 'path' as via, event_id, value from events union all select 'table', event_id, value from events")
+def path_or_table(spark: SparkSession, sf: str) -> DataFrame:
+    """The same rows by a path and by the name of a table."""
+    path, name = f"{sf.rstrip('/')}/events.parquet", f"events_{uuid.uuid4().hex}"
+    spark.read.parquet(path).createOrReplaceTempView(name)
+    both = [files.read_path_or_table(spark, path=path), files.read_path_or_table(spark, table=name)]
+    return reduce(DataFrame.unionByName, [df.select(F.lit(via).alias("via"), "event_id", "value") for via, df in zip(("path", "table"), both)])

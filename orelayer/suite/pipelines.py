@@ -11,6 +11,7 @@ from ..operators.contract import DEPARTMENTS, HIRED_EMPLOYEES, JOBS
 from ..operators import transforms as tr
 from ..operators.quality import BRONZE_RULES, ValidationFailed
 from ..plans import marts, pipelines as p
+from ..plans.registry import Registry
 from ..session import Workspace
 from ..sources import files, sinks
 from .base import query, table
@@ -261,6 +262,56 @@ def run_records(spark: SparkSession, sf: str) -> DataFrame:
 BRONZE_VOLUME = [{"name": "any", "type": "volume", "config": {"min_rows": 1}}]
 
 
+_BAD_SQL = """case when k % 7 = 0 then 'x' || k else cast(k as varchar) end as id, case when k % 5 = 0 then ' ' else given end as name,
+  concat_ws('; ', case when k % 7 = 0 then 'id is null/invalid' end, case when k % 5 = 0 then '{0} is empty' end) as why"""
+
+
+@query("load_batch", f"""
+with d as (select {_BAD_SQL.format('department')} from (select s_suppkey as k, s_name as given from supplier))
+select 'bronze' as place, id, name, cast(null as varchar) as raw_row, cast(null as varchar) as reason from d where why = ''
+union all select 'silver', id, name, null, null from d where why = ''
+union all select 'log', null, null, '{{"id":"' || id || '","department":"' || name || '"}}', why from d, (values (1), (2)) as twice(n) where why <> ''""")
+def load_batch(spark: SparkSession, sf: str) -> DataFrame:
+    """Batches of records with bad rows: the new ones also land in bronze, a repeated batch adds nothing but its rejections."""
+    lake = p.Lake.under(Workspace(spark, "batch").root)
+    k = F.col("s_suppkey")
+    rows = table(spark, sf, "supplier").select(
+        F.when(k % 7 == 0, F.concat(F.lit("x"), k.cast("string"))).otherwise(k.cast("string")).alias("id"),
+        F.when(k % 5 == 0, F.lit(" ")).otherwise(F.col("s_name")).alias("department"))
+    for batch in (1, 2):
+        p.load_batch(spark, rows, DEPARTMENTS, lake, batch, day="2024-01-01")
+    landed = files.read_bronze(spark, lake.bronze, "departments").select(F.lit("bronze").alias("place"), "id", F.col("department").alias("name"))
+    stored = p.read_silver(spark, lake, DEPARTMENTS).select(F.lit("silver").alias("place"), F.col("id").cast("string"), F.col("department").alias("name"))
+    logged = p.read_rejections(spark, lake).select(F.lit("log").alias("place"), "raw_row", "reason")
+    return landed.unionByName(stored).unionByName(logged, allowMissingColumns=True)
+
+
+@query("load_bad_jobs", f"""
+with d as (select {_BAD_SQL.format('job')} from (select p_partkey as k, p_name as given from part))
+select table_name, raw_row, reason from (
+  select 'jobs' as table_name, '{{"id":"' || id || '","job":"' || name || '"}}' as raw_row, why as reason from d where why <> '')""")
+def load_bad_jobs(spark: SparkSession, sf: str) -> DataFrame:
+    """Jobs with unreadable ids and blank names, as they stand in the log."""
+    lake = p.Lake.under(Workspace(spark, "jobs").root)
+    k = F.col("p_partkey")
+    rows = table(spark, sf, "part").select(
+        F.when(k % 7 == 0, F.concat(F.lit("x"), k.cast("string"))).otherwise(k.cast("string")).alias("id"),
+        F.when(k % 5 == 0, F.lit(" ")).otherwise(F.col("p_name")).alias("job"))
+    p.load(spark, rows, JOBS, lake, 1)
+    return p.read_rejections(spark, lake).select("table_name", "raw_row", "reason")
+
+
+@query("from_config", """
+select o_orderkey, o_totalprice * 2 as doubled, 'shaped' as _transformer_name from orders where o_totalprice > 100000""")
+def from_config(spark: SparkSession, sf: str) -> DataFrame:
+    """A transformation run that a configuration describes, of two registered steps."""
+    target, steps = Workspace(spark, "config").path("orders"), Registry()
+    steps.register("large", lambda df: df.filter("o_totalprice > 100000"))
+    steps.register("doubled", lambda df: df.select("o_orderkey", (F.col("o_totalprice") * 2).alias("doubled")))
+    p.from_config({"bronze_path": f"{sf.rstrip('/')}/orders.parquet", "silver_table": target, "config": {"steps": ["large", "doubled"], "name": "shaped"}}, steps)(spark)
+    return spark.read.parquet(target).select("o_orderkey", "doubled", "_transformer_name")
+
+
 # --- extracts and gates ------------------------------------------------------------------
 
 _EXTRACTED = ["transaction_id", "customer_id", "quantity", "transaction_date", "_source_system", "_source_entity",

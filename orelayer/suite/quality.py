@@ -274,9 +274,9 @@ def _samples_sql(source: str, columns: list[str]) -> str:
     )
 
 
-@query("profile_samples", _samples_sql("orders", ["o_orderkey", "o_custkey", "o_orderstatus", "o_orderpriority"]))
+@query("profile_samples", _samples_sql("orders", [c for c, _, _ in _ORDER_COLUMNS]))
 def profile_samples(spark: SparkSession, sf: str) -> DataFrame:
-    df = table(spark, sf, "orders").select("o_orderkey", "o_custkey", "o_orderstatus", "o_orderpriority")
+    df = table(spark, sf, "orders")
     return profiling.profile_columns(df).select("name", F.array_join("sample_values", "|").alias("samples"))
 
 
