@@ -136,10 +136,12 @@ def classify_repeated(incoming: DataFrame, existing: DataFrame, key: Sequence[st
     return settled.unionByName(_by_row(rows, incoming, values, CONFLICT))
 
 
-def known_keys(incoming: DataFrame, existing: DataFrame, key: Sequence[str], work: Workspace) -> DataFrame:
-    """The stored keys that the batch names, written. Only key columns are read and moved."""
-    keys = incoming.select(*key).distinct()
-    return work.stage(existing.select(*key).join(keys, list(key), "left_semi"), "known_keys")
+def marked_keys(incoming: DataFrame, existing: DataFrame, key: Sequence[str], work: Workspace) -> DataFrame:
+    """(key, _n, _known), written: the keys that repeat in the batch (``_n`` rows) and those that are
+    stored already. Only key columns are read and moved."""
+    counted = incoming.groupBy(*key).agg(F.count("*").alias("_n"))
+    stored = existing.select(*key, F.lit(True).alias("_known"))
+    return work.stage(counted.join(stored, list(key), "left").where("_n > 1 or _known"), "marked_keys")
 
 
 def classify(
@@ -166,20 +168,17 @@ def classify(
     if work is None:
         return classify_repeated(incoming, existing, key)
     key = list(key)
-    known = known_keys(incoming, existing, key, work)
-    repeated = work.stage(incoming.groupBy(*key).agg(F.count("*").alias("_n")).filter("_n > 1").select(*key), "repeated_keys")
-    alone, parts = incoming, []
-    repeats = not repeated.isEmpty()
-    if repeats:
-        alone = incoming.join(repeated, key, "left_anti")
-    if known.isEmpty():
-        stored = existing.sparkSession.createDataFrame([], existing.schema)
-        parts.append(_all_new(alone))
-    else:
+    marked = marked_keys(incoming, existing, key, work)
+    n_repeated, n_known = marked.agg(F.count_if(F.col("_n") > 1), F.count_if(F.col("_known"))).first()
+    known, repeated = marked.where("_known").select(*key), marked.where("_n > 1").select(*key)
+    alone = incoming.join(repeated, key, "left_anti") if n_repeated else incoming
+    if n_known:
         stored = (values_of(known) if values_of else existing).join(known, key, "left_semi")
-        parts.append(_all_new(alone.join(known, key, "left_anti")))
-        parts.append(classify_unique(alone.join(known, key, "left_semi"), stored, key))
-    if repeats:
+        parts = [_all_new(alone.join(known, key, "left_anti")), classify_unique(alone.join(known, key, "left_semi"), stored, key)]
+    else:
+        stored = existing.sparkSession.createDataFrame([], existing.schema)
+        parts = [_all_new(alone)]
+    if n_repeated:
         parts.append(classify_repeated(incoming.join(repeated, key, "left_semi"), stored, key))
     return reduce(DataFrame.unionByName, parts)
 
