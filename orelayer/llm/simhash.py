@@ -152,24 +152,31 @@ def _forest(fp: np.ndarray, chain: list[int], ring: Ring, fits, left: int) -> li
     root = np.arange(n)
     out = []
     masks = [np.uint64(m) for m in chain]
-    others = np.arange(left, n)
-    for i in range(left or n):
-        j = others if left else np.arange(i + 1, n)
-        j = j[root[j] != root[i]]
-        diff = fp[i] ^ fp[j]
-        for k in range(1, len(masks)):  # chains from the key's segment, the shortest first
+    most = left or n
+    step = max(1, (1 << 16) // max(n, 1))  # rows that are held against all others at once
+    for base in range(0, most, step):
+        at = left or base + 1
+        diff = fp[base : min(base + step, most), None] ^ fp[None, at:]
+        a, b = np.nonzero(np.bitwise_count(diff & masks[min(1, len(masks) - 1)]) <= ring.budget(min(2, len(masks))))
+        a, b, diff = a + base, b + at, diff[a, b]
+        if not left:
+            a, b, diff = a[b > a], b[b > a], diff[b > a]
+        for k in range(2, len(masks)):  # chains from the key's segment, the shortest first
+            if not len(a):
+                break
             ok = np.bitwise_count(diff & masks[k]) <= ring.budget(k + 1)
-            j, diff = j[ok], diff[ok]
+            a, b, diff = a[ok], b[ok], diff[ok]
+        cuts = np.flatnonzero(np.diff(a, prepend=-1))
+        for i, j in zip(a[cuts].tolist(), np.split(b, cuts[1:])):
+            j = j[root[j] != root[i]]
+            if len(j) and fits is not None:
+                j = j[fits(i, j)]
             if not len(j):
-                break
-        if len(j) and fits is not None:
-            j = j[fits(i, j)]
-        if not len(j):
-            continue
-        _, pick = np.unique(root[j], return_index=True)  # one link for each group that joins
-        for x in j[pick]:
-            out.append((i, int(x)))
-            root[root == root[x]] = root[i]
+                continue
+            _, pick = np.unique(root[j], return_index=True)  # one link for each group that joins
+            for x in j[pick]:
+                out.append((i, int(x)))
+                root[root == root[x]] = root[i]
     return out
 
 
