@@ -117,6 +117,12 @@ def buckets_of(lake: Lake, rows: DataFrame, key: Sequence[str]) -> list[int]:
     return sorted(r[0] for r in rows.select(lake.bucket(key)).distinct().collect())
 
 
+def compact_silver(spark: SparkSession, lake: Lake, contract: Contract, most_bytes: int = 128 << 20) -> int:
+    """Merge the small batches of a silver table, see ``sinks.compact``; returns how many folders went."""
+    schema = T.StructType([*silver_schema(contract).fields, T.StructField("_loaded_at", T.TimestampType())])
+    return sinks.compact(spark, sinks.current_version(spark, lake.table(contract.table)), schema, most_bytes)
+
+
 def read_rejections(spark: SparkSession, lake: Lake) -> DataFrame:
     schema = T.StructType(
         [T.StructField(n, T.TimestampType() if n == "rejected_at" else T.StringType()) for n in sinks.REJECTION_COLUMNS]

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 import uuid
 from collections.abc import Callable, Mapping, Sequence
 from datetime import date, datetime
@@ -12,13 +13,15 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..operators.contract import Contract
-from ..session import delete, list_names, move
+from ..session import create_new, delete, exists, list_names, move
 from .files import BRONZE_PARTITION, SourceError, bronze_path, partition_values, read_latest_partition
+from .ledger import list_files
 from .slots import SlotLog
 
 BATCH = "batch_id"
 BUCKET = "key_bucket"
 VERSION = "version"
+MERGED = "_merged"
 BACKUP_PARTITION = "backup_date"
 
 # The layout of the rejection log.
@@ -121,6 +124,9 @@ def read_batches(
     if bucketed or by != BUCKET or buckets is not None:
         layout.append(T.StructField(by, kind))
     df = spark.read.schema(T.StructType([*schema.fields, *layout])).option("basePath", path).parquet(path)
+    merged = merged_batches(spark, path)
+    if merged:
+        df = df.filter(~F.col(BATCH).isin(*merged))
     if without is not None:
         df = df.filter(F.col(BATCH) != str(without))
     if only is not None:
@@ -132,6 +138,59 @@ def read_batches(
     return df.select(*schema.names)
 
 
+# --- compaction ------------------------------------------------------------------------
+
+def merged_batches(spark: SparkSession, path: str) -> list[str]:
+    """Batches whose rows stand in a merged one already and whose folders are still there."""
+    found = []
+    for name in list_names(spark, f"{path}/{MERGED}"):
+        if name.endswith(".json") and exists(spark, f"{path}/{BATCH}={name[: -len('.json')]}"):
+            found += spark.read.schema("batches array<string>").json(f"{path}/{MERGED}/{name}").first()[0]
+    return sorted(set(found) & set(partition_values(spark, path, BATCH))) if found else []
+
+
+def bins_of(sizes: Mapping[str, int], most: int) -> list[list[str]]:
+    """Batches smaller than ``most`` bytes, packed into bins of about that size; each into the first bin
+    that has room, the largest first. Bins of one batch are left out."""
+    bins: list[tuple[int, list[str]]] = []
+    for batch in sorted((b for b, n in sizes.items() if n < most), key=lambda b: (-sizes[b], b)):
+        for i, (size, names) in enumerate(bins):
+            if size + sizes[batch] <= most:
+                bins[i] = (size + sizes[batch], [*names, batch])
+                break
+        else:
+            bins.append((sizes[batch], [batch]))
+    return [names for _, names in bins if len(names) > 1]
+
+
+def compact(spark: SparkSession, path: str, schema: T.StructType, most_bytes: int = 128 << 20, by: str | None = BUCKET) -> int:
+    """Rewrite the small batches of a table as larger ones; returns how many folders went.
+
+    A merged batch is written aside, a note names the batches that it stands for, and one rename puts
+    it in place: from then on readers pass those batches over, and their folders go. Before it the
+    note says nothing. Rows don't change. A batch that is run again later finds its rows stored and
+    skips them. Nothing else writes to the table meanwhile.
+    """
+    for old in merged_batches(spark, path):  # what a compaction that broke off has left
+        delete(spark, f"{path}/{BATCH}={old}")
+    place = F.regexp_extract("path", f"/{BATCH}=([^/]+)/", 1)
+    sizes = {r[0]: r[1] for r in list_files(spark, path).groupBy(place).agg(F.sum("length")).collect() if r[0]}
+    layout = T.StructType([*schema.fields, *([T.StructField(by, T.IntegerType())] if by else [])])
+    gone = 0
+    for names in bins_of(sizes, most_bytes):
+        merged, aside = f"merged-{uuid.uuid4().hex}", f"{path.rstrip('/').rsplit('/', 1)[0]}/_aside/{uuid.uuid4().hex}"
+        stored = T.StructType([*layout.fields, T.StructField(BATCH, T.StringType())])
+        rows = spark.read.schema(stored).option("basePath", path).parquet(*[f"{path}/{BATCH}={n}" for n in names]).select(*layout.names)
+        (rows.hint("rebalance", by).write.partitionBy(by) if by else rows.hint("rebalance").write).parquet(aside)
+        create_new(spark, f"{path}/{MERGED}/{merged}.json", json.dumps({"batches": names}))
+        move(spark, aside, f"{path}/{BATCH}={merged}")
+        for n in names:
+            delete(spark, f"{path}/{BATCH}={n}")
+        delete(spark, f"{path}/{MERGED}/{merged}.json")
+        gone += len(names) - 1
+    return gone
+
+
 # --- versions of a table -------------------------------------------------------------
 
 def current_version(spark: SparkSession, path: str) -> str:

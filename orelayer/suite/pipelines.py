@@ -312,6 +312,21 @@ def from_config(spark: SparkSession, sf: str) -> DataFrame:
     return spark.read.parquet(target).select("o_orderkey", "doubled", "_transformer_name")
 
 
+@query("compact", """
+select cast(o_orderkey as integer) as id, 'name ' || o_orderkey as department, true as fewer from orders""")
+def compact(spark: SparkSession, sf: str) -> DataFrame:
+    """A table of six batches before and after its small batches were merged: the same rows in fewer folders."""
+    lake = p.Lake.under(Workspace(spark, "compact").root)
+    k = table(spark, sf, "orders").select(F.col("o_orderkey").alias("k"))
+    for i in range(6):
+        p.load(spark, k.where(F.col("k") % 6 == i).select(F.col("k").cast("string").alias("id"), F.concat(F.lit("name "), "k").alias("department")), DEPARTMENTS, lake, i)
+    path = sinks.current_version(spark, lake.table("departments"))
+    before = len(files.partition_values(spark, path, sinks.BATCH))
+    p.compact_silver(spark, lake, DEPARTMENTS)
+    fewer = len(files.partition_values(spark, path, sinks.BATCH)) < before
+    return p.read_silver(spark, lake, DEPARTMENTS).withColumn("fewer", F.lit(fewer))
+
+
 # --- extracts and gates ------------------------------------------------------------------
 
 _EXTRACTED = ["transaction_id", "customer_id", "quantity", "transaction_date", "_source_system", "_source_entity",

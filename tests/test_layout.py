@@ -129,3 +129,34 @@ def test_replaced_files_are_there_before_the_old_ones_go(spark, lake, monkeypatc
     assert sorted(r[0] for r in spark.read.parquet(folder).select("department").collect()) == ["A", "B"]
     sinks.append_files(departments(spark, ("1", "C")), lake.bronze, "departments", "2024-01-01", "s-0")
     assert [r[0] for r in spark.read.parquet(folder).select("department").collect()] == ["C"]
+
+
+def test_bins():
+    assert sinks.bins_of({"a": 5, "b": 4, "c": 3, "d": 2, "e": 100, "f": 10}, 9) == [["a", "b"], ["c", "d"]]
+    assert sinks.bins_of({"a": 5}, 9) == sinks.bins_of({}, 9) == []
+
+
+def test_compaction_keeps_every_row(spark, lake, monkeypatch):
+    path = lambda: sinks.current_version(spark, lake.table("departments"))
+    batches = lambda: [n for n in list_names(spark, path()) if n.startswith(sinks.BATCH)]
+    for i in range(5):
+        p.load(spark, many(spark, 10 * (i + 1)), DEPARTMENTS, lake, i)
+    before = sorted(map(tuple, p.read_silver(spark, lake, DEPARTMENTS, loaded_at=True).collect()))
+
+    def stop(*_):
+        raise KeyboardInterrupt
+
+    for name in ("move", "delete"):  # before the merged batch is in place, and right after
+        with monkeypatch.context() as patch:
+            patch.setattr(sinks, name, stop)
+            with pytest.raises(KeyboardInterrupt):
+                p.compact_silver(spark, lake, DEPARTMENTS)
+        assert sorted(map(tuple, p.read_silver(spark, lake, DEPARTMENTS, loaded_at=True).collect())) == before
+    assert p.compact_silver(spark, lake, DEPARTMENTS) == 0  # takes away what the last one left
+    assert len(batches()) == 1 and sinks.merged_batches(spark, path()) == []
+    assert sorted(map(tuple, p.read_silver(spark, lake, DEPARTMENTS, loaded_at=True).collect())) == before
+    again = p.load(spark, many(spark, 50), DEPARTMENTS, lake, 3)  # a merged batch is run again
+    assert (again.inserted, again.skipped) == (0, 50)
+    assert p.load(spark, many(spark, 51), DEPARTMENTS, lake, 9).inserted == 1
+    assert p.compact_silver(spark, lake, DEPARTMENTS) >= 1 and len(batches()) <= 2
+    assert p.read_silver(spark, lake, DEPARTMENTS).count() == 51
