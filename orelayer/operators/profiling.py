@@ -45,11 +45,11 @@ def _kind(dtype: T.DataType) -> str:
 
 
 def _number(c: str) -> Column:
-    return F.col(c).cast("double")
+    return F.col(quoted(c)).cast("double")
 
 
 def _column_measures(f: T.StructField) -> dict[str, Column]:
-    c = F.col(f.name)
+    c = F.col(quoted(f.name))
     found = {"null_count": F.count_if(c.isNull())}
     kind = _kind(f.dataType)
     if kind == "number":
@@ -107,12 +107,12 @@ def value_counts(df: DataFrame) -> DataFrame:
     out. While being counted a column is known by its number, not its name.
     """
     fields = df.schema.fields
-    filled = [_slots(f, F.col(f.name)) for f in fields]
+    filled = [_slots(f, F.col(quoted(f.name))) for f in fields]
     used = [k for k in _SLOT_TYPES if any(k in slots for slots in filled)]
     entries = [
         F.struct(
             F.lit(i).alias("column"),
-            F.col(f.name).isNull().alias("_null"),
+            F.col(quoted(f.name)).isNull().alias("_null"),
             *[slots.get(k, F.lit(None)).cast(_SLOT_TYPES[k]).alias(k) for k in used],
         )
         for i, (f, slots) in enumerate(zip(fields, filled))
@@ -228,7 +228,7 @@ def profile_columns(
     if not exact:
         sketches = {}
         for f in df.schema.fields:
-            sketches[f.name] = {"distinct_count": F.approx_count_distinct(f.name)}
+            sketches[f.name] = {"distinct_count": F.approx_count_distinct(quoted(f.name))}
             if _kind(f.dataType) == "number":
                 sketches[f.name]["median"] = F.percentile_approx(_number(f.name), 0.5)
         types = (("distinct_count", "bigint"), ("median", "double"), ("sample_values", "array<string>"))

@@ -19,6 +19,7 @@ from pyspark.errors import PySparkException
 from pyspark.sql import Column, DataFrame, Row
 from pyspark.sql import functions as F
 
+from ..session import quoted
 from .keys import orphan_values
 
 SEVERITIES = ("error", "warning", "info")
@@ -236,7 +237,7 @@ class _Compiler:
                     _entry(position, rule, F.lit(False), column=column, outcome="null_check.missing")
                 )
                 continue
-            nulls = self.counter(F.count_if(F.col(column).isNull()))
+            nulls = self.counter(F.count_if(F.col(quoted(column)).isNull()))
             share = F.when(self.total() > 0, nulls / self.total() * 100).otherwise(F.lit(0.0))
             self.entries.append(_entry(position, rule, share <= F.lit(limit), share, column, limit))
 
@@ -255,7 +256,7 @@ class _Compiler:
         if column not in self.df.columns:
             self.entries.append(_entry(position, rule, F.lit(False), column=column, outcome="freshness.missing"))
             return
-        age = _hours_since(self.counter(F.max(column)), self.now)
+        age = _hours_since(self.counter(F.max(quoted(column))), self.now)
         self.entries.append(
             _entry(position, rule, F.coalesce(age <= F.lit(limit), F.lit(True)), age, column, limit)
         )

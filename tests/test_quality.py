@@ -248,3 +248,12 @@ def test_column_tests(spark, rows):
     assert got[("hired_employees", "job_id", "relationships")] == 0  # a null key is not an orphan
     assert got[("hired_employees", "job_id", "not_null")] == 1
     assert len(got) == 3 + 3 + 8
+
+
+def test_names_with_dots(spark, work):
+    df = spark.range(4).selectExpr("id as `a.b`", "cast(null as string) as `c``d`", "timestamp'2024-01-01 00:00:00' as `t.s`")
+    found = {r["name"]: (r["null_count"], r["distinct_count"]) for r in profiling.profile_columns(df, work=work).collect()}
+    assert found == {"a.b": (0, 4), "c`d": (4, 0), "t.s": (0, 1)}
+    assert len(profiling.profile_columns(df, exact=False).collect()) == 3
+    rules = [{"name": "n", "type": "null_check", "config": {"columns": ["a.b", "c`d"]}}, {"name": "f", "type": "freshness", "config": {"column": "t.s", "max_age_hours": 1}}]
+    assert [r["passed"] for r in q.rules_report(df, rules).orderBy("position").collect()] == [True, False, False]
