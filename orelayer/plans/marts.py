@@ -14,6 +14,8 @@ from pyspark.sql import functions as F
 from ..functions import period_label, year_range
 from ..session import fits_broadcast
 
+GROUPS_PER_TASK = 250_000  # a row and its place in a hash map take some 200 to 400 bytes
+YEARS = 10  # a mart seldom spans more
 QUARTERS = (1, 2, 3, 4)
 QUARTER_COLUMNS = ["q1", "q2", "q3", "q4"]
 
@@ -70,17 +72,25 @@ def _with_names(
 ) -> tuple[DataFrame, bool]:
     """Facts with department and job names, and whether they are counted already.
 
-    Dimensions below the broadcast limit are joined to the facts where they
-    lie, and one shuffle of partial counts is left. Beyond the limit the facts
-    are counted per pair of ids first: the joins then move one row per group,
-    and a department that holds a third of all hires is no hot key.
+    Where there are few pairs of departments and jobs, both are joined to the
+    facts where they lie, and one shuffle of partial counts is left. Otherwise
+    nearly every fact is a group of its own, and counts within the tasks that
+    read them would only fill their memory: facts are dealt by their whole key
+    to as many tasks as their number asks for and counted there, so that the
+    joins move one row per group, a department that holds a third of all hires
+    is no hot key, and no task holds more groups when there are more facts.
+    Names are dealt likewise, for the counts per name that follow.
     """
     dep = departments.select(F.col(columns.dim_id).alias("_dep"), F.col(columns.department).alias("department"))
     job = jobs.select(F.col(columns.job_dim_id).alias("_job"), F.col(columns.job).alias("job"))
-    if fits_broadcast(dep) and fits_broadcast(job):
+    small = fits_broadcast(dep) and fits_broadcast(job)
+    if small and dep.count() * job.count() * YEARS <= GROUPS_PER_TASK:
         return facts.join(F.broadcast(dep), "_dep").join(F.broadcast(job), "_job"), False
-    counted = facts.groupBy("_dep", "_job", *keys).agg(*counts)
-    return counted.join(dep, "_dep").join(job, "_job"), True
+    tasks = -(-facts.count() // GROUPS_PER_TASK) or 1
+    counted = facts.repartition(tasks, "_dep", "_job", *keys).groupBy("_dep", "_job", *keys).agg(*counts)
+    if small:
+        dep, job = F.broadcast(dep), F.broadcast(job)
+    return counted.join(dep, "_dep").join(job, "_job").repartition(tasks, "department", "job"), True
 
 
 def hires_by_quarter(

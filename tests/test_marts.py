@@ -43,6 +43,28 @@ def test_large_dimensions_give_the_same(spark, tables, rows):
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", limit)
 
 
+def test_tasks_hold_no_more_groups_when_there_are_more_facts(spark, work, rows, monkeypatch):
+    """Nearly every hire is a group of its own: they are counted in as many tasks as their number asks for."""
+    monkeypatch.setattr(marts, "GROUPS_PER_TASK", 100)
+    spark.range(60).selectExpr("cast(id as int) id", "concat('d', id % 50) department").write.parquet(work.path("d"))
+    spark.range(60).selectExpr("cast(id as int) id", "concat('j', id) job").write.parquet(work.path("j"))
+    spark.range(3000).selectExpr(
+        "cast(id as int) id", "timestamp_ntz'2021-01-01' + make_interval(0, cast(id % 30 as int)) as datetime",
+        "cast(id % 60 as int) department_id", "cast(id div 60 as int) job_id",
+    ).coalesce(1).write.parquet(work.path("h"))
+    hires, dep, job = (spark.read.parquet(work.path(n)) for n in "hdj")
+    mart = marts.hires_by_quarter(hires, dep, job)
+    want = hires.join(dep, hires.department_id == dep.id).join(job, hires.job_id == job.id).groupBy(
+        "department", "job", F.year("datetime"), F.quarter("datetime")).count()
+    got = {(r[0], r[1], r[2], q): r[f"q{q}"] for r in mart.collect() for q in marts.QUARTERS if r[f"q{q}"]}
+    assert got == {tuple(r)[:4]: r[4] for r in want.collect()}
+    assert max(r[1] for r in mart.groupBy(F.spark_partition_id()).count().collect()) <= 400
+    plan = mart._jdf.queryExecution().executedPlan().toString()
+    assert plan.rindex("HashAggregate") < plan.rindex("Exchange hashpartitioning(_dep")  # no counts where the files are read
+    year = marts.hires_pivot(hires, dep, job, 2021)
+    assert rows(year) == rows(mart.where("hire_year = 2021").drop("hire_year"))
+
+
 def test_repeated_dimension_rows_multiply_like_a_join(spark, tables, rows):
     hires, dep, job = tables
     twice = dep.unionAll(dep.filter("id = 2"))
