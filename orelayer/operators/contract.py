@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..functions import blank, iso_timestamp, strip
+from ..functions import iso_timestamp, strip
 
 REASONS = "_reasons"
 SOURCE = "_source"
@@ -73,12 +73,12 @@ class Field:
             return strip(text) if self.non_blank else text
         return raw.try_cast(self.type)
 
-    def reasons(self, source: T.DataType) -> list[Column]:
-        raw, value = F.col(self.name), self.typed(source)
+    def reasons(self, raw: Column, value: Column) -> list[Column]:
+        """What is wrong with a value, from its source form and its typed one."""
         found = []
         if self.type == "string":
             if self.non_blank:
-                found.append(F.when(blank(raw.cast("string")), F.lit(REASON_EMPTY.format(self.name))))
+                found.append(F.when(value.isNull() | (value == ""), F.lit(REASON_EMPTY.format(self.name))))
             elif self.required:
                 found.append(F.when(raw.isNull(), F.lit(REASON_INVALID.format(self.name))))
         else:
@@ -122,17 +122,17 @@ class Contract:
         """Typed contract columns, other columns unchanged, ``_reasons`` and ``_source``.
 
         ``_source`` is the row as it was read; only rejected rows ever use it.
+        Values are typed first and the reasons found from them: within the
+        lambda that drops empty reasons, each pattern would be matched again,
+        and by interpreted code.
         """
         self.check_columns(df)
         types = {f.name: f.dataType for f in df.schema.fields}
         present = [f for f in self.fields if f.name in types]
-        reasons = [r for f in present for r in f.reasons(types[f.name])]
         typed = {f.name: f.typed(types[f.name]).alias(f.name) for f in present}
-        return df.select(
-            *[typed.get(c, F.col(c)) for c in df.columns],
-            _compact(reasons).alias(REASONS),
-            F.struct(*df.columns).alias(SOURCE),
-        )
+        values = df.select(*[typed.get(c, F.col(c)) for c in df.columns], F.struct(*df.columns).alias(SOURCE))
+        reasons = [r for f in present for r in f.reasons(F.col(SOURCE).getField(f.name), F.col(f.name))]
+        return values.select(*df.columns, _compact(reasons).alias(REASONS), SOURCE)
 
     @classmethod
     def from_declared(cls, declared: Mapping[str, Any], table: str = "source", key: Sequence[str] = ()) -> "Contract":

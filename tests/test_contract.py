@@ -200,3 +200,15 @@ def test_quarantine_null_predicate_is_no_violation(spark):
     ok, bad = c.quarantine(df, {"positive": "v > 0"}, "t")
     assert sorted(r["id"] for r in ok.collect()) == [1, 2]
     assert [r["reason"] for r in bad.collect()] == ["positive"]
+
+
+def test_each_pattern_is_matched_once(spark, work):
+    """Reasons are found from the typed values, not by matching every pattern a second time."""
+    spark.createDataFrame([("1", " x ", "2021-01-01T10:00:00+05:00", "2", "3"), ("x", "\t", "2021/01/01", None, "4")], HIRED_EMPLOYEES.string_schema()).write.parquet(work.path("h"))
+    checked = HIRED_EMPLOYEES.annotate(spark.read.parquet(work.path("h")))
+    plan = checked._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("RLIKE(") == 1 and plan.count("regexp_replace(") == 2
+    assert checked.columns == [*HIRED_EMPLOYEES.columns, c.REASONS, c.SOURCE]
+    got = {r["_source"]["id"]: (r["name"], r["datetime"] is None, r[c.REASONS]) for r in checked.collect()}
+    assert got == {"1": ("x", False, []), "x": ("", True, [
+        "id is null/invalid", "name is empty", "datetime is empty/invalid format", "department_id is null/invalid"])}
