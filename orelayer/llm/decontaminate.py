@@ -40,6 +40,32 @@ def steps_of(before: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return row, first, np.minimum(first + STEP, before[1:][row])
 
 
+def words_of(first: np.ndarray, stop: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The number of its span and the place of each word in the spans from ``first`` to ``stop``."""
+    n = stop - first
+    span = np.repeat(np.arange(len(n)), n)
+    return span, np.arange(len(span)) + np.repeat(first - np.cumsum(n) + n, n)
+
+
+def runs(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Where each run of equal values begins in sorted ``keys``, and its length."""
+    begin = np.flatnonzero(np.append(True, keys[1:] != keys[:-1])) if len(keys) else np.zeros(0, np.int64)
+    return begin, np.diff(np.append(begin, len(keys)))
+
+
+def weighed(table: np.ndarray, rows: np.ndarray, value: np.ndarray, begin: np.ndarray, cells: int = 1 << 13) -> np.ndarray:
+    """Sums of ``value`` times the ``rows`` of a table over the runs that begin at ``begin``; no more
+    than ``cells`` rows are copied at a time, however long a run is."""
+    out = np.zeros((len(begin), table.shape[1]), table.dtype)
+    for lo in range(0, len(rows), cells):
+        v, some = value[lo : lo + cells], table[rows[lo : lo + cells]]
+        of, stop = int(np.searchsorted(begin, lo, "right")) - 1, int(np.searchsorted(begin, lo + len(v)))
+        cuts = [0, *(begin[of + 1 : stop] - lo).tolist(), len(v)]
+        for run, a, b in zip(range(of, stop), cuts, cuts[1:]):
+            out[run] += v[a:b] @ some[a:b]
+    return out
+
+
 def _pieces(batch: pa.RecordBatch, most: int = 1_000_000) -> Iterator[pa.RecordBatch]:
     _, limits = text_bytes(batch.column("text"))
     a = 0
@@ -59,8 +85,8 @@ def passage_counts(docs: DataFrame) -> tuple[np.ndarray, int]:
                 h, before = hashed_words(part.column("text"), hasher)
                 row, first, last = steps_of(before)
                 step = np.repeat(np.arange(len(row)), last - first)
-                met = np.unique(step * BUCKETS + (h % BUCKETS).astype(np.int64))
-                total += np.bincount(met % BUCKETS, minlength=BUCKETS)
+                met = np.sort(step * BUCKETS + (h % BUCKETS).astype(np.int64))
+                total += np.bincount(met[runs(met)[0]] % BUCKETS, minlength=BUCKETS)
                 n += len(row)
         met = np.flatnonzero(total)
         yield pa.RecordBatch.from_arrays([pa.array(np.append(met, -1).astype(np.int32)), pa.array(np.append(total[met], n))], ["bucket", "n"])
@@ -88,10 +114,28 @@ class Targets:
     latent: np.ndarray | None = None  # dimensions x passages, of unit items
     share: np.ndarray | None = None  # of each passage's square, in the latent space
 
+    def __post_init__(self) -> None:
+        bucket = (self.terms % BUCKETS).astype(np.int64)
+        self.by_term = self.idf[bucket]  # each term's weight
+        self.slot = np.full(BUCKETS, -1, np.int32)  # the term of a bucket, -1 for none, -2 for several
+        self.slot[bucket] = np.arange(len(bucket), dtype=np.int32)
+        self.slot[np.bincount(bucket, minlength=BUCKETS) > 1] = -2
+
     def weights(self, hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Each word's weight, and its term number or -1."""
-        at = np.minimum(np.searchsorted(self.terms, hashes), len(self.terms) - 1)
-        return self.idf[(hashes % BUCKETS).astype(np.int64)], np.where(self.terms[at] == hashes, at, -1)
+        bucket = (hashes % BUCKETS).astype(np.int64)
+        at = self.slot[bucket]
+        several = np.flatnonzero(at == -2)
+        at[several] = np.minimum(np.searchsorted(self.terms, hashes[several]), len(self.terms) - 1)
+        return self.idf[bucket], np.where((at >= 0) & (self.terms[at] == hashes), at, -1)
+
+    def cells(self, span: np.ndarray, term: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """The TF-IDF cells of spans, from the span and the term (-1 for none) of each word: span, term
+        and value, by span and term. A value is the root of the sum of its words' squared weights."""
+        key = np.sort((span * len(self.terms) + term)[term >= 0])
+        begin, uses = runs(key)
+        of, col = np.divmod(key[begin], len(self.terms))
+        return of, col, np.sqrt(uses) * self.by_term[col]
 
     def matrix(self) -> np.ndarray:
         """Unit TF-IDF rows of the passages."""
@@ -140,27 +184,14 @@ def latent_space(docs: DataFrame, t: Targets, *, rank: int, seed: int = 7) -> Ta
                 h, before = hashed_words(part.column("text"), hasher)
                 row, first, last = steps_of(before)
                 step = np.repeat(np.arange(len(row)), last - first)
-                w, term = t.weights(h)
-                ok = term >= 0
-                if not ok.any():
-                    continue
-                # a term's weight is the root of its sum of squares, so it grows with the root of its uses
-                cell, where = np.unique(step[ok] * n + term[ok], return_inverse=True)
-                value = np.sqrt(np.bincount(where, (w[ok] ** 2))).astype(np.float32)
-                square += float((value.astype(float) ** 2).sum())
-                of, col = cell // n, cell % n
-                new = np.flatnonzero(np.append(True, of[1:] != of[:-1]))
-                cuts = np.append(new[np.searchsorted(new, np.arange(0, len(cell), 1 << 15)).clip(max=len(new) - 1)], len(cell))
-                for lo, b in zip(cuts[:-1], cuts[1:]):  # whole steps, about 2**15 cells at a time
-                    if lo == b:
-                        continue
-                    v, c, o = value[lo:b], col[lo:b], of[lo:b]
-                    begin = np.flatnonzero(np.append(True, o[1:] != o[:-1]))
-                    mixed = np.add.reduceat(g[c] * v[:, None], begin, axis=0)
-                    back = np.repeat(mixed, np.diff(np.append(begin, len(o))), axis=0) * v[:, None]
-                    order = np.argsort(c, kind="stable")
-                    run = np.flatnonzero(np.append(True, np.diff(c[order]) != 0))
-                    sketch[c[order][run]] += np.add.reduceat(back[order], run, axis=0)
+                of, col, value = t.cells(step, t.weights(h)[1])
+                square += float((value**2).sum())
+                value = value.astype(np.float32)
+                begin, held = runs(of)
+                by_step = weighed(g, col, value, begin)
+                order = np.argsort(col, kind="stable")
+                run = runs(col[order])[0]
+                sketch[col[order[run]]] += weighed(by_step, np.repeat(np.arange(len(begin)), held)[order], value[order], run)
         cols = [list(range(0, n, group)), [sketch[a : a + group].astype(np.float32).tobytes() for a in range(0, n, group)]]
         yield pa.RecordBatch.from_arrays([pa.array([*cols[0], -1], pa.int32()), pa.array([*cols[1], np.float64(square).tobytes()], pa.binary())], ["part", "sums"])
 
@@ -206,6 +237,7 @@ def lcs(a: np.ndarray, b: np.ndarray) -> int:
 def find_leaks(docs: DataFrame, t: Targets, *, min_cosine: float, min_lcs: float, weak_lcs: float, min_answer: float) -> DataFrame:
     """(id, item, passage, cosine, lcs, answer) of all pairs that pass the checks."""
     low = min_cosine
+    block = max(1, min(128, (1 << 20) // len(t.passages)))  # passages of documents that are compared at a time
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hasher = WordHash()
@@ -223,24 +255,23 @@ def find_leaks(docs: DataFrame, t: Targets, *, min_cosine: float, min_lcs: float
                 norm, own = square[stop] - square[first], inside[stop] - inside[first]
                 # Cauchy-Schwarz: no cosine with any benchmark passage exceeds the share of the benchmark's
                 # terms in the length of the document's passage
-                for k in np.flatnonzero(own >= low * low * norm):
-                    a, b = first[k], stop[k]
-                    x = np.bincount(term[a:b][term[a:b] >= 0], (w[a:b] ** 2)[term[a:b] >= 0]) if own[k] > 0 else np.zeros(0)
-                    at = np.flatnonzero(x)
-                    cosine = (np.sqrt(x[at]) @ t.basis[at]) @ t.latent / math.sqrt(max(norm[k], 1e-12))
-                    near = np.flatnonzero(cosine >= min_cosine * t.share)
-                    out = []
-                    words, wide = h[a:b], h[a : min(b + 2 * STEP, before[row[k] + 1])]
-                    for p in near:
-                        m = len(t.passages[p])
-                        got = lcs(t.passages[p], words) / m
+                able = np.flatnonzero(own >= low * low * norm)
+                out = []
+                for some in (able[a : a + block] for a in range(0, len(able), block)):
+                    span, at = words_of(first[some], stop[some])
+                    of, col, value = t.cells(span, term[at])
+                    # each of these passages has a term, so there is a run for each
+                    cosine = weighed(t.basis, col, value, runs(of)[0]) @ t.latent / np.sqrt(norm[some])[:, None]
+                    for k, p in zip(*np.nonzero(cosine >= min_cosine * t.share)):
+                        a, b, of = first[some[k]], stop[some[k]], row[some[k]]
+                        got = lcs(t.passages[p], h[a:b]) / len(t.passages[p])
                         if got < weak_lcs:
                             continue
-                        end = lcs(t.answers[p], wide) / len(t.answers[p])
+                        end = lcs(t.answers[p], h[a : min(b + 2 * STEP, before[of + 1])]) / len(t.answers[p])
                         if (got >= min_lcs and (t.whole[p] >= SHORT or got == 1.0)) or (got >= weak_lcs and end >= min_answer and t.whole[p] >= SHORT):
-                            out.append((ids[row[k]], t.items[p], int(p), float(cosine[p] / max(t.share[p], 1e-12)), got, end))
-                    if out:
-                        yield pa.RecordBatch.from_arrays([pa.array(c) for c in zip(*out)], ["id", "item", "passage", "cosine", "lcs", "answer"])
+                            out.append((ids[of], t.items[p], int(p), float(cosine[k, p] / max(t.share[p], 1e-12)), got, end))
+                if out:
+                    yield pa.RecordBatch.from_arrays([pa.array(c) for c in zip(*out)], ["id", "item", "passage", "cosine", "lcs", "answer"])
 
     return in_tasks(docs, work, "id long, item long, passage long, cosine double, lcs double, answer double")
 
