@@ -82,59 +82,14 @@ class Lattice:
         up = powers(ODD, max(map(len, spans), default=1) + 1)
         return np.array([((np.frombuffer(b, np.uint8).astype(np.uint64) + np.uint64(1)) * up[: len(b)]).sum(dtype=np.uint64) + np.uint64(len(b)) for b in spans], np.uint64)
 
-    def _arcs(self, words: list[bytes]):
-        """For equally long words: yields (stop, start, rows, keys' numbers) of all pieces that match."""
-        n, size = len(words), len(words[0])
-        up, down = powers(ODD, size + 1), powers(pow(ODD, -1, 1 << 64), size + 1)
-        sums = np.zeros((size + 1, n), np.uint64)
-        data = np.frombuffer(b"".join(words), np.uint8).reshape(n, size).T.astype(np.uint64) + np.uint64(1)
-        np.cumsum(data * up[:size, None], axis=0, out=sums[1:])
-        for stop in range(1, size + 1):
-            for start in range(max(0, stop - self.longest), stop):
-                h = (sums[stop] - sums[start]) * down[start] + np.uint64(stop - start)
-                at = np.minimum(np.searchsorted(self.keys, h), len(self.keys) - 1)
-                rows = np.flatnonzero(self.keys[at] == h)
-                if len(rows):
-                    yield stop, start, rows, at[rows]
-
-    def forward(self, words: list[bytes], arcs=None) -> tuple[np.ndarray, np.ndarray]:
-        """ln of the sums over all ways to write each prefix, and over the whole words with their end."""
-        n, size = len(words), len(words[0])
-        alpha = np.full((size + 1, n), -np.inf)
-        alpha[0] = self.bare
-        for stop, start, rows, at in arcs if arcs is not None else self._arcs(words):
-            ways = alpha[start, rows] + self.inner[at]
-            if start == 0:
-                ways = np.logaddexp(ways, self.first[at])
-            alpha[stop, rows] = np.logaddexp(alpha[stop, rows], ways)
-        return alpha, alpha[size] + self.end
-
     def log_prob(self, words: list[bytes]) -> np.ndarray:
         """ln P of each word; words of no bytes can't be written."""
-        return log_probs([self], words)[0]
+        return Sums([self]).log_probs(words)[0]
 
     def expect(self, words: list[bytes], weight: np.ndarray) -> np.ndarray:
         """Expected uses of each piece, first and inner, over all ways to write the weighted words;
         the last column has the bare mark and the ends."""
-        out = np.zeros((2, len(self.keys) + 1))
-        for chosen in _alike(words):
-            some, w = [words[i] for i in chosen], weight[chosen]
-            arcs = list(self._arcs(some))
-            alpha, total = self.forward(some, arcs)
-            size = len(some[0])
-            beta = np.full((size + 1, len(some)), -np.inf)
-            beta[size] = self.end
-            for stop, start, rows, at in reversed(arcs):
-                into = beta[stop, rows]
-                p = np.exp(alpha[start, rows] + self.inner[at] + into - total[rows]) * w[rows]
-                out[1, :-1] += np.bincount(at, p, len(self.keys))
-                if start == 0:
-                    p = np.exp(self.first[at] + into - total[rows]) * w[rows]
-                    out[0, :-1] += np.bincount(at, p, len(self.keys))
-                beta[start, rows] = np.logaddexp(beta[start, rows], self.inner[at] + into)
-            out[0, -1] += (np.exp(self.bare + beta[0] - total) * w).sum()
-            out[1, -1] += w.sum()
-        return out
+        return Sums([self]).expect(words, np.zeros(len(words), np.int64), weight)[0]
 
     def updated(self, uses: np.ndarray, strength: float = 500.0) -> "Lattice":
         """Weights from expected uses, with the present ones as a prior worth ``strength`` words."""
@@ -143,15 +98,156 @@ class Lattice:
         return Lattice.of(self.keys, np.array([first, inner]), uses[0, -1] + strength * math.exp(self.bare), uses[1, -1] + strength * math.exp(self.end), self.longest)
 
 
-def log_probs(lattices: list[Lattice], words: list[bytes]) -> np.ndarray:
-    """ln P of each word under each of several lattices over the same pieces, which are matched once."""
-    out = np.full((len(lattices), len(words)), -np.inf)
-    for rows in _alike(words):
-        some = [words[i] for i in rows]
-        arcs = list(lattices[0]._arcs(some))
-        for k, lattice in enumerate(lattices):
-            out[k, rows] = lattice.forward(some, arcs)[1]
-    return out
+@dataclass
+class Arcs:
+    """All pieces that match inside some words. A word of n bytes has n + 1 nodes, one before each
+    byte and one at its end; arcs are sorted by their place in the word, then by their first node."""
+
+    nodes: int
+    begin: np.ndarray  # first node of each word
+    final: np.ndarray  # last node of each word
+    word: np.ndarray  # by arc: the word's number,
+    start: np.ndarray  # the nodes,
+    stop: np.ndarray
+    at: np.ndarray  # and the piece's number
+    steps: np.ndarray  # limits of the arcs that start at each place, from the words' begin on
+
+
+class Sums:
+    """Sums over all ways to write words under several lattices over the same pieces.
+
+    Words of any length are taken together, one place in them after another. The sums are plain
+    products; what they bring below ``LEAST``, such as a very long word, is summed again in logs.
+    """
+
+    LEAST = 1e-200
+    SLOTS = 18  # bits
+
+    def __init__(self, lattices: list[Lattice]) -> None:
+        self.keys, self.longest, self.n = lattices[0].keys, lattices[0].longest, len(lattices)
+        # by log or not: inner and first by piece and lattice, bare and end by lattice
+        logs = [np.array([x.inner for x in lattices]).T, np.array([x.first for x in lattices]).T, np.array([x.bare for x in lattices]), np.array([x.end for x in lattices])]
+        self.tables = {True: [np.ascontiguousarray(x) for x in logs], False: [np.ascontiguousarray(np.exp(x)) for x in logs]}
+        self.up = self.down = np.ones(1, np.uint64)
+        slot = self._slots(self.keys)
+        self.slot = np.full(1 << self.SLOTS, -1, np.int32)  # the piece of a slot, -1 for none, -2 for several
+        self.slot[slot] = np.arange(len(slot), dtype=np.int32)
+        self.slot[np.bincount(slot, minlength=1 << self.SLOTS) > 1] = -2
+
+    def _slots(self, hashes: np.ndarray) -> np.ndarray:
+        return ((hashes * np.uint64(0xBF58476D1CE4E5B9)) >> np.uint64(64 - self.SLOTS)).astype(np.int64)
+
+    def arcs(self, words: list[bytes]) -> Arcs:
+        size = np.array([len(w) for w in words], np.int64)
+        final = np.cumsum(size + 1) - 1
+        begin = final - size
+        data = np.frombuffer(b"\0".join(words) + b"\0", np.uint8)
+        n = len(data)
+        if len(self.up) <= n:
+            some = max(n + 1, 1 << 18)
+            self.up, self.down = powers(ODD, some), powers(pow(ODD, -1, 1 << 64), some)
+        sums = np.zeros(n + 1, np.uint64)
+        np.cumsum((data.astype(np.uint64) + np.uint64(1)) * self.up[:n], out=sums[1:])
+        of = np.repeat(np.arange(len(words)), size + 1)
+        place = np.arange(n) - begin[of]
+        left = size[of] - place
+        node, starts, lengths, pieces = np.flatnonzero(left), [], [], []
+        for length in range(1, self.longest + 1):
+            node = node[left[node] >= length]
+            if not len(node):
+                break
+            h = (sums[node + length] - sums[node]) * self.down[node] + np.uint64(length)
+            at = self.slot[self._slots(h)]
+            several = np.flatnonzero(at == -2)
+            at[several] = np.minimum(np.searchsorted(self.keys, h[several]), len(self.keys) - 1)
+            met = np.flatnonzero((at >= 0) & (self.keys[at] == h))
+            starts.append(node[met])
+            lengths.append(np.full(len(met), length))
+            pieces.append(at[met].astype(np.int64))
+        start, length, at = (np.concatenate(x) if x else np.zeros(0, np.int64) for x in (starts, lengths, pieces))
+        order = np.argsort(place[start] * n + start)
+        start, at = start[order], at[order]
+        steps = np.searchsorted(place[start], np.arange(size.max(initial=0) + 1))
+        return Arcs(n, begin, final, of[start], start, start + length[order], at, steps)
+
+    @staticmethod
+    def forward(arcs: Arcs, inner: np.ndarray, first: np.ndarray, bare: np.ndarray, log: bool) -> np.ndarray:
+        """The sums over all ways to write the bytes before each node, from the values of each arc,
+        of those at a word's begin as first piece, and of each word's bare mark."""
+        plus, times = (np.logaddexp, np.add) if log else (np.add, np.multiply)
+        alpha = np.full((arcs.nodes, *inner.shape[1:]), -np.inf if log else 0.0)
+        alpha[arcs.begin] = bare
+        for place, (a, b) in enumerate(zip(arcs.steps[:-1], arcs.steps[1:])):
+            ways, stop = times(alpha[arcs.start[a:b]], inner[a:b]), arcs.stop[a:b]
+            if place == 0:
+                ways = plus(ways, first)
+            alpha[stop] = plus(alpha[stop], ways)  # one arc at most for each word and end
+        return alpha
+
+    def log_probs(self, words: list[bytes]) -> np.ndarray:
+        """ln P of each word under each lattice; words of no bytes can't be written."""
+        out = np.full((self.n, len(words)), -np.inf)
+        inner, first, bare, end = self.tables[False]
+        for rows in _blocks(words):
+            arcs = self.arcs([words[i] for i in rows])
+            total = self.forward(arcs, inner[arcs.at], first[arcs.at[slice(arcs.steps[1])]], bare, False)[arcs.final] * end
+            with np.errstate(divide="ignore"):
+                out[:, rows] = np.log(total).T
+            low, which = np.nonzero(total <= self.LEAST)
+            if len(low):
+                out[which, rows[low]] = self._log_totals([words[i] for i in rows[low]], which)
+        return out
+
+    def _log_totals(self, words: list[bytes], which: np.ndarray) -> np.ndarray:
+        out = np.zeros(len(words))
+        inner, first, bare, end = self.tables[True]
+        for rows in _blocks(words):
+            arcs, mine = self.arcs([words[i] for i in rows]), which[rows]
+            cell, begun = arcs.at * self.n + mine[arcs.word], slice(arcs.steps[1])
+            out[rows] = self.forward(arcs, inner.ravel()[cell], first.ravel()[cell[begun]], bare[mine], True)[arcs.final] + end[mine]
+        return out
+
+    def expect(self, words: list[bytes], which: np.ndarray, weight: np.ndarray) -> np.ndarray:
+        """Expected uses as ``Lattice.expect`` gives them, for each lattice; ``which`` is that of each word."""
+        out = np.zeros((self.n, 2, len(self.keys) + 1))
+        for rows in _blocks(words):
+            low = rows[self._add_uses(out, [words[i] for i in rows], which[rows], weight[rows], False)]
+            if len(low):
+                self._add_uses(out, [words[i] for i in low], which[low], weight[low], True)
+        return out
+
+    def _add_uses(self, out: np.ndarray, words: list[bytes], which: np.ndarray, weight: np.ndarray, log: bool) -> np.ndarray:
+        """Adds the uses of some words; returns the numbers of those left out as their sums are too small."""
+        inner, first, bare, end = self.tables[log]
+        plus, times = (np.logaddexp, np.add) if log else (np.add, np.multiply)
+        arcs = self.arcs(words)
+        cell, begun = arcs.at * self.n + which[arcs.word], slice(arcs.steps[1])
+        inner, first, bare, end = inner.ravel()[cell], first.ravel()[cell[begun]], bare[which], end[which]
+        alpha = self.forward(arcs, inner, first, bare, log)
+        beta = np.full(arcs.nodes, -np.inf if log else 0.0)
+        beta[arcs.final] = end
+        for a, b in zip(arcs.steps[-2::-1], arcs.steps[:0:-1]):
+            start = arcs.start[a:b]
+            new = np.flatnonzero(np.append(True, start[1:] != start[:-1])) if a < b else []
+            if len(new):
+                beta[start[new]] = plus.reduceat(times(inner[a:b], beta[arcs.stop[a:b]]), new)
+        total = times(alpha[arcs.final], end)
+        low = np.zeros(0, np.int64) if log else np.flatnonzero(total <= self.LEAST)
+
+        def uses(value: np.ndarray, word: np.ndarray) -> np.ndarray:
+            return np.exp(value - total[word]) * weight[word] if log else value * share[word]
+
+        if not log:
+            weight = weight.astype(float)
+            weight[low] = 0
+            share = weight / np.where(weight, total, 1)
+        into, every = beta[arcs.stop], np.arange(len(words))
+        n, shape = self.n * len(self.keys), (len(self.keys), self.n)
+        out[:, 1, :-1] += np.bincount(cell, uses(times(times(alpha[arcs.start], inner), into), arcs.word), n).reshape(shape).T
+        out[:, 0, :-1] += np.bincount(cell[begun], uses(times(first, into[begun]), arcs.word[begun]), n).reshape(shape).T
+        out[:, 0, -1] += np.bincount(which, uses(times(bare, beta[arcs.begin]), every), self.n)
+        out[:, 1, -1] += np.bincount(which, weight, self.n)
+        return low
 
 
 def mixed(counts: np.ndarray, logs: np.ndarray, give: list[float], types: list[int], uses: list[int], part: np.ndarray, share: float) -> np.ndarray:
@@ -167,14 +263,14 @@ def mixed(counts: np.ndarray, logs: np.ndarray, give: list[float], types: list[i
         return np.logaddexp(np.log(1 - share) + out, np.log(share) + every)
 
 
-def _alike(words: list[bytes], cells: int = 1 << 18) -> Iterator[np.ndarray]:
-    """Row numbers of words of one length, so many that a table of their letters stays small."""
+def _blocks(words: list[bytes], nodes: int = 1 << 17) -> Iterator[np.ndarray]:
+    """Row numbers of words, short ones first, so many that their nodes stay few; without those of no bytes."""
     sizes = np.array([len(w) for w in words], np.int64)
     order = np.argsort(sizes, kind="stable")
-    at = int(np.searchsorted(sizes[order], 1))
+    order = order[np.searchsorted(sizes[order], 1) :]
+    ends, at = np.cumsum(sizes[order] + 1), 0
     while at < len(order):
-        size = sizes[order[at]]
-        stop = min(int(np.searchsorted(sizes[order], size, "right")), at + max(1, cells // int(size)))
+        stop = max(at + 1, int(np.searchsorted(ends, (ends[at - 1] if at else 0) + nodes, "right")))
         yield order[at:stop]
         at = stop
 
@@ -326,13 +422,11 @@ def lattice_scores(docs: DataFrame, pieces: list[bytes], scores: np.ndarray, wor
     for _ in range(rounds if types else 0):
 
         def expected(batches: Iterator[pa.RecordBatch], lattices: list[Lattice] = lattices) -> Iterator[pa.RecordBatch]:
-            sums = np.zeros((n_classes, 2, len(lattices[0].keys) + 1))
+            model, sums = Sums(lattices), np.zeros((n_classes, 2, len(lattices[0].keys) + 1))
             for batch in batches:
                 spelled = batch.column("word").to_pylist()
-                for k in kinds:
-                    mine = np.flatnonzero(batch.column(counts[k]).to_numpy())
-                    if len(mine):
-                        sums[k] += lattices[k].expect([spelled[i] for i in mine], np.ones(len(mine)))
+                mine, of = np.nonzero(np.array([batch.column(c).to_numpy() for c in counts]).T)
+                sums += model.expect([spelled[i] for i in mine], of, np.ones(len(mine)))
             which, key = np.nonzero(sums.any(1))
             cols = [pa.array(which.astype(np.int32)), pa.array(key.astype(np.int32)), pa.array(sums[which, 0, key]), pa.array(sums[which, 1, key])]
             yield pa.RecordBatch.from_arrays(cols, ["class", "key", "first", "inner"])
@@ -346,9 +440,10 @@ def lattice_scores(docs: DataFrame, pieces: list[bytes], scores: np.ndarray, wor
     models = [f"m{k}" for k in kinds]
 
     def priced(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        model = Sums(lattices)
         for batch in batches:
             c = np.array([batch.column(x).to_numpy() for x in counts], float)
-            p = mixed(c, log_probs(lattices, batch.column("word").to_pylist()), give, [x[1] for x in by_class], [x[0] for x in by_class], part, share)
+            p = mixed(c, model.log_probs(batch.column("word").to_pylist()), give, [x[1] for x in by_class], [x[0] for x in by_class], part, share)
             p = (p + math.log(uses / n if n and uses else 0.5)) / math.log(10)
             cols = [batch.column("word"), pa.array(c.sum(0).astype(np.int64)), *map(pa.array, p.astype(np.float32))]
             yield pa.RecordBatch.from_arrays(cols, ["word", "c", *models])

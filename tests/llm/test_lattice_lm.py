@@ -5,6 +5,7 @@ import zlib
 
 import numpy as np
 
+from orelayer.llm import lattice_lm
 from orelayer.llm.lattice_lm import Lattice, lattice_scores
 from orelayer.session import Workspace
 
@@ -65,3 +66,68 @@ def test_rounds_raise_the_likelihood(spark):
         found.append(lattice.log_prob(words).sum())
         lattice = lattice.updated(lattice.expect(words, np.ones(len(words))))
     assert found == sorted(found)
+
+
+def three_lattices():
+    """Lattices over the same pieces with different weights, and words of 1 to 14 bytes."""
+    start = Lattice.start(PIECES, SCORES)
+    rng = np.random.default_rng(2)
+    uses = rng.gamma(0.3, 300, (2, 2, len(start.keys) + 1))
+    words = sorted({bytes(rng.choice(list(b"aabbz"), n).tolist()) for n in range(1, 15) for _ in range(4)})
+    return [start, *(start.updated(x, 20.0) for x in uses)], [words[i] for i in rng.permutation(len(words))]
+
+
+def plain_uses(lattice, word):
+    """Expected uses of each piece, all ways to write the word spelled out."""
+    at = {k: i for i, k in enumerate(lattice.keys.tolist())}
+    piece = lambda b: at.get(int(Lattice.hashes([b])[0]))
+
+    def ways(left):  # (probability, pieces) of all ways to go on
+        if not left:
+            yield math.exp(lattice.end), []
+        for k in range(1, len(left) + 1):
+            if (i := piece(left[:k])) is not None:
+                for p, then in ways(left[k:]):
+                    yield p * math.exp(lattice.inner[i]), [(1, i), *then]
+
+    every = [(p * math.exp(lattice.bare), [(0, -1), *of]) for p, of in ways(word)]
+    for k in range(1, len(word) + 1):
+        if (i := piece(word[:k])) is not None:
+            every += [(p * math.exp(lattice.first[i]), [(0, i), *of]) for p, of in ways(word[k:])]
+    out, total = np.zeros((2, len(lattice.keys) + 1)), sum(p for p, _ in every)
+    for p, of in every:
+        for kind, i in of:
+            out[kind, i] += p / total
+    out[1, -1] = 1
+    return out
+
+
+def test_words_of_all_lengths_and_classes_are_summed_together(monkeypatch):
+    lattices, words = three_lattices()
+    which, weight = np.arange(len(words)) % 3, np.arange(len(words)) % 5 + 0.5
+    want = np.zeros((3, 2, len(lattices[0].keys) + 1))
+    for word, k, w in zip(words, which, weight):
+        want[k] += w * plain_uses(lattices[k], word)
+    calls, arcs = [], lattice_lm.Sums.arcs
+    monkeypatch.setattr(lattice_lm.Sums, "arcs", lambda self, some: calls.append(len(some)) or arcs(self, some))
+    for least in (1e-200, 1e-9, 1.0):  # none, some and all of the sums in logs
+        monkeypatch.setattr(lattice_lm.Sums, "LEAST", least)
+        sums = lattice_lm.Sums(lattices)
+        assert np.allclose(sums.expect(words, which, weight), want, rtol=1e-9, atol=1e-12)
+        assert np.allclose(sums.log_probs(words), [[plain_log_sum(x, w) for w in words] for x in lattices], rtol=1e-12)
+    assert calls[:2] == [len(words)] * 2  # once for all lengths and lattices
+    monkeypatch.setattr(lattice_lm._blocks, "__defaults__", (40,))
+    assert np.allclose(sums.expect(words, which, weight), want, rtol=1e-9, atol=1e-12)
+
+
+def test_unlikely_words_are_fitted_in_logs():
+    lattices, _ = three_lattices()
+    words = [b"z" * 70, b"ab" * 300, b"a", b"zz"]
+    sums = lattice_lm.Sums(lattices)
+    got = sums.log_probs([*words, b""])
+    assert np.allclose(got[:, :4], [[plain_log_sum(x, w) for w in words] for x in lattices], rtol=1e-10)
+    assert np.isneginf(got[:, 4]).all() and got[0, 0] < -500
+    uses = sums.expect(words, np.array([0, 1, 2, 0]), np.array([1.0, 2.0, 3.0, 4.0]))
+    z, both = int(np.searchsorted(lattices[0].keys, Lattice.hashes([b"z"])[0])), plain_uses(lattices[0], b"zz")
+    assert np.isclose(uses[0, :, z].sum(), 70 + 4 * both[:, z].sum())  # one byte a piece, as first or inner one
+    assert np.allclose(uses[:, 1, -1], [5, 2, 3]) and np.allclose(uses[:, 0].sum(1), [5, 2, 3])  # one end and one first piece a word
