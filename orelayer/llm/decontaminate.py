@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import math
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -256,8 +255,8 @@ def find_leaks(docs: DataFrame, t: Targets, *, min_cosine: float, min_lcs: float
                 # Cauchy-Schwarz: no cosine with any benchmark passage exceeds the share of the benchmark's
                 # terms in the length of the document's passage
                 able = np.flatnonzero(own >= low * low * norm)
-                out = []
                 for some in (able[a : a + block] for a in range(0, len(able), block)):
+                    out = []
                     span, at = words_of(first[some], stop[some])
                     of, col, value = t.cells(span, term[at])
                     # each of these passages has a term, so there is a run for each
@@ -270,8 +269,8 @@ def find_leaks(docs: DataFrame, t: Targets, *, min_cosine: float, min_lcs: float
                         end = lcs(t.answers[p], h[a : min(b + 2 * STEP, before[of + 1])]) / len(t.answers[p])
                         if (got >= min_lcs and (t.whole[p] >= SHORT or got == 1.0)) or (got >= weak_lcs and end >= min_answer and t.whole[p] >= SHORT):
                             out.append((ids[of], t.items[p], int(p), float(cosine[k, p] / max(t.share[p], 1e-12)), got, end))
-                if out:
-                    yield pa.RecordBatch.from_arrays([pa.array(c) for c in zip(*out)], ["id", "item", "passage", "cosine", "lcs", "answer"])
+                    if out:
+                        yield pa.RecordBatch.from_arrays([pa.array(c) for c in zip(*out)], ["id", "item", "passage", "cosine", "lcs", "answer"])
 
     return in_tasks(docs, work, "id long, item long, passage long, cosine double, lcs double, answer double")
 
